@@ -19,22 +19,22 @@ SELECT 'total_readings' AS kpi_name, 'general' AS kpi_category, CAST(count(*) AS
   'count' AS kpi_unit, 'Número total de lecturas de sensores' AS description FROM {0}
 UNION ALL SELECT 'active_sensors', 'general', CAST(count(DISTINCT sensor_id) AS double), 'count',
   'Número de sensores únicos activos' FROM {0}
-UNION ALL SELECT 'avg_temperature_global', 'general', round(avg(temperature), 6), 'celsius',
+UNION ALL SELECT 'avg_temperature_global', 'general', round(avg(temperature) + 1e-9, 6), 'celsius',
   'Temperatura promedio global' FROM {0}
-UNION ALL SELECT 'avg_humidity_global', 'general', round(avg(humidity), 6), 'percent',
+UNION ALL SELECT 'avg_humidity_global', 'general', round(avg(humidity) + 1e-9, 6), 'percent',
   'Humedad promedio global' FROM {0}
-UNION ALL SELECT 'avg_pressure_global', 'general', round(avg(pressure), 6), 'hpa',
+UNION ALL SELECT 'avg_pressure_global', 'general', round(avg(pressure) + 1e-9, 6), 'hpa',
   'Presión promedio global' FROM {0}"""
 
 SENSOR_SQL = """
 SELECT concat('avg_temperature_', sensor_id) AS kpi_name, 'sensor' AS kpi_category,
-  round(avg(temperature), 6) AS kpi_value, 'celsius' AS kpi_unit,
+  round(avg(temperature) + 1e-9, 6) AS kpi_value, 'celsius' AS kpi_unit,
   concat('Temperatura promedio del sensor ', sensor_id) AS description, sensor_id
   FROM {0} WHERE sensor_id IS NOT NULL GROUP BY sensor_id
-UNION ALL SELECT concat('max_temperature_', sensor_id), 'sensor', round(max(temperature), 6), 'celsius',
+UNION ALL SELECT concat('max_temperature_', sensor_id), 'sensor', round(max(temperature) + 1e-9, 6), 'celsius',
   concat('Temperatura máxima del sensor ', sensor_id), sensor_id
   FROM {0} WHERE sensor_id IS NOT NULL GROUP BY sensor_id
-UNION ALL SELECT concat('min_temperature_', sensor_id), 'sensor', round(min(temperature), 6), 'celsius',
+UNION ALL SELECT concat('min_temperature_', sensor_id), 'sensor', round(min(temperature) + 1e-9, 6), 'celsius',
   concat('Temperatura mínima del sensor ', sensor_id), sensor_id
   FROM {0} WHERE sensor_id IS NOT NULL GROUP BY sensor_id
 UNION ALL SELECT concat('readings_count_', sensor_id), 'sensor', CAST(count(*) AS double), 'count',
@@ -47,7 +47,7 @@ SELECT concat('sensors_in_', replace(lower(location), ' ', '_')) AS kpi_name, 'l
   concat('Número de sensores en ', location) AS description, location
   FROM {0} WHERE location IS NOT NULL GROUP BY location
 UNION ALL SELECT concat('avg_temperature_', replace(lower(location), ' ', '_')), 'location',
-  round(avg(temperature), 6), 'celsius', concat('Temperatura promedio en ', location), location
+  round(avg(temperature) + 1e-9, 6), 'celsius', concat('Temperatura promedio en ', location), location
   FROM {0} WHERE location IS NOT NULL GROUP BY location"""
 
 TEMPORAL_SQL = """
@@ -61,18 +61,18 @@ SELECT * FROM (
 WHERE kpi_value > 0"""
 
 QUALITY_SQL = """
-SELECT 'avg_data_quality' AS kpi_name, 'quality' AS kpi_category, round(avg(data_quality_score), 6) AS kpi_value,
+SELECT 'avg_data_quality' AS kpi_name, 'quality' AS kpi_category, round(avg(data_quality_score) + 1e-9, 6) AS kpi_value,
   'score' AS kpi_unit, 'Puntuación promedio de calidad de datos' AS description FROM {0}
 UNION ALL SELECT 'high_quality_readings', 'quality', CAST(count_if(data_quality_score >= 90) AS double), 'count',
   'Lecturas con alta calidad (>=90)' FROM {0}"""
 
 COMPLETENESS_SQL = """
 SELECT 'completeness_temperature' AS kpi_name, 'quality' AS kpi_category,
-  round(100.0 * count(temperature) / count(*), 6) AS kpi_value, 'percent' AS kpi_unit,
+  round(100.0 * count(temperature) / count(*) + 1e-9, 6) AS kpi_value, 'percent' AS kpi_unit,
   'Porcentaje de completitud para temperature' AS description FROM {0} HAVING count(*) > 0
-UNION ALL SELECT 'completeness_humidity', 'quality', round(100.0 * count(humidity) / count(*), 6), 'percent',
+UNION ALL SELECT 'completeness_humidity', 'quality', round(100.0 * count(humidity) / count(*) + 1e-9, 6), 'percent',
   'Porcentaje de completitud para humidity' FROM {0} HAVING count(*) > 0
-UNION ALL SELECT 'completeness_pressure', 'quality', round(100.0 * count(pressure) / count(*), 6), 'percent',
+UNION ALL SELECT 'completeness_pressure', 'quality', round(100.0 * count(pressure) / count(*) + 1e-9, 6), 'percent',
   'Porcentaje de completitud para pressure' FROM {0} HAVING count(*) > 0"""
 
 ALERTS_SQL = """
@@ -153,15 +153,15 @@ def kpi_long_table(spark, sf_dir):
 def wide_sql(source: str, low_temperature: int = 10, air_quality: str = AIR_QUALITY_FOUR, sensors_sql: str = "") -> str:
     sensors_sql = sensors_sql or "count(DISTINCT sensor_id)"
     return f"""SELECT count(*) AS total_readings, {sensors_sql} AS unique_sensors,
-  round(coalesce(avg(temperature), 0), 6) AS temperature_avg, round(coalesce(max(temperature), 0), 6) AS temperature_max,
-  round(coalesce(min(temperature), 0), 6) AS temperature_min,
-  round(coalesce(stddev_samp(temperature), 0), 6) AS temperature_std,
-  round(coalesce(avg(humidity), 0), 6) AS humidity_avg, round(coalesce(max(humidity), 0), 6) AS humidity_max,
-  round(coalesce(min(humidity), 0), 6) AS humidity_min,
-  round(coalesce(avg(pm25), 0), 6) AS pm25_avg, round(coalesce(max(pm25), 0), 6) AS pm25_max,
+  round(coalesce(avg(temperature), 0) + 1e-9, 6) AS temperature_avg, round(coalesce(max(temperature), 0) + 1e-9, 6) AS temperature_max,
+  round(coalesce(min(temperature), 0) + 1e-9, 6) AS temperature_min,
+  round(coalesce(stddev_samp(temperature), 0) + 1e-9, 6) AS temperature_std,
+  round(coalesce(avg(humidity), 0) + 1e-9, 6) AS humidity_avg, round(coalesce(max(humidity), 0) + 1e-9, 6) AS humidity_max,
+  round(coalesce(min(humidity), 0) + 1e-9, 6) AS humidity_min,
+  round(coalesce(avg(pm25), 0) + 1e-9, 6) AS pm25_avg, round(coalesce(max(pm25), 0) + 1e-9, 6) AS pm25_max,
   {air_quality.format('coalesce(avg(pm25), 0)')} AS air_quality_category,
-  round(coalesce(avg(pressure), 0), 6) AS pressure_avg, round(coalesce(max(pressure), 0), 6) AS pressure_max,
-  round(coalesce(min(pressure), 0), 6) AS pressure_min, {alerts_json_sql(low_temperature)} AS alerts_json
+  round(coalesce(avg(pressure), 0) + 1e-9, 6) AS pressure_avg, round(coalesce(max(pressure), 0) + 1e-9, 6) AS pressure_max,
+  round(coalesce(min(pressure), 0) + 1e-9, 6) AS pressure_min, {alerts_json_sql(low_temperature)} AS alerts_json
 FROM {source}"""
 
 
@@ -211,9 +211,9 @@ def pressure_alerts(spark, sf_dir):
 
 
 def sensor_statistics_sql(source: str) -> str:
-    return f"""SELECT sensor_id, count(*) AS readings_count, round(avg(temperature), 6) AS temp_avg,
-  round(max(temperature), 6) AS temp_max, round(min(temperature), 6) AS temp_min,
-  round(avg(humidity), 6) AS humidity_avg FROM {source} GROUP BY sensor_id"""
+    return f"""SELECT sensor_id, count(*) AS readings_count, round(avg(temperature) + 1e-9, 6) AS temp_avg,
+  round(max(temperature) + 1e-9, 6) AS temp_max, round(min(temperature) + 1e-9, 6) AS temp_min,
+  round(avg(humidity) + 1e-9, 6) AS humidity_avg FROM {source} GROUP BY sensor_id"""
 
 
 @registered("sensor_statistics", sensor_statistics_sql("readings"))
@@ -228,8 +228,8 @@ def sensor_statistics_ranked(spark, sf_dir):
 
 @registered(
     "stream_table_per_sensor",
-    """SELECT sensor_id, count(*) AS total, round(avg(temperature), 6) AS temp_promedio,
-       round(avg(humidity), 6) AS humidity_promedio FROM streamed GROUP BY sensor_id""",
+    """SELECT sensor_id, count(*) AS total, round(avg(temperature) + 1e-9, 6) AS temp_promedio,
+       round(avg(humidity) + 1e-9, 6) AS humidity_promedio FROM streamed GROUP BY sensor_id""",
 )
 def stream_table_per_sensor(spark, sf_dir):
     return six(streamed(spark, sf_dir).transform(sensors.averages))
@@ -242,7 +242,7 @@ ANOMALY_VIEWS = (
        FROM readings r LEFT JOIN spread ON r.sensor_id = spread.sensor_id)""",
 )
 ANOMALY_COLUMNS = """count(*) AS readings, count_if(anomaly) AS anomalies,
-    round(100.0 * count_if(anomaly) / count(*), 6) AS anomaly_rate"""
+    round(100.0 * count_if(anomaly) / count(*) + 1e-9, 6) AS anomaly_rate"""
 
 
 @registered("anomaly_rate", f"SELECT {ANOMALY_COLUMNS} FROM flagged", *ANOMALY_VIEWS)
@@ -261,10 +261,10 @@ def anomaly_rate_per_sensor(spark, sf_dir):
 
 @registered(
     "sensor_quality",
-    """SELECT sensor_id, count(*) AS readings, round(avg(data_quality_score), 6) AS avg_quality,
-       round(100.0 * count(temperature) / count(*), 6) AS completeness_temperature,
-       round(100.0 * count(humidity) / count(*), 6) AS completeness_humidity,
-       round(100.0 * count(pressure) / count(*), 6) AS completeness_pressure FROM scored GROUP BY sensor_id""",
+    """SELECT sensor_id, count(*) AS readings, round(avg(data_quality_score) + 1e-9, 6) AS avg_quality,
+       round(100.0 * count(temperature) / count(*) + 1e-9, 6) AS completeness_temperature,
+       round(100.0 * count(humidity) / count(*) + 1e-9, 6) AS completeness_humidity,
+       round(100.0 * count(pressure) / count(*) + 1e-9, 6) AS completeness_pressure FROM scored GROUP BY sensor_id""",
 )
 def sensor_quality(spark, sf_dir):
     return six(scored(spark, sf_dir).transform(sensors.quality))
@@ -272,8 +272,8 @@ def sensor_quality(spark, sf_dir):
 
 @registered(
     "location_comfort",
-    """SELECT location, count(DISTINCT sensor_id) AS sensors, round(avg(temperature), 6) AS avg_temperature,
-       round(avg(humidity), 6) AS avg_humidity, round(avg(pressure), 6) AS avg_pressure,
+    """SELECT location, count(DISTINCT sensor_id) AS sensors, round(avg(temperature) + 1e-9, 6) AS avg_temperature,
+       round(avg(humidity) + 1e-9, 6) AS avg_humidity, round(avg(pressure) + 1e-9, 6) AS avg_pressure,
        count_if(comfort_index = 'Comfortable') AS comfortable,
        count_if(comfort_index = 'Uncomfortable') AS uncomfortable,
        count_if(comfort_index = 'Moderate') AS moderate FROM scored GROUP BY location""",
@@ -287,9 +287,9 @@ def location_comfort(spark, sf_dir):
 
 @registered(
     "median_approx",
-    """SELECT round(quantile_disc(temperature, 0.5), 6) AS median_temperature,
-       round(quantile_disc(humidity, 0.5), 6) AS median_humidity,
-       round(quantile_disc(pressure, 0.5), 6) AS median_pressure FROM readings""",
+    """SELECT round(quantile_disc(temperature, 0.5) + 1e-9, 6) AS median_temperature,
+       round(quantile_disc(humidity, 0.5) + 1e-9, 6) AS median_humidity,
+       round(quantile_disc(pressure, 0.5) + 1e-9, 6) AS median_pressure FROM readings""",
 )
 def median_approx(spark, sf_dir):
     measured = ("temperature", "humidity", "pressure")
@@ -298,7 +298,7 @@ def median_approx(spark, sf_dir):
 
 @registered(
     "temp_mean_std",
-    "SELECT round(avg(temperature), 6) AS mean, round(stddev_samp(temperature), 6) AS std FROM distinct_raw",
+    "SELECT round(avg(temperature) + 1e-9, 6) AS mean, round(stddev_samp(temperature) + 1e-9, 6) AS std FROM distinct_raw",
 )
 def temp_mean_std(spark, sf_dir):
     distinct = readings_raw(spark, sf_dir).dropDuplicates()
@@ -313,9 +313,9 @@ def temp_mean_std(spark, sf_dir):
     """SELECT count(*) AS total_records, count(DISTINCT sensor_id) AS unique_sensors,
        strftime(min("timestamp"), '%Y-%m-%d %H:%M:%S') AS range_start,
        strftime(max("timestamp"), '%Y-%m-%d %H:%M:%S') AS range_end,
-       round(avg(data_quality_score), 6) AS avg_quality_score,
-       count_if(data_quality_score = 100) AS complete_records, round(avg(temperature), 6) AS avg_temperature,
-       round(avg(humidity), 6) AS avg_humidity, round(avg(pressure), 6) AS avg_pressure FROM scored""",
+       round(avg(data_quality_score) + 1e-9, 6) AS avg_quality_score,
+       count_if(data_quality_score = 100) AS complete_records, round(avg(temperature) + 1e-9, 6) AS avg_temperature,
+       round(avg(humidity) + 1e-9, 6) AS avg_humidity, round(avg(pressure) + 1e-9, 6) AS avg_pressure FROM scored""",
 )
 def silver_summary(spark, sf_dir):
     one = scored(spark, sf_dir).transform(summary.silver)
@@ -342,7 +342,7 @@ def group_quality_score(spark, sf_dir):
 @registered(
     "group_comfort_index",
     """SELECT comfort_index, count(*) AS readings, count(DISTINCT sensor_id) AS sensors,
-       round(avg(temperature), 6) AS avg_temperature, round(avg(humidity), 6) AS avg_humidity FROM scored
+       round(avg(temperature) + 1e-9, 6) AS avg_temperature, round(avg(humidity) + 1e-9, 6) AS avg_humidity FROM scored
        WHERE temperature BETWEEN -50 AND 70 AND humidity BETWEEN 0 AND 100 AND pressure BETWEEN 800 AND 1200
        GROUP BY comfort_index""",
 )
@@ -353,7 +353,7 @@ def group_comfort_index(spark, sf_dir):
 
 @registered(
     "avg_quality",
-    """SELECT round(a, 6) AS avg_quality, n AS high_quality_readings, round(p, 6) AS high_quality_percent,
+    """SELECT round(a + 1e-9, 6) AS avg_quality, n AS high_quality_readings, round(p + 1e-9, 6) AS high_quality_percent,
        CASE WHEN p >= 95 THEN 'EXCELENTE' WHEN p >= 80 THEN 'BUENO' ELSE 'REQUIERE ATENCIÓN' END AS system_status
        FROM (SELECT avg(data_quality_score) AS a, count_if(data_quality_score >= 90) AS n,
              100.0 * count_if(data_quality_score >= 90) / count(*) AS p FROM scored)""",
@@ -363,7 +363,7 @@ def avg_quality(spark, sf_dir):
 
 
 CLEANING_SQL = """SELECT i AS rows_in, i - d AS duplicates_removed, d - o AS outliers_removed, o AS rows_out,
-    round(100.0 * o / i, 6) AS percent_kept
+    round(100.0 * o / i + 1e-9, 6) AS percent_kept
     FROM (SELECT (SELECT count(*) FROM readings_raw) AS i, (SELECT count(*) FROM distinct_raw) AS d,
                  (SELECT count(*) FROM kept) AS o)"""
 

@@ -109,7 +109,7 @@ def src_latest_n_batches(spark, sf_dir):
 @registered(
     "src_latest_snapshot",
     """SELECT date_trunc('day', "timestamp") AS generated_at, sensor_id, count(*) AS readings,
-       round(avg(temperature), 6) AS avg_temperature FROM readings
+       round(avg(temperature) + 1e-9, 6) AS avg_temperature FROM readings
        WHERE date_trunc('day', "timestamp") = (SELECT max(date_trunc('day', "timestamp")) FROM readings)
        GROUP BY ALL""",
 )

@@ -65,7 +65,7 @@ def proj_reorder(spark, sf_dir):
 
 @registered(
     "proj_silver_sample",
-    """SELECT sensor_id, temperature, humidity, pressure, round(temperature_fahrenheit, 6) AS temperature_fahrenheit,
+    """SELECT sensor_id, temperature, humidity, pressure, round(temperature_fahrenheit + 1e-9, 6) AS temperature_fahrenheit,
        comfort_index, data_quality_score FROM scored ORDER BY id LIMIT 5""",
 )
 def proj_silver_sample(spark, sf_dir):
@@ -231,8 +231,8 @@ GLOBAL_MEDIANS = """medians AS (SELECT quantile_disc(temperature, 0.5) AS t, qua
 
 @registered(
     "impute_median_global",
-    """SELECT id, sensor_id, round(coalesce(temperature, t), 6) AS temperature,
-       round(coalesce(humidity, h), 6) AS humidity, round(coalesce(pressure, p), 6) AS pressure
+    """SELECT id, sensor_id, round(coalesce(temperature, t) + 1e-9, 6) AS temperature,
+       round(coalesce(humidity, h) + 1e-9, 6) AS humidity, round(coalesce(pressure, p) + 1e-9, 6) AS pressure
        FROM readings, medians""",
     GLOBAL_MEDIANS,
 )
@@ -243,8 +243,8 @@ def impute_median_global(spark, sf_dir):
 
 @registered(
     "impute_median_per_sensor",
-    """SELECT id, r.sensor_id, round(coalesce(temperature, st, t), 6) AS temperature,
-       round(coalesce(humidity, sh, h), 6) AS humidity, round(coalesce(pressure, sp, p), 6) AS pressure
+    """SELECT id, r.sensor_id, round(coalesce(temperature, st, t) + 1e-9, 6) AS temperature,
+       round(coalesce(humidity, sh, h) + 1e-9, 6) AS humidity, round(coalesce(pressure, sp, p) + 1e-9, 6) AS pressure
        FROM readings r LEFT JOIN per_sensor s ON r.sensor_id = s.sensor_id, medians""",
     GLOBAL_MEDIANS,
     """per_sensor AS (SELECT sensor_id, quantile_disc(temperature, 0.5) AS st, quantile_disc(humidity, 0.5) AS sh,
@@ -257,9 +257,9 @@ def impute_median_per_sensor(spark, sf_dir):
 
 MEANS = """means AS (SELECT avg(temperature) AS t, avg(humidity) AS h, avg(pressure) AS p, avg(pm25) AS q,
     avg(light) AS l FROM {0})"""
-MEAN_FILLED = """round(coalesce(temperature, t), 6) AS temperature, round(coalesce(humidity, h), 6) AS humidity,
-    round(coalesce(pressure, p), 6) AS pressure, round(coalesce(pm25, q), 6) AS pm25,
-    round(coalesce(light, l), 6) AS light"""
+MEAN_FILLED = """round(coalesce(temperature, t) + 1e-9, 6) AS temperature, round(coalesce(humidity, h) + 1e-9, 6) AS humidity,
+    round(coalesce(pressure, p) + 1e-9, 6) AS pressure, round(coalesce(pm25, q) + 1e-9, 6) AS pm25,
+    round(coalesce(light, l) + 1e-9, 6) AS light"""
 
 
 @registered(
@@ -294,7 +294,7 @@ def impute_location_unknown(spark, sf_dir):
 
 @registered(
     "derive_fahrenheit",
-    "SELECT id, round(temperature * 1.8 + 32, 6) AS temperature_fahrenheit FROM readings",
+    "SELECT id, round(temperature * 1.8 + 32 + 1e-9, 6) AS temperature_fahrenheit FROM readings",
 )
 def derive_fahrenheit(spark, sf_dir):
     value = measures.fahrenheit(F.col("temperature")).alias("temperature_fahrenheit")
@@ -340,7 +340,7 @@ def derive_air_quality_row(spark, sf_dir):
 
 @registered(
     "classify_air_quality_avg_5",
-    f"""SELECT sensor_id, round(avg(pm25), 6) AS pm25_avg, {AIR_QUALITY_FIVE.format('avg(pm25)')}
+    f"""SELECT sensor_id, round(avg(pm25) + 1e-9, 6) AS pm25_avg, {AIR_QUALITY_FIVE.format('avg(pm25)')}
        AS air_quality_category FROM readings GROUP BY sensor_id""",
 )
 def classify_air_quality_avg_5(spark, sf_dir):
@@ -350,7 +350,7 @@ def classify_air_quality_avg_5(spark, sf_dir):
 
 @registered(
     "classify_air_quality_avg_4",
-    f"""SELECT sensor_id, round(avg(pm25), 6) AS pm25_avg, {AIR_QUALITY_FOUR.format('avg(pm25)')}
+    f"""SELECT sensor_id, round(avg(pm25) + 1e-9, 6) AS pm25_avg, {AIR_QUALITY_FOUR.format('avg(pm25)')}
        AS air_quality_category FROM readings GROUP BY sensor_id""",
 )
 def classify_air_quality_avg_4(spark, sf_dir):
@@ -360,7 +360,7 @@ def classify_air_quality_avg_4(spark, sf_dir):
 
 @registered(
     "classify_system_status",
-    """SELECT sensor_id, round(p, 6) AS high_quality_percent,
+    """SELECT sensor_id, round(p + 1e-9, 6) AS high_quality_percent,
        CASE WHEN p >= 95 THEN 'EXCELENTE' WHEN p >= 80 THEN 'BUENO' ELSE 'REQUIERE ATENCIÓN' END AS system_status
        FROM (SELECT sensor_id, 100.0 * count_if(data_quality_score >= 90) / count(*) AS p
              FROM scored GROUP BY sensor_id)""",
@@ -420,7 +420,7 @@ def dedup_key_last(spark, sf_dir):
 
 @registered(
     "join_global_stat",
-    """SELECT id, round(temperature - m, 6) AS from_mean, round((temperature - m) / s, 6) AS deviations
+    """SELECT id, round(temperature - m + 1e-9, 6) AS from_mean, round((temperature - m) / s + 1e-9, 6) AS deviations
        FROM readings, (SELECT avg(temperature) AS m, stddev_samp(temperature) AS s FROM readings)""",
 )
 def join_global_stat(spark, sf_dir):
@@ -436,7 +436,7 @@ def join_global_stat(spark, sf_dir):
 
 @registered(
     "join_sensor_stat",
-    """SELECT id, r.sensor_id, round(temperature - m, 6) AS from_sensor_mean FROM readings r
+    """SELECT id, r.sensor_id, round(temperature - m + 1e-9, 6) AS from_sensor_mean FROM readings r
        JOIN (SELECT sensor_id, avg(temperature) AS m FROM readings GROUP BY sensor_id) s
        ON r.sensor_id = s.sensor_id""",
 )

@@ -31,8 +31,8 @@ RANGE_VIEWS = (
 
 @registered(
     "job_clean_range",
-    """SELECT id, sensor_id, round(temperature, 6) AS temperature, humidity, pressure, "timestamp", pm25, light,
-       location, ingestion_timestamp, data_quality_score, round(temperature_fahrenheit, 6) AS temperature_fahrenheit,
+    """SELECT id, sensor_id, round(temperature + 1e-9, 6) AS temperature, humidity, pressure, "timestamp", pm25, light,
+       location, ingestion_timestamp, data_quality_score, round(temperature_fahrenheit + 1e-9, 6) AS temperature_fahrenheit,
        comfort_index, sensor_category FROM range_silver""",
     *RANGE_VIEWS,
 )
@@ -53,9 +53,9 @@ def job_clean_sigma(spark, sf_dir):
 
 @registered(
     "job_clean_notebook",
-    """SELECT id, sensor_id, sensor_id AS ip, round(coalesce(temperature, nullif(t, 0)), 6) AS temperature,
-       round(coalesce(humidity, nullif(h, 0)), 6) AS humidity, round(coalesce(pressure, nullif(p, 0)), 6) AS pressure,
-       round(coalesce(pm25, nullif(q, 0)), 6) AS pm25, round(coalesce(light, nullif(l, 0)), 6) AS light, "timestamp",
+    """SELECT id, sensor_id, sensor_id AS ip, round(coalesce(temperature, nullif(t, 0)) + 1e-9, 6) AS temperature,
+       round(coalesce(humidity, nullif(h, 0)) + 1e-9, 6) AS humidity, round(coalesce(pressure, nullif(p, 0)) + 1e-9, 6) AS pressure,
+       round(coalesce(pm25, nullif(q, 0)) + 1e-9, 6) AS pm25, round(coalesce(light, nullif(l, 0)) + 1e-9, 6) AS light, "timestamp",
        location, ingestion_timestamp, CAST(year("timestamp") AS int) AS year, CAST(month("timestamp") AS int) AS month,
        CAST(day("timestamp") AS int) AS day, CAST(hour("timestamp") AS int) AS hour FROM kept, means""",
     "filled_raw AS (SELECT * FROM distinct_raw WHERE sensor_id IS NOT NULL AND temperature IS NOT NULL)",
@@ -73,7 +73,9 @@ JOB_SOURCE = """source AS (SELECT DISTINCT id + 1 AS id, sensor_id, temperature,
 JOB_SILVER = (
     *sigma_views("source", "stddev_samp"),
     MEANS.format("kept"),
-    f"""silver AS (SELECT id, sensor_id, "timestamp", location, {MEAN_FILLED} FROM kept, means)""",
+    """silver AS (SELECT id, sensor_id, "timestamp", location, coalesce(temperature, t) AS temperature,
+        coalesce(humidity, h) AS humidity, coalesce(pressure, p) AS pressure, coalesce(pm25, q) AS pm25,
+        coalesce(light, l) AS light FROM kept, means)""",
 )
 
 

@@ -168,8 +168,8 @@ def stream_dashboard(spark, sf_dir):
 
 @registered(
     "stream_dashboard_sensors",
-    """SELECT sensor_id, count(*) AS total, round(avg(temperature), 6) AS temp_promedio,
-       round(avg(humidity), 6) AS humidity_promedio FROM readings GROUP BY sensor_id""",
+    """SELECT sensor_id, count(*) AS total, round(avg(temperature) + 1e-9, 6) AS temp_promedio,
+       round(avg(humidity) + 1e-9, 6) AS humidity_promedio FROM readings GROUP BY sensor_id""",
 )
 def stream_dashboard_sensors(spark, sf_dir):
     return six(_dashboard(spark, sf_dir, "sensors"))
@@ -192,12 +192,13 @@ def stream_alerts(spark, sf_dir):
 
 @registered(
     "stream_window_report",
-    """SELECT time_bucket(INTERVAL '10 minutes', "timestamp") AS window_start,
-       time_bucket(INTERVAL '10 minutes', "timestamp") + INTERVAL '10 minutes' AS window_end, sensor_id,
-       count(*) AS readings, round(avg(temperature), 6) AS avg_temperature,
-       round(min(temperature), 6) AS min_temperature, round(max(temperature), 6) AS max_temperature
-       FROM readings GROUP BY ALL
-       HAVING window_end <= (SELECT max("timestamp") FROM readings) - INTERVAL '10 minutes'""",
+    """SELECT * FROM (
+         SELECT window_start, window_start + INTERVAL '10 minutes' AS window_end, sensor_id, count(*) AS readings,
+           round(avg(temperature) + 1e-9, 6) AS avg_temperature, round(min(temperature) + 1e-9, 6) AS min_temperature,
+           round(max(temperature) + 1e-9, 6) AS max_temperature
+         FROM (SELECT *, time_bucket(INTERVAL '10 minutes', "timestamp") AS window_start FROM readings)
+         GROUP BY window_start, sensor_id)
+       WHERE window_end <= (SELECT max("timestamp") FROM readings) - INTERVAL '10 minutes'""",
 )
 def stream_window_report(spark, sf_dir):
     root = scratch_path(spark, "windows")

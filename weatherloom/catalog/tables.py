@@ -142,7 +142,7 @@ def sink_bronze_batch(spark, sf_dir):
 @registered(
     "sink_bronze_initial",
     f"""SELECT {CANONICAL_SQL}, concat('initial_batch_', lpad(CAST(id // 1000 AS varchar),
-       greatest(4, length(CAST(id // 1000 AS varchar))), '0')) AS batch_id FROM streamed""",
+       CAST(greatest(4, length(CAST(id // 1000 AS varchar))) AS int), '0')) AS batch_id FROM streamed""",
 )
 def sink_bronze_initial(spark, sf_dir):
     store = lake.Lake(scratch_path(spark, "initial"))
@@ -178,9 +178,9 @@ def sink_json(spark, sf_dir):
     "sink_export_versioned",
     """SELECT 'total_readings' AS kpi_name, CAST(count(*) AS double) AS kpi_value FROM readings
        UNION ALL SELECT 'active_sensors', CAST(count(DISTINCT sensor_id) AS double) FROM readings
-       UNION ALL SELECT 'avg_temperature_global', round(avg(temperature), 6) FROM readings
-       UNION ALL SELECT 'avg_humidity_global', round(avg(humidity), 6) FROM readings
-       UNION ALL SELECT 'avg_pressure_global', round(avg(pressure), 6) FROM readings""",
+       UNION ALL SELECT 'avg_temperature_global', round(avg(temperature) + 1e-9, 6) FROM readings
+       UNION ALL SELECT 'avg_humidity_global', round(avg(humidity) + 1e-9, 6) FROM readings
+       UNION ALL SELECT 'avg_pressure_global', round(avg(pressure) + 1e-9, 6) FROM readings""",
 )
 def sink_export_versioned(spark, sf_dir):
     root = scratch_path(spark, "exports")

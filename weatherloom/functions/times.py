@@ -10,6 +10,13 @@ from pyspark.sql import functions as F
 from weatherloom import fixed_values as V
 
 
+# fixed values: ISO text that keeps microseconds; writers cut them off by default
+ISO_TEXT = {
+    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSSXXX",
+    "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss.SSSSSS",
+}
+
+
 def moment(as_of: Column | datetime | str | None) -> Column:
     if as_of is None:
         return F.current_timestamp()

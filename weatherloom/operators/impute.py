@@ -9,8 +9,14 @@ from weatherloom import fixed_values as V
 from weatherloom.operators import groupstats
 
 
-def median(column: str) -> Column:
-    return F.percentile_approx(column, 0.5)
+# relative rank error is 1 / precision; the sketch behind it grows with precision
+GLOBAL_PRECISION = 100_000
+SENSOR_PRECISION = 10_000
+
+
+def median(column: str, precision: int = GLOBAL_PRECISION) -> Column:
+    """The approximate median, exact while there are fewer values than ``precision``."""
+    return F.percentile_approx(column, 0.5, precision)
 
 
 def _existing(df: DataFrame, columns) -> list[str]:
@@ -49,7 +55,7 @@ def median_per_sensor(
     """NULL becomes the sensor's median, or the global one where the sensor has none."""
     columns = _existing(df, columns)
     per_sensor = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("readings"), *[median(c).alias(f"_median_{c}") for c in columns]
+        F.count(F.lit(1)).alias("readings"), *[median(c, SENSOR_PRECISION).alias(f"_median_{c}") for c in columns]
     )
     attached = groupstats.attach(df, per_sensor, key, broadcast_keys=broadcast_keys)
     overall = df.agg(F.struct(*[median(c).alias(c) for c in columns])).scalar()

@@ -91,5 +91,6 @@ def stream_record(df: DataFrame) -> DataFrame:
 
 def as_messages(df: DataFrame, key: str = "sensor_id", keep_nulls: bool = False) -> DataFrame:
     """``key`` and JSON ``value``, as a topic wants them."""
-    value = F.to_json(F.struct(*df.columns), {"ignoreNullFields": str(not keep_nulls).lower()})
+    options = {"ignoreNullFields": str(not keep_nulls).lower(), **times.ISO_TEXT}
+    value = F.to_json(F.struct(*df.columns), options)
     return df.select(F.col(key).cast("string").alias("key"), value.alias("value"))

@@ -7,18 +7,20 @@ from datetime import datetime
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weatherloom.functions import times
+
 VERSION = "export_ts"
 VERSION_FORMAT = "%Y%m%d_%H%M%S"
 
 
 def to_csv(df: DataFrame, path: str) -> None:
     """CSV with a header, in as many files as the data has partitions."""
-    df.write.mode("overwrite").option("header", True).csv(path)
+    df.write.mode("overwrite").option("header", True).options(**times.ISO_TEXT).csv(path)
 
 
 def to_json(df: DataFrame, path: str) -> None:
     """One JSON object per line."""
-    df.write.mode("overwrite").json(path)
+    df.write.mode("overwrite").options(**times.ISO_TEXT).json(path)
 
 
 def versioned(df: DataFrame, root: str, at: datetime | None = None) -> str:
