@@ -293,7 +293,7 @@ def location_comfort(spark, sf_dir):
 )
 def median_approx(spark, sf_dir):
     measured = ("temperature", "humidity", "pressure")
-    return six(readings(spark, sf_dir).agg(*[impute.median(c).alias(f"median_{c}") for c in measured]))
+    return six(readings(spark, sf_dir).agg(*[impute.approximate_median(c).alias(f"median_{c}") for c in measured]))
 
 
 @registered(

@@ -2,12 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
-from pyspark.sql import functions as F
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import types as T
 
 from weatherloom import schemas
-from weatherloom.functions import times
 from weatherloom.operators import project
 
 EVENTS = T.StructType(
@@ -21,10 +19,6 @@ EVENTS = T.StructType(
     ]
 )
 
-SENSOR_PREFIXES = ("TEMP_", "HUM_", "PRES_", "10.0.0.")
-CORRECTION_OFFSET = 1_000_000_000
-
-
 def events(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spark.read.schema(EVENTS).parquet(f"{sf_dir}/events.parquet")
 
@@ -37,25 +31,20 @@ def event_stream(spark: SparkSession, sf_dir: str, files_per_batch: int | None =
     return reader.parquet(f"{sf_dir}/events.parquet*")
 
 
-def _missing_every(n: int, value: Column) -> Column:
-    return F.when(F.col("event_id") % n != 0, value)
-
-
 def as_readings(df: DataFrame) -> DataFrame:
     """Readings with some missing values."""
-    event = F.col("event_id")
-    prefix = F.element_at(F.array(*[F.lit(p) for p in SENSOR_PREFIXES]), (F.col("user_id") % 4 + 1).cast("int"))
-    readings = df.select(
-        event.alias("id"),
-        F.concat(prefix, F.lpad(F.col("user_id").cast("string"), 6, "0")).alias("sensor_id"),
-        _missing_every(37, F.col("value") - 20).alias("temperature"),
-        _missing_every(41, F.get_json_object("props", "$.k").cast("double")).alias("humidity"),
-        _missing_every(43, 780 + (event * 7919 % 50000).cast("double") / 100).alias("pressure"),
-        F.col("ts").alias("timestamp"),
-        F.col("value").alias("pm25"),
-        (event * 31 % 2500).cast("int").alias("light"),
-        _missing_every(53, F.col("event_type")).alias("location"),
-        (F.col("ts") + F.expr("INTERVAL 1 HOUR")).alias("ingestion_timestamp"),
+    readings = df.selectExpr(
+        "event_id AS id",
+        """concat(CASE user_id % 4 WHEN 0 THEN 'TEMP_' WHEN 1 THEN 'HUM_' WHEN 2 THEN 'PRES_' ELSE '10.0.0.' END,
+                  lpad(CAST(user_id AS string), 6, '0')) AS sensor_id""",
+        "CASE WHEN event_id % 37 <> 0 THEN value - 20 END AS temperature",
+        "CASE WHEN event_id % 41 <> 0 THEN CAST(get_json_object(props, '$.k') AS double) END AS humidity",
+        "CASE WHEN event_id % 43 <> 0 THEN 780 + CAST(event_id * 7919 % 50000 AS double) / 100 END AS pressure",
+        "ts AS timestamp",
+        "value AS pm25",
+        "CAST(event_id * 31 % 2500 AS int) AS light",
+        "CASE WHEN event_id % 53 <> 0 THEN event_type END AS location",
+        "ts + INTERVAL 1 HOUR AS ingestion_timestamp",
     )
     return schemas.nan_to_null(readings)
 
@@ -69,24 +58,23 @@ def as_readings_raw(df: DataFrame) -> DataFrame:
 
     Each reading is turned into its versions in place, so the table is read once.
     """
-    reading = F.col("id")
-    none = F.array().cast("array<int>")
-    versions = F.concat(
-        F.array(F.lit(0)),
-        F.when(reading % 100 == 0, F.array(F.lit(0))).otherwise(none),
-        F.when(reading % 97 == 0, F.array(F.lit(1))).otherwise(none),
+    versions = df.selectExpr(
+        "*",
+        """explode(concat(array(0), if(id % 100 = 0, array(0), array()),
+                          if(id % 97 = 0, array(1), array()))) AS version""",
+    )
+    return versions.selectExpr(
+        "id + version * 1000000000 AS id",
+        "sensor_id",
+        "temperature + version AS temperature",
+        "humidity",
+        "pressure",
+        "timestamp",
+        "pm25",
+        "light",
+        "location",
+        "if(version = 1, ingestion_timestamp + INTERVAL 1 HOUR, ingestion_timestamp) AS ingestion_timestamp",
     )
-    version = F.col("_version")
-    each = df.withColumn("_version", F.explode(versions))
-    return each.withColumns(
-        {
-            "id": reading + version * CORRECTION_OFFSET,
-            "temperature": F.col("temperature") + version,
-            "ingestion_timestamp": F.when(
-                version == 1, F.col("ingestion_timestamp") + F.expr("INTERVAL 1 HOUR")
-            ).otherwise(F.col("ingestion_timestamp")),
-        }
-    ).drop("_version")
 
 
 def readings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -95,17 +83,14 @@ def readings_raw(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def as_all_columns(df: DataFrame) -> DataFrame:
     """Add the columns that only pass through, and the arrival time."""
-    reading = F.col("id")
-    day = F.date_trunc("DAY", F.col("ingestion_timestamp"))
-    return df.withColumns(
-        {
-            "uv_level": (reading * 17 % 16).cast("int"),
-            "rain_raw": (reading * 13 % 801).cast("int"),
-            "wind_raw": (reading * 11 % 401).cast("int"),
-            "vibration": reading % 5 == 0,
-            "batch_id": times.batch_stamp(day),
-            "inserted_at": F.col("ingestion_timestamp"),
-        }
+    return df.selectExpr(
+        "*",
+        "CAST(id * 17 % 16 AS int) AS uv_level",
+        "CAST(id * 13 % 801 AS int) AS rain_raw",
+        "CAST(id * 11 % 401 AS int) AS wind_raw",
+        "id % 5 = 0 AS vibration",
+        "concat('batch_', date_format(date_trunc('DAY', ingestion_timestamp), 'yyyyMMdd_HHmmss')) AS batch_id",
+        "ingestion_timestamp AS inserted_at",
     )
 
 
@@ -119,13 +104,13 @@ def as_source(df: DataFrame) -> DataFrame:
 
     ``ip`` instead of ``sensor_id``, no location, and a serial id that starts at 1.
     """
-    return as_all_columns(df).select(
-        (F.col("id") + 1).alias("id"),
-        F.col("sensor_id").alias("ip"),
+    return as_all_columns(df).selectExpr(
+        "id + 1 AS id",
+        "sensor_id AS ip",
         "temperature",
         "humidity",
         "pressure",
-        F.col("timestamp").cast("timestamp").alias("timestamp"),
+        "CAST(timestamp AS timestamp) AS timestamp",
         "pm25",
         "light",
         "uv_level",

@@ -45,14 +45,3 @@ def sensor_category(sensor_id: Column) -> Column:
 
 def sensor_name(sensor_id: Column) -> Column:
     return F.concat(F.lit(V.SENSOR_NAME_PREFIX), F.right(sensor_id, F.lit(2)))
-
-
-def slug(text: Column) -> Column:
-    return F.replace(F.lower(text), F.lit(" "), F.lit("_"))
-
-
-def filled(pattern: str, value: Column) -> Column:
-    """``pattern`` with its ``{}`` replaced by a column."""
-    before, after = pattern.split("{}")
-    parts = [F.lit(p) for p in (before,) if p] + [value] + [F.lit(p) for p in (after,) if p]
-    return F.concat(*parts)

@@ -2,32 +2,67 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from weatherloom import fixed_values as V
 from weatherloom.operators import groupstats
 
-
 # relative rank error is 1 / precision; the sketch behind it grows with precision
-GLOBAL_PRECISION = 100_000
-SENSOR_PRECISION = 10_000
+SKETCH_PRECISION = 100_000
+ROWS = "_rows"
+
 
+def approximate_median(column: str, precision: int = SKETCH_PRECISION) -> Column:
+    """A median from a sketch; exact while there are fewer values than ``precision``.
 
-def median(column: str, precision: int = GLOBAL_PRECISION) -> Column:
-    """The approximate median, exact while there are fewer values than ``precision``."""
+    Every task sends its sketch to the one task that merges them. Over very
+    many tasks :func:`medians` is the better choice.
+    """
     return F.percentile_approx(column, 0.5, precision)
 
 
+def medians(df: DataFrame, columns, key: str | None = None) -> DataFrame:
+    """Exact discrete median of each column, over all rows or per ``key``.
+
+    Equal values are counted first, inside each task and then across tasks.
+    Sensors report two decimals, so what is left to order is a few thousand
+    counts per measure, whether a sensor sent a hundred readings or a third of
+    the table. With ``key`` the result also has the number of rows in ``readings``.
+    """
+    keys = [key] if key else []
+    cells = [(c, F.col(c).cast("double")) for c in columns] + ([(ROWS, F.lit(0.0))] if key else [])
+    measured = df.select(
+        *keys,
+        F.inline(F.array(*[F.struct(F.lit(c).alias("measure"), v.alias("value")) for c, v in cells])),
+    ).filter(F.col("value").isNotNull())
+    counts = measured.groupBy(*keys, "measure", "value").agg(F.count(F.lit(1)).alias("n"))
+
+    group = Window.partitionBy(*keys, "measure")
+    up_to_here = group.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    ranked = counts.select(
+        *keys,
+        "measure",
+        "value",
+        F.sum("n").over(up_to_here).alias("up_to"),
+        F.sum("n").over(group).alias("total"),
+    )
+    upper_half = ranked.filter(2 * F.col("up_to") >= F.col("total"))
+    measure = F.col("measure")
+    return upper_half.groupBy(*keys).agg(
+        *([F.max(F.when(measure == ROWS, F.col("total"))).alias("readings")] if key else []),
+        *[F.min(F.when(measure == c, F.col("value"))).alias(c) for c in columns],
+    )
+
+
 def _existing(df: DataFrame, columns) -> list[str]:
     return [c for c in columns if c in df.columns]
 
 
-def _fill_global(df: DataFrame, statistics: dict[str, Column]) -> DataFrame:
-    """Replace NULLs by statistics taken in one pass."""
-    known = groupstats.with_global(df, "_fill", *[s.alias(c) for c, s in statistics.items()])
-    filled = {c: F.coalesce(F.col(c).cast("double"), F.col("_fill")[c]) for c in statistics}
-    return known.withColumns(filled).drop("_fill")
+def _filled(df: DataFrame, columns, *fills: str) -> DataFrame:
+    """Fill each column from the struct columns ``fills``, in their order."""
+    known = {c: F.coalesce(F.col(c).cast("double"), *[F.col(f)[c] for f in fills]) for c in columns}
+    return df.withColumns(known).drop(*fills)
 
 
 def mean_global(df: DataFrame, columns=V.MEAN_IMPUTED_COLUMNS, skip_zero: bool = False) -> DataFrame:
@@ -35,15 +70,20 @@ def mean_global(df: DataFrame, columns=V.MEAN_IMPUTED_COLUMNS, skip_zero: bool =
 
     ``skip_zero`` leaves a column alone whose mean is exactly zero.
     """
-    def statistic(c: str) -> Column:
-        return F.nullif(F.avg(c), F.lit(0.0)) if skip_zero else F.avg(c)
+    columns = _existing(df, columns)
+    means = [F.nullif(F.avg(c), F.lit(0.0)) if skip_zero else F.avg(c) for c in columns]
+    known = groupstats.with_global(df, "_mean", *[m.alias(c) for c, m in zip(columns, means)])
+    return _filled(known, columns, "_mean")
 
-    return _fill_global(df, {c: statistic(c) for c in _existing(df, columns)})
+
+def _with_global_medians(df: DataFrame, source: DataFrame, columns) -> DataFrame:
+    return df.withColumn("_median", medians(source, columns).select(F.struct(*columns)).scalar())
 
 
 def median_global(df: DataFrame, columns=V.MEDIAN_IMPUTED_COLUMNS) -> DataFrame:
-    """NULL becomes the column's approximate median."""
-    return _fill_global(df, {c: median(c) for c in _existing(df, columns)})
+    """NULL becomes the column's median."""
+    columns = _existing(df, columns)
+    return _filled(_with_global_medians(df, df, columns), columns, "_median")
 
 
 def median_per_sensor(
@@ -54,15 +94,10 @@ def median_per_sensor(
 ) -> DataFrame:
     """NULL becomes the sensor's median, or the global one where the sensor has none."""
     columns = _existing(df, columns)
-    per_sensor = df.groupBy(key).agg(
-        F.count(F.lit(1)).alias("readings"), *[median(c, SENSOR_PRECISION).alias(f"_median_{c}") for c in columns]
-    )
-    attached = groupstats.attach(df, per_sensor, key, broadcast_keys=broadcast_keys)
-    overall = df.agg(F.struct(*[median(c).alias(c) for c in columns])).scalar()
-    filled = {
-        c: F.coalesce(F.col(c).cast("double"), F.col(f"_median_{c}"), F.col("_overall")[c]) for c in columns
-    }
-    return attached.withColumn("_overall", overall).withColumns(filled).select(*df.columns)
+    own = medians(df, columns, key).select(key, "readings", F.struct(*columns).alias("_own"))
+    attached = groupstats.attach(df, own, key, broadcast_keys=broadcast_keys)
+    filled = _filled(_with_global_medians(attached, df, columns), columns, "_own", "_median")
+    return filled.select(*df.columns)
 
 
 def unknown_location(df: DataFrame) -> DataFrame:

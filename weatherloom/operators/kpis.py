@@ -12,40 +12,48 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weatherloom import fixed_values as V
-from weatherloom.functions import ladders, measures, times
-
-KPI_ROW = ("kpi_name", "kpi_category", "kpi_value", "kpi_unit", "description", "sensor_id", "location")
+from weatherloom.functions import ladders, times
 
 # grouping_id of (sensor_id, location): a set bit means "rolled up"
 ALL_READINGS, ONE_SENSOR, ONE_LOCATION = 3, 1, 2
 
 
-def _kpi(spec, value: Column, keep: Column | None = None, key: Column | None = None, **ids: Column) -> Column:
+def _text(value: str) -> str:
+    return "'" + value.replace("'", "\\'") + "'"
+
+
+def _slug(column: str) -> str:
+    return f"replace(lower({column}), ' ', '_')"
+
+
+def _filled(pattern: str, value: str | None) -> str:
+    """SQL text for a pattern whose ``{}`` is filled from a column."""
+    if value is None:
+        return _text(pattern)
+    return "concat(" + ", ".join([_text(pattern.split("{}")[0]), value, _text(pattern.split("{}")[1])]) + ")"
+
+
+def _kpi(spec, value: str, keep: str | None = None, sensor: str | None = None, location: str | None = None) -> str:
+    """SQL text of one long row; NULL where ``keep`` does not hold."""
     name, category, unit, text = spec
-    if key is not None:
-        name_key = ids.pop("name_key", key)
-        name, text = measures.filled(name, name_key), measures.filled(text, key)
-    else:
-        name, text = F.lit(name), F.lit(text)
-    nothing = F.lit(None).cast("string")
-    row = F.struct(
-        name.alias("kpi_name"),
-        F.lit(category).alias("kpi_category"),
-        value.cast("double").alias("kpi_value"),
-        F.lit(unit).alias("kpi_unit"),
-        text.alias("description"),
-        ids.get("sensor_id", nothing).alias("sensor_id"),
-        ids.get("location", nothing).alias("location"),
-    )
-    return row if keep is None else F.when(keep, row)
+    key = sensor or location
+    row = f"""named_struct(
+        'kpi_name', {_filled(name, _slug(key) if location else key)},
+        'kpi_category', {_text(category)},
+        'kpi_value', CAST({value} AS double),
+        'kpi_unit', {_text(unit)},
+        'description', {_filled(text, key)},
+        'sensor_id', {sensor or "CAST(NULL AS string)"},
+        'location', {location or "CAST(NULL AS string)"})"""
+    return row if keep is None else f"if({keep}, {row}, NULL)"
 
 
-def _explode_rows(df: DataFrame, rows: Column) -> DataFrame:
-    return df.select(F.inline(F.array_compact(rows)))
+def _array(rows: list[str]) -> str:
+    return "array(" + ", ".join(rows) + ")"
 
 
-def _long(df: DataFrame, rows: list[Column], drop: tuple[str, ...] = ()) -> DataFrame:
-    return _explode_rows(df, F.array(*rows)).drop(*drop)
+def _long(df: DataFrame, rows: list[str], drop: tuple[str, ...] = ()) -> DataFrame:
+    return df.selectExpr(f"inline(array_compact({_array(rows)}))").drop(*drop)
 
 
 def general(df: DataFrame) -> DataFrame:
@@ -55,7 +63,7 @@ def general(df: DataFrame) -> DataFrame:
         F.count_distinct("sensor_id").alias("sensors"),
         *[F.avg(c).alias(f"avg_{c}") for c in V.MEDIAN_IMPUTED_COLUMNS],
     )
-    return _long(one, [_kpi(s, F.col(k)) for k, s in V.GENERAL_KPIS.items()], ("sensor_id", "location"))
+    return _long(one, [_kpi(s, k) for k, s in V.GENERAL_KPIS.items()], ("sensor_id", "location"))
 
 
 def per_sensor(df: DataFrame) -> DataFrame:
@@ -70,12 +78,11 @@ def per_sensor(df: DataFrame) -> DataFrame:
             F.count(F.lit(1)).alias("readings"),
         )
     )
-    return _long(sensors, _sensor_rows({k: F.col(k) for k in V.SENSOR_KPIS}), ("location",))
+    return _long(sensors, _sensor_rows(), ("location",))
 
 
-def _sensor_rows(values: dict[str, Column]) -> list[Column]:
-    key = F.col("sensor_id")
-    return [_kpi(s, values[k], key=key, sensor_id=key) for k, s in V.SENSOR_KPIS.items()]
+def _sensor_rows() -> list[str]:
+    return [_kpi(s, k, sensor="sensor_id") for k, s in V.SENSOR_KPIS.items()]
 
 
 def per_location(df: DataFrame) -> DataFrame:
@@ -88,15 +95,11 @@ def per_location(df: DataFrame) -> DataFrame:
             F.avg("temperature").alias("avg_temperature"),
         )
     )
-    return _long(places, _location_rows({k: F.col(k) for k in V.LOCATION_KPIS}), ("sensor_id",))
+    return _long(places, _location_rows(), ("sensor_id",))
 
 
-def _location_rows(values: dict[str, Column]) -> list[Column]:
-    key = F.col("location")
-    return [
-        _kpi(s, values[k], key=key, name_key=measures.slug(key), location=key)
-        for k, s in V.LOCATION_KPIS.items()
-    ]
+def _location_rows() -> list[str]:
+    return [_kpi(s, k, location="location") for k, s in V.LOCATION_KPIS.items()]
 
 
 def _since(as_of: Column, column: str = "timestamp") -> dict[str, Column]:
@@ -110,7 +113,7 @@ def _since(as_of: Column, column: str = "timestamp") -> dict[str, Column]:
 def temporal(df: DataFrame, as_of=None) -> DataFrame:
     """Readings of the last day and week; a row only where there are any."""
     one = df.agg(*[c.alias(k) for k, c in _since(times.moment(as_of)).items()])
-    rows = [_kpi(s, F.col(k), keep=F.col(k) > 0) for k, s in V.TEMPORAL_KPIS.items()]
+    rows = [_kpi(s, k, keep=f"{k} > 0") for k, s in V.TEMPORAL_KPIS.items()]
     return _long(one, rows, ("sensor_id", "location"))
 
 
@@ -124,7 +127,7 @@ def quality(df: DataFrame) -> DataFrame:
         F.avg("data_quality_score").alias("avg_quality"),
         _high_quality().alias("high_quality"),
     )
-    return _long(one, [_kpi(s, F.col(k)) for k, s in V.QUALITY_KPIS.items()], ("sensor_id", "location"))
+    return _long(one, [_kpi(s, k) for k, s in V.QUALITY_KPIS.items()], ("sensor_id", "location"))
 
 
 def completeness(df: DataFrame) -> DataFrame:
@@ -133,12 +136,14 @@ def completeness(df: DataFrame) -> DataFrame:
         F.count(F.lit(1)).alias("readings"),
         *[F.count(c).alias(c) for c in V.COMPLETENESS_KPIS],
     )
-    some = F.col("readings") > 0
-    rows = [
-        _kpi(s, F.try_divide(100.0 * F.col(c), F.col("readings")), keep=some)
+    return _long(one, _completeness_rows("{}"), ("sensor_id", "location"))
+
+
+def _completeness_rows(count: str) -> list[str]:
+    return [
+        _kpi(s, f"try_divide(100D * {count.format(c)}, readings)", keep="readings > 0")
         for c, s in V.COMPLETENESS_KPIS.items()
     ]
-    return _long(one, rows, ("sensor_id", "location"))
 
 
 def alert_counts(
@@ -158,7 +163,7 @@ def alert_counts(
 def alerts(df: DataFrame) -> DataFrame:
     """Readings beyond each limit, as long rows."""
     one = df.agg(*[c.alias(k) for k, c in alert_counts().items()])
-    return _long(one, [_kpi(s, F.col(k)) for k, s in V.ALERT_KPIS.items()], ("sensor_id", "location"))
+    return _long(one, [_kpi(s, k) for k, s in V.ALERT_KPIS.items()], ("sensor_id", "location"))
 
 
 def alert_summary(df: DataFrame, low_temperature: float = V.LOW_TEMPERATURE) -> DataFrame:
@@ -229,31 +234,22 @@ def long_table(df: DataFrame, as_of=None, generated_at=None) -> DataFrame:
         )
     )
 
-    def mean(c: str) -> Column:
-        return F.try_divide(F.col(f"sum_{c}"), F.col(f"n_{c}"))
-
-    values = {c: F.col(c) for c in ("readings", "sensors", "max_temperature", "min_temperature")}
-    values.update({f"avg_{c}": mean(c) for c in measured})
-    if scored:
-        values.update({"avg_quality": mean("quality"), "high_quality": F.col("high_quality")})
-    some = F.col("readings") > 0
+    averaged = (*measured, "quality") if scored else measured
+    means = groups.selectExpr("*", *[f"try_divide(sum_{c}, n_{c}) AS avg_{c}" for c in averaged])
     overall = (
-        [_kpi(s, values[k]) for k, s in V.GENERAL_KPIS.items()]
-        + [_kpi(s, F.col(k), keep=F.col(k) > 0) for k, s in V.TEMPORAL_KPIS.items()]
-        + [_kpi(s, values[k]) for k, s in V.QUALITY_KPIS.items() if scored]
-        + [
-            _kpi(s, F.try_divide(100.0 * F.col(f"n_{c}"), F.col("readings")), keep=some)
-            for c, s in V.COMPLETENESS_KPIS.items()
-        ]
-        + [_kpi(s, F.col(k)) for k, s in V.ALERT_KPIS.items()]
-    )
-    level = F.col("level")
-    rows = (
-        F.when(level == ALL_READINGS, F.array(*overall))
-        .when((level == ONE_SENSOR) & F.col("sensor_id").isNotNull(), F.array(*_sensor_rows(values)))
-        .when((level == ONE_LOCATION) & F.col("location").isNotNull(), F.array(*_location_rows(values)))
+        [_kpi(s, k) for k, s in V.GENERAL_KPIS.items()]
+        + [_kpi(s, k, keep=f"{k} > 0") for k, s in V.TEMPORAL_KPIS.items()]
+        + [_kpi(s, k) for k, s in V.QUALITY_KPIS.items() if scored]
+        + _completeness_rows("n_{}")
+        + [_kpi(s, k) for k, s in V.ALERT_KPIS.items()]
     )
-    return _explode_rows(groups, rows).withColumn("generated_at", times.moment(generated_at))
+    rows = f"""CASE
+        WHEN level = {ALL_READINGS} THEN {_array(overall)}
+        WHEN level = {ONE_SENSOR} AND sensor_id IS NOT NULL THEN {_array(_sensor_rows())}
+        WHEN level = {ONE_LOCATION} AND location IS NOT NULL THEN {_array(_location_rows())}
+        END"""
+    long_rows = means.selectExpr(f"inline(array_compact({rows}))")
+    return long_rows.withColumn("generated_at", times.moment(generated_at))
 
 
 def wide(

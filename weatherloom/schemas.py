@@ -70,7 +70,7 @@ def nan_to_null(df: DataFrame) -> DataFrame:
     extremes and counts skip it.
     """
     floating = [f.name for f in df.schema.fields if isinstance(f.dataType, (T.DoubleType, T.FloatType))]
-    return df.withColumns({c: F.when(~F.isnan(c), F.col(c)) for c in floating}) if floating else df
+    return df.withColumns({c: F.expr(f"CASE WHEN NOT isnan(`{c}`) THEN `{c}` END") for c in floating}) if floating else df
 
 
 def with_sensor_id(df: DataFrame) -> DataFrame:

@@ -15,6 +15,8 @@ DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # plans here hold hundreds of columns; do not record the Python line of each
+    "spark.python.sql.dataFrameDebugging.enabled": "false",
     # lets a filter on a statistic reach the file scan
     "spark.sql.parquet.filterPushdown": "true",
 }

@@ -2,14 +2,10 @@
 
 from __future__ import annotations
 
-from functools import reduce
-from operator import or_
-
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weatherloom import fixed_values as V
-from weatherloom.functions import times
 
 # fixed values: message fields by kind; an absent field takes the kind's default
 WHOLE_NUMBERS = ("id", "light", "uv_level", "rain_raw", "wind_raw")
@@ -19,45 +15,51 @@ TEXTS = {"sensor_id": V.UNKNOWN_SENSOR, "location": V.UNKNOWN_LOCATION, "batch_i
 FLAG = "vibration"
 
 FIELDS = (*V.SOURCE_COLUMNS, *V.LINEAGE_COLUMNS)
+UNREADABLE = "_unreadable"
 
 
-def _number(text: Column, whole: bool) -> Column:
+def _number(name: str) -> str:
     """The number in a text, else NULL. Fractions of whole numbers are cut off."""
-    decimal = text.try_cast("double")
-    decimal = F.when(~F.isnan(decimal), decimal)
-    return F.coalesce(text.try_cast("bigint"), decimal.try_cast("bigint")) if whole else decimal
-
-
-def _flag(text: Column) -> Column:
-    number = text.try_cast("double")
-    return F.coalesce(text.try_cast("boolean"), number != 0, F.lit(False))
+    decimal = f"nullif(try_cast(_given.{name} AS double), double('NaN'))"
+    if name in DECIMALS:
+        return decimal
+    return f"coalesce(try_cast(_given.{name} AS bigint), try_cast({decimal} AS bigint))"
 
 
 def decoded(messages: DataFrame, value: str = "value") -> DataFrame:
     """Typed readings plus ``rejected`` and the original text.
 
     A message is rejected if it is no JSON object, or if a numeric field is
-    there without holding a number. A field that is absent takes its default,
-    which is why the object is read as a map: it can tell absent from null.
+    there without holding a number. A field that is absent takes its default.
+    To tell an absent field from a null one the names in a message are listed,
+    but only where some number is missing.
     """
-    fields = F.from_json(F.col(value), "map<string,string>")
-    df = messages.withColumn("_fields", fields)
-    given = F.col("_fields")
-    columns: dict[str, Column] = {}
-    wrong: list[Column] = [given.isNull()]
-    for name in (*WHOLE_NUMBERS, *DECIMALS):
-        number = _number(given[name], name in WHOLE_NUMBERS)
-        zero = F.lit(0).cast("bigint" if name in WHOLE_NUMBERS else "double")
-        columns[name] = F.coalesce(number, zero)
-        wrong.append(F.map_contains_key(given, name) & number.isNull())
-    for name in TIMES:
-        columns[name] = times.parsed_timestamp(given[name])
-    for name, default in TEXTS.items():
-        columns[name] = F.coalesce(given[name], F.lit(default))
-    columns[FLAG] = _flag(given[FLAG])
-    rejected = F.coalesce(reduce(or_, wrong), F.lit(True))
-    return df.select(
-        *[columns[c].alias(c) for c in FIELDS], rejected.alias("rejected"), F.col(value).alias("message")
+    numeric = (*WHOLE_NUMBERS, *DECIMALS)
+    texts = ", ".join(f"{c} string" for c in (*FIELDS, UNREADABLE))
+    given = F.from_json(value, texts, {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": UNREADABLE})
+    read = messages.select(F.col(value).alias("message"), given.alias("_given"))
+
+    numbers = read.selectExpr("message", "_given", *[f"{_number(c)} AS {c}" for c in numeric])
+    some_missing = " OR ".join(f"{c} IS NULL" for c in numeric)
+    named = numbers.selectExpr(
+        "*",
+        f"_given IS NULL OR _given.{UNREADABLE} IS NOT NULL AS _broken",
+        f"CASE WHEN {some_missing} THEN json_object_keys(message) END AS _names",
+    )
+    wrong = [
+        f"({c} IS NULL AND (_given.{c} IS NOT NULL OR array_contains(_names, '{c}')))" for c in numeric
+    ]
+    columns = {
+        **{c: f"coalesce({c}, 0)" for c in WHOLE_NUMBERS},
+        **{c: f"coalesce({c}, 0D)" for c in DECIMALS},
+        **{c: f"try_to_timestamp(_given.{c})" for c in TIMES},
+        **{c: f"coalesce(_given.{c}, '{default}')" for c, default in TEXTS.items()},
+        FLAG: f"coalesce(try_cast(_given.{FLAG} AS boolean), try_cast(_given.{FLAG} AS double) <> 0, false)",
+    }
+    return named.selectExpr(
+        *[f"{columns[c]} AS {c}" for c in FIELDS],
+        f"_broken OR coalesce({' OR '.join(wrong)}, true) AS rejected",
+        "message",
     )
 
 
