@@ -22,16 +22,21 @@ def approximate_median(column: str, precision: int = SKETCH_PRECISION) -> Column
     return F.percentile_approx(column, 0.5, precision)
 
 
-def medians(df: DataFrame, columns, key: str | None = None) -> DataFrame:
-    """Exact discrete median of each column, over all rows or per ``key``.
+def medians(df: DataFrame, columns, key: str | None = None, decimals: int = V.DECIMALS) -> DataFrame:
+    """Discrete median of each column, over all rows or per ``key``.
 
     Equal values are counted first, inside each task and then across tasks.
-    Sensors report two decimals, so what is left to order is a few thousand
-    counts per measure, whether a sensor sent a hundred readings or a third of
-    the table. With ``key`` the result also has the number of rows in ``readings``.
+    Values have the two decimals the source declares, three or five digits
+    before them, so there are at most 200,000 or 20,000,000 counts per measure
+    to put in order, and in practice some thousands, whether a sensor sent a
+    hundred readings or a third of the table. ``decimals`` holds that bound
+    where computed values carry more digits. With ``key`` the result also has
+    the number of rows in ``readings``.
     """
     keys = [key] if key else []
-    cells = [(c, F.col(c).cast("double")) for c in columns] + ([(ROWS, F.lit(0.0))] if key else [])
+    cells = [(c, F.round(F.col(c).cast("double"), decimals)) for c in columns]
+    if key:
+        cells.append((ROWS, F.lit(0.0)))
     measured = df.select(
         *keys,
         F.inline(F.array(*[F.struct(F.lit(c).alias("measure"), v.alias("value")) for c, v in cells])),

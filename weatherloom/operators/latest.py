@@ -32,16 +32,18 @@ def newest_batches(
     """Rows of the ``n`` batches that arrived last.
 
     Arrival time decides, so a first load does not outrank later increments.
-    The list joined back has at most ``n`` rows.
+    The list joined back has at most ``n`` rows. The earliest arrival among
+    these batches goes along as a plain bound on ``at``: a table written batch
+    by batch is then read from that batch on, not from its beginning.
     """
     recent = (
         df.groupBy(batch)
-        .agg(F.max(at).alias("_arrived"))
-        .orderBy(F.desc("_arrived"), F.desc(batch))
+        .agg(F.max(at).alias("_last"), F.min(at).alias("_first"))
+        .orderBy(F.desc("_last"), F.desc(batch))
         .limit(n)
-        .select(batch)
     )
-    return df.join(F.broadcast(recent), batch, "left_semi")
+    since = recent.agg(F.min("_first")).scalar()
+    return df.filter(F.col(at) >= since).join(F.broadcast(recent.select(batch)), batch, "left_semi")
 
 
 def newest_snapshot(df: DataFrame, column: str = "generated_at") -> DataFrame:

@@ -15,9 +15,13 @@ def by_range(df: DataFrame, nulls: str = "drop") -> DataFrame:
     could differ when a lost task is run again. The quality score is taken
     before imputation, so that it tells what was measured.
     """
+    return distinct_by_range(duplicates.last_per_key(df), nulls)
+
+
+def distinct_by_range(df: DataFrame, nulls: str = "drop") -> DataFrame:
+    """The steps of :func:`by_range` after duplicates are gone."""
     return (
-        df.transform(duplicates.last_per_key)
-        .transform(filters.present, "sensor_id", "timestamp")
+        df.transform(filters.present, "sensor_id", "timestamp")
         .transform(filters.valid_range, nulls)
         .transform(project.quality_score)
         .transform(impute.median_global)
@@ -28,7 +32,12 @@ def by_range(df: DataFrame, nulls: str = "drop") -> DataFrame:
 
 def by_sigma(df: DataFrame) -> DataFrame:
     """Identical rows, five sample deviations of temperature, means."""
-    return df.transform(duplicates.exact).transform(filters.sigma).transform(impute.mean_global)
+    return distinct_by_sigma(duplicates.exact(df))
+
+
+def distinct_by_sigma(df: DataFrame) -> DataFrame:
+    """The steps of :func:`by_sigma` after duplicates are gone."""
+    return df.transform(filters.sigma).transform(impute.mean_global)
 
 
 def by_sigma_with_times(df: DataFrame) -> DataFrame:

@@ -15,7 +15,7 @@ from pyspark.sql import functions as F
 from weatherloom import fixed_values as V
 from weatherloom import schemas
 from weatherloom.functions import times
-from weatherloom.operators import duplicates, filters, impute, kpis, latest, sensors, summary
+from weatherloom.operators import duplicates, kpis, latest, sensors
 from weatherloom.plans import cleaning
 from weatherloom.sinks import audit, export, lake
 from weatherloom.sinks.lake import Lake
@@ -39,14 +39,15 @@ def bronze_to_silver(
     bronze = lake.read_bronze(spark, store).transform(schemas.with_sensor_id).transform(schemas.nan_to_null)
     if newest_batches is not None:
         bronze = bronze.transform(latest.newest_batches, newest_batches)
+    # From here on the distinct readings are read more than once: for the
+    # statistics and for the rows. They are written once instead of being
+    # shuffled for each of these passes.
     if method == "range":
         distinct = lake.staged(duplicates.last_per_key(bronze), store.staging)
-        cleaned = cleaning.by_range(distinct)
+        cleaned = cleaning.distinct_by_range(distinct)
     elif method == "sigma":
-        # the distinct readings are read three times from here on: for the
-        # bounds, for the means, and for the rows
         distinct = lake.staged(duplicates.exact(bronze), store.staging)
-        cleaned = distinct.transform(filters.sigma).transform(impute.mean_global)
+        cleaned = cleaning.distinct_by_sigma(distinct)
     else:
         raise ValueError("method must be 'sigma' or 'range'")
     lake.write_snapshot(cleaned, store.silver)
@@ -91,20 +92,32 @@ def export_kpis(spark: SparkSession, store: Lake, at: datetime | None = None) ->
     return export.versioned(newest, f"{store.exports}/kpis", at)
 
 
-def initial(source: DataFrame, store: Lake, method: str = "sigma", as_of=None, page_size: int = V.PAGE_SIZE) -> None:
+def initial(
+    source: DataFrame,
+    store: Lake,
+    method: str = "sigma",
+    as_of=None,
+    page_size: int = V.PAGE_SIZE,
+    up_to: int | None = None,
+) -> None:
     """Load everything, clean it, compute the KPIs."""
     spark = source.sparkSession
-    lake.initial_load(source, store, page_size=page_size)
+    lake.initial_load(source, store, page_size=page_size, up_to=up_to)
     bronze_to_silver(spark, store, method)
     silver_to_gold(spark, store, as_of)
 
 
 def incremental(
-    source: DataFrame, store: Lake, method: str = "sigma", as_of=None, newest_batches: int | None = None
+    source: DataFrame,
+    store: Lake,
+    method: str = "sigma",
+    as_of=None,
+    newest_batches: int | None = None,
+    up_to: int | None = None,
 ) -> None:
     """Add what is new since the mark, then clean and compute again."""
     spark = source.sparkSession
-    lake.append_increment(source, store)
+    lake.append_increment(source, store, up_to=up_to)
     bronze_to_silver(spark, store, method, newest_batches)
     silver_to_gold(spark, store, as_of)
 
@@ -116,7 +129,8 @@ def full(
     as_of=None,
     newest_batches: int | None = None,
     at: datetime | None = None,
+    up_to: int | None = None,
 ) -> str:
     """The incremental job followed by the versioned export; returns the export's path."""
-    incremental(source, store, method, as_of, newest_batches)
+    incremental(source, store, method, as_of, newest_batches, up_to)
     return export_kpis(source.sparkSession, store, at)

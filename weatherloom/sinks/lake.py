@@ -7,6 +7,7 @@ from dataclasses import dataclass
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weatherloom import fixed_values as V
 from weatherloom import schemas
 from weatherloom.functions import times
 from weatherloom.operators import project
@@ -88,18 +89,25 @@ def _write_batch(batch: DataFrame, path: str) -> None:
     dated.write.mode("overwrite").partitionBy("ingest_date").parquet(path)
 
 
-def append_increment(source: DataFrame, lake: Lake, name: str = "sensor_readings", at=None) -> int:
+def _highest_id(source: DataFrame) -> int:
+    return source.agg(F.coalesce(F.max("id"), F.lit(0)).alias("highest")).first()["highest"]
+
+
+def append_increment(
+    source: DataFrame, lake: Lake, name: str = "sensor_readings", at=None, up_to: int | None = None
+) -> int:
     """Store the rows above the mark as one bronze batch; return how far the mark moved to.
 
     The batch covers ids above the old mark up to the highest id seen before
     reading, and its folder is named after the old mark. A run repeated after a
     failure therefore replaces its own half-written batch, and the mark moves
-    only once the batch is complete.
+    only once the batch is complete. ``up_to`` gives the highest id where it is
+    known already, as from a database's index.
     """
     spark = source.sparkSession
     at = times.moment(at)
     mark = last_mark(spark, lake, name)
-    highest = source.agg(F.coalesce(F.max("id"), F.lit(0)).alias("highest")).first()["highest"]
+    highest = _highest_id(source) if up_to is None else up_to
     if highest <= mark:
         return mark
     rows = source.filter((F.col("id") > mark) & (F.col("id") <= highest))
@@ -110,11 +118,16 @@ def append_increment(source: DataFrame, lake: Lake, name: str = "sensor_readings
 
 
 def initial_load(
-    source: DataFrame, lake: Lake, name: str = "sensor_readings", at=None, page_size: int = 1000
+    source: DataFrame,
+    lake: Lake,
+    name: str = "sensor_readings",
+    at=None,
+    page_size: int = V.PAGE_SIZE,
+    up_to: int | None = None,
 ) -> int:
     """Store the whole source in one parallel job, its pages numbered as batches."""
     at = times.moment(at)
-    highest = source.agg(F.coalesce(F.max("id"), F.lit(0)).alias("highest")).first()["highest"]
+    highest = _highest_id(source) if up_to is None else up_to
     rows = source.filter(F.col("id") <= highest).transform(project.canonical)
     batch = rows.transform(project.initial_batch_ids, page_size).withColumn("ingestion_timestamp", at)
     _write_batch(batch, f"{lake.bronze}/from_id=initial")

@@ -10,6 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from weatherloom import fixed_values as V
 from weatherloom.operators import filters, latest, project
 
 FETCH_SIZE = 10_000
@@ -45,24 +46,37 @@ def range_options(
     }
 
 
+def id_extent(
+    spark: SparkSession, url: str, name: str, after_id: int = 0, id_column: str = "id", **options: str
+) -> tuple[int, int]:
+    """Lowest and highest id above ``after_id``; both ``after_id`` if there is none.
+
+    The database answers from its index; no rows travel.
+    """
+    query = f"SELECT MIN({id_column}), MAX({id_column}) FROM {name} WHERE {id_column} > {int(after_id)}"
+    ends = spark.read.format("jdbc").options(url=url, query=query, **options).load().first()
+    return (after_id, after_id) if ends[0] is None else (ends[0], ends[1])
+
+
 def paged_table(
     spark: SparkSession,
     url: str,
     name: str,
-    page_size: int,
+    after_id: int = 0,
+    page_size: int = V.PAGE_SIZE,
     max_connections: int = 32,
     id_column: str = "id",
     **options: str,
-) -> DataFrame:
-    """The whole table, read as disjoint id ranges in parallel.
+) -> tuple[DataFrame, int]:
+    """Rows above ``after_id``, read as disjoint id ranges in parallel, and their highest id.
 
-    The ids present when the read begins fix its extent.
+    The ids present when the read begins fix its extent, for a first load
+    (``after_id`` 0) as for an increment.
     """
-    ends = table(spark, url, name, **options).agg(F.min(id_column), F.max(id_column)).first()
-    first_id, last_id = (0, 0) if ends[0] is None else ends
+    first_id, last_id = id_extent(spark, url, name, after_id, id_column, **options)
     ranges = range_options(first_id, last_id, page_size, max_connections, id_column)
     rows = table(spark, url, name, **ranges, **options)
-    return rows.filter(F.col(id_column).between(first_id, last_id))
+    return filters.id_after(rows, after_id, id_column, up_to=last_id), last_id
 
 
 def new_readings(source: DataFrame, last_id: int = 0, up_to=None) -> DataFrame:
