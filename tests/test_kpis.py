@@ -37,6 +37,12 @@ def test_wide_row_of_missing_measures(seed):
     assert "temperature_std" in columns and "alerts_json" in columns
 
 
+def test_long_families_of_missing_measures(seed):
+    short = seed.select("sensor_id", "temperature", "location")
+    assert kpis.general(short).count() == 3
+    assert kpis.alerts(short).count() == 2
+
+
 def test_low_temperature_variants(spark):
     df = spark.createDataFrame([(7.0, 50.0), (4.0, 50.0)], "temperature double, humidity double")
     df = df.withColumn("sensor_id", F.lit(None).cast("string")).withColumn("pm25", F.lit(30.0))

@@ -70,6 +70,10 @@ def test_full_job_writes_every_layer(spark, source, store):
     gold_log = audit.read(spark, f"{store.audit}/gold").first()
     assert gold_log.output_files == [jobs.WIDE, jobs.SENSORS, jobs.LONG]
     assert gold_log.sensors_analyzed == gold_log.total_sensors
+    names = ("kpis", "readings", "sensor_statistics", "log")
+    jobs.export_tables(spark, store, names)
+    counts = {n: spark.read.option("header", True).csv(f"{store.exports}/csv/{n}").count() for n in names}
+    assert counts == {"kpis": 1, "readings": silver.count(), "sensor_statistics": gold_log.total_sensors, "log": 1}
     long_kpis = export.latest_version(spark, f"{store.exports}/kpis")
     assert set(long_kpis.columns) == set(schemas.KPI_LONG.fieldNames())
 

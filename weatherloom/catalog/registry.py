@@ -26,6 +26,8 @@ AIR_QUALITY_FIVE = """CASE WHEN {0} > 150 THEN 'Peligroso' WHEN {0} > 100 THEN '
 AIR_QUALITY_FOUR = """CASE WHEN {0} <= 12 THEN 'Buena' WHEN {0} <= 35.4 THEN 'Moderada'
     WHEN {0} <= 55.4 THEN 'Insalubre para grupos sensibles' ELSE 'Insalubre' END"""
 
+# The given events as readings. ``readings_raw`` is the whole of ``readings`` with
+# exact copies and late corrections of some of them added.
 VIEWS = f"""readings AS (
   SELECT event_id AS id,
     concat(CASE user_id % 4 WHEN 0 THEN 'TEMP_' WHEN 1 THEN 'HUM_' WHEN 2 THEN 'PRES_' ELSE '10.0.0.' END,

@@ -86,8 +86,8 @@ def src_parquet_dir(spark, sf_dir):
 def src_file_filter(spark, sf_dir):
     root = scratch_path(spark, "mixed")
     df = readings(spark, sf_dir).select("id", "sensor_id", "temperature")
-    df.write.parquet(f"{root}/cleaned_data")
-    df.groupBy("sensor_id").agg(F.count("id").alias("id")).write.parquet(f"{root}/execution_log")
+    df.write.parquet(f"{root}/readings")
+    df.groupBy("sensor_id").agg(F.count("id").alias("id")).write.parquet(f"{root}/run_log")
     df.limit(1).select("sensor_id").write.text(f"{root}/notes")
     tree = files.parquet_tree(spark, root, schema=df.schema, name_glob="*.parquet")
     return tree.transform(files.data_files_only, root)
@@ -218,7 +218,7 @@ def sink_olap_append(spark, sf_dir):
 @registered(
     "sink_exec_log",
     """SELECT 'silver_cleaning' AS script, o AS records_processed, i - d AS duplicates_removed,
-       d - o AS outliers_removed, 'cleaned_data' AS output_file, 'completed' AS status
+       d - o AS outliers_removed, 'silver/readings' AS output_file, 'completed' AS status
        FROM (SELECT (SELECT count(*) FROM readings_raw) AS i, (SELECT count(*) FROM distinct_raw) AS d,
                     (SELECT count(*) FROM kept) AS o)""",
     *sigma_views("distinct_raw", "stddev_samp"),
@@ -226,7 +226,7 @@ def sink_olap_append(spark, sf_dir):
 def sink_exec_log(spark, sf_dir):
     path = scratch_path(spark, "audit")
     metrics = readings_raw(spark, sf_dir).transform(summary.cleaning)
-    audit.append(audit.cleaning_row(metrics, "silver_cleaning", "cleaned_data", F.lit(FIRST_RUN)), path)
+    audit.append(audit.cleaning_row(metrics, "silver_cleaning", "silver/readings", F.lit(FIRST_RUN)), path)
     return audit.read(spark, path).drop("execution_time")
 
 

@@ -57,13 +57,14 @@ def _long(df: DataFrame, rows: list[str], drop: tuple[str, ...] = ()) -> DataFra
 
 
 def general(df: DataFrame) -> DataFrame:
-    """Readings, active sensors, global means."""
+    """Readings, active sensors, and the means of the measures there are."""
     one = df.agg(
         F.count(F.lit(1)).alias("readings"),
         F.count_distinct("sensor_id").alias("sensors"),
-        *[F.avg(c).alias(f"avg_{c}") for c in V.MEDIAN_IMPUTED_COLUMNS],
+        *[F.avg(c).alias(f"avg_{c}") for c in V.MEDIAN_IMPUTED_COLUMNS if c in df.columns],
     )
-    return _long(one, [_kpi(s, k) for k, s in V.GENERAL_KPIS.items()], ("sensor_id", "location"))
+    rows = [_kpi(s, k) for k, s in V.GENERAL_KPIS.items() if k in one.columns]
+    return _long(one, rows, ("sensor_id", "location"))
 
 
 def per_sensor(df: DataFrame) -> DataFrame:
@@ -162,8 +163,9 @@ def alert_counts(
 
 def alerts(df: DataFrame) -> DataFrame:
     """Readings beyond each limit, as long rows."""
-    one = df.agg(*[c.alias(k) for k, c in alert_counts().items()])
-    return _long(one, [_kpi(s, k) for k, s in V.ALERT_KPIS.items()], ("sensor_id", "location"))
+    counts = alert_counts(columns=df.columns)
+    one = df.agg(*[c.alias(k) for k, c in counts.items()])
+    return _long(one, [_kpi(V.ALERT_KPIS[k], k) for k in counts], ("sensor_id", "location"))
 
 
 def alert_summary(df: DataFrame, low_temperature: float = V.LOW_TEMPERATURE) -> DataFrame:

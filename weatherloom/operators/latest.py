@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from weatherloom import fixed_values as V
@@ -76,7 +76,16 @@ def page_after(
     return df.filter(later).orderBy(column, tie).limit(limit)
 
 
-def id_pages(df: DataFrame, page_size: int = V.PAGE_SIZE, id_column: str = "id") -> DataFrame:
-    """Number each row's page by id range, as a ranged parallel read splits a table."""
+def page_number(df: DataFrame, page_size: int = V.PAGE_SIZE, id_column: str = "id") -> Column:
+    """The page each id falls into when the ids are cut into equal ranges from the lowest on.
+
+    The page follows from the id itself: no row has to be ranked or sorted, and
+    a retried task gives the same number. Gaps leave a page short, never overfull.
+    """
     first = df.agg(F.min(id_column)).scalar()
-    return df.withColumn("page", F.floor((F.col(id_column) - first) / page_size).cast("bigint"))
+    return F.call_function("div", F.col(id_column) - first, F.lit(page_size))
+
+
+def id_pages(df: DataFrame, page_size: int = V.PAGE_SIZE, id_column: str = "id") -> DataFrame:
+    """Number each row's page, as a ranged parallel read splits a table."""
+    return df.withColumn("page", page_number(df, page_size, id_column))

@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from weatherloom import fixed_values as V
 from weatherloom import schemas
 from weatherloom.functions import ladders, measures, times
+from weatherloom.operators import latest
 
 
 def canonical(df: DataFrame) -> DataFrame:
@@ -31,14 +32,8 @@ def ingest_stamps(df: DataFrame, at: Column | None = None, batch_id: Column | No
 
 
 def initial_batch_ids(df: DataFrame, page_size: int = V.PAGE_SIZE, id_column: str = "id") -> DataFrame:
-    """Number the pages of a first load by id range.
-
-    The page follows from the id itself, so no row has to be ranked or sorted
-    and a retried task gives the same number. Gaps in the ids leave a page
-    short, never overfull.
-    """
-    first = df.agg(F.min(id_column)).scalar()
-    page = F.floor((F.col(id_column) - first) / page_size).cast("bigint")
+    """Name the batch of each row of a first load after its page of ids."""
+    page = latest.page_number(df, page_size, id_column)
     return df.withColumn("batch_id", F.format_string(V.INITIAL_BATCH_PATTERN, page))
 
 

@@ -80,10 +80,19 @@ def silver_to_gold(spark: SparkSession, store: Lake, as_of=None, at=None) -> Non
     audit.append(row, f"{store.audit}/gold")
 
 
-def export_tables(spark: SparkSession, store: Lake) -> None:
-    """The wide KPIs and the cleaned readings as CSV."""
-    export.to_csv(spark.read.parquet(store.gold_table(WIDE)), f"{store.exports}/csv/kpis")
-    export.to_csv(spark.read.parquet(store.silver), f"{store.exports}/csv/readings")
+def export_tables(spark: SparkSession, store: Lake, names=("kpis", "readings")) -> None:
+    """Tables of the lake as CSV: ``kpis``, ``readings``, ``sensor_statistics``, ``log``."""
+    paths = {
+        "kpis": store.gold_table(WIDE),
+        "readings": store.silver,
+        "sensor_statistics": store.gold_table(SENSORS),
+        "log": f"{store.audit}/gold",
+    }
+    for name in names:
+        df = spark.read.parquet(paths[name])
+        if name == "log":
+            df = df.withColumn("output_files", F.array_join("output_files", " "))
+        export.to_csv(df, f"{store.exports}/csv/{name}")
 
 
 def export_kpis(spark: SparkSession, store: Lake, at: datetime | None = None) -> str:
