@@ -19,6 +19,8 @@ from weatherloom.catalog.registry import (
 )
 from weatherloom.functions import ladders, measures, times
 from weatherloom.operators import combine, duplicates, filters, groupstats, impute, project
+from weatherloom.session import scratch_path
+from weatherloom.sinks import lake
 from weatherloom.streaming import decode
 
 HALFWAY = "2024-01-15 00:00:00"
@@ -175,15 +177,19 @@ def sigma_views(source: str, deviation: str) -> tuple[str, str]:
     )
 
 
+def distinct_readings(spark, sf_dir):
+    """The distinct readings, written once for the passes that follow."""
+    return lake.staged(duplicates.exact(readings_raw(spark, sf_dir)), scratch_path(spark, "distinct"))
+
+
 @registered("filter_sigma5_sample", f"SELECT {READING} FROM kept", *sigma_views("distinct_raw", "stddev_samp"))
 def filter_sigma5_sample(spark, sf_dir):
-    return readings_raw(spark, sf_dir).transform(duplicates.exact).transform(filters.sigma)
+    return distinct_readings(spark, sf_dir).transform(filters.sigma)
 
 
 @registered("filter_sigma5_population", f"SELECT {READING} FROM kept", *sigma_views("distinct_raw", "stddev_pop"))
 def filter_sigma5_population(spark, sf_dir):
-    distinct = readings_raw(spark, sf_dir).transform(duplicates.exact)
-    return distinct.transform(filters.sigma, population=True)
+    return distinct_readings(spark, sf_dir).transform(filters.sigma, population=True)
 
 
 @registered(
@@ -269,7 +275,7 @@ MEAN_FILLED = """round(coalesce(temperature, t) + 1e-9, 6) AS temperature, round
     MEANS.format("kept"),
 )
 def impute_mean_global(spark, sf_dir):
-    kept = readings_raw(spark, sf_dir).transform(duplicates.exact).transform(filters.sigma)
+    kept = distinct_readings(spark, sf_dir).transform(filters.sigma)
     filled = kept.transform(impute.mean_global)
     return six(filled.select("id", "sensor_id", *V.MEAN_IMPUTED_COLUMNS))
 

@@ -37,7 +37,7 @@ RANGE_VIEWS = (
     *RANGE_VIEWS,
 )
 def job_clean_range(spark, sf_dir):
-    cleaned = readings_raw(spark, sf_dir).transform(cleaning.by_range)
+    cleaned = readings_raw(spark, sf_dir).transform(cleaning.by_range, stage=scratch_path(spark, "distinct"))
     return six(cleaned, "temperature", "temperature_fahrenheit")
 
 
@@ -48,7 +48,7 @@ def job_clean_range(spark, sf_dir):
     MEANS.format("kept"),
 )
 def job_clean_sigma(spark, sf_dir):
-    return six(readings_raw(spark, sf_dir).transform(cleaning.by_sigma))
+    return six(readings_raw(spark, sf_dir).transform(cleaning.by_sigma, stage=scratch_path(spark, "distinct")))
 
 
 @registered(
@@ -64,7 +64,7 @@ def job_clean_sigma(spark, sf_dir):
 )
 def job_clean_notebook(spark, sf_dir):
     renamed = readings_raw(spark, sf_dir).withColumnRenamed("sensor_id", "ip")
-    return six(renamed.transform(cleaning.by_sigma_with_times))
+    return six(renamed.transform(cleaning.by_sigma_with_times, stage=scratch_path(spark, "distinct")))
 
 
 # The source of the jobs: the canonical columns; correction rows are only in the raw one.

@@ -81,14 +81,17 @@ def mean_global(df: DataFrame, columns=V.MEAN_IMPUTED_COLUMNS, skip_zero: bool =
     return _filled(known, columns, "_mean")
 
 
-def _with_global_medians(df: DataFrame, source: DataFrame, columns) -> DataFrame:
-    return df.withColumn("_median", medians(source, columns).select(F.struct(*columns)).scalar())
+def _with_global_medians(df: DataFrame, source: DataFrame, columns, decimals: int) -> DataFrame:
+    overall = medians(source, columns, decimals=decimals).select(F.struct(*columns))
+    return df.withColumn("_median", overall.scalar())
 
 
-def median_global(df: DataFrame, columns=V.MEDIAN_IMPUTED_COLUMNS) -> DataFrame:
+def median_global(
+    df: DataFrame, columns=V.MEDIAN_IMPUTED_COLUMNS, decimals: int = V.DECIMALS
+) -> DataFrame:
     """NULL becomes the column's median."""
     columns = _existing(df, columns)
-    return _filled(_with_global_medians(df, df, columns), columns, "_median")
+    return _filled(_with_global_medians(df, df, columns, decimals), columns, "_median")
 
 
 def median_per_sensor(
@@ -96,12 +99,13 @@ def median_per_sensor(
     columns=V.MEDIAN_IMPUTED_COLUMNS,
     key: str = "sensor_id",
     broadcast_keys: int = groupstats.BROADCAST_KEYS,
+    decimals: int = V.DECIMALS,
 ) -> DataFrame:
     """NULL becomes the sensor's median, or the global one where the sensor has none."""
     columns = _existing(df, columns)
-    own = medians(df, columns, key).select(key, "readings", F.struct(*columns).alias("_own"))
+    own = medians(df, columns, key, decimals).select(key, "readings", F.struct(*columns).alias("_own"))
     attached = groupstats.attach(df, own, key, broadcast_keys=broadcast_keys)
-    filled = _filled(_with_global_medians(attached, df, columns), columns, "_own", "_median")
+    filled = _filled(_with_global_medians(attached, df, columns, decimals), columns, "_own", "_median")
     return filled.select(*df.columns)
 
 

@@ -1,4 +1,11 @@
-"""The three cleaning chains. The order of their steps is part of their meaning."""
+"""The three cleaning chains. The order of their steps is part of their meaning.
+
+Each chain first removes duplicates and then passes over the distinct readings
+several times, for statistics and for the rows. With ``stage``, a path in the
+lake, the distinct readings are written there once: the later passes read only
+the columns they need instead of shuffling whole rows again. Without it the
+chain is one lazy plan.
+"""
 
 from __future__ import annotations
 
@@ -6,22 +13,23 @@ from pyspark.sql import DataFrame
 
 from weatherloom import schemas
 from weatherloom.operators import duplicates, filters, impute, project
+from weatherloom.sinks import lake
+
 
+def _settled(df: DataFrame, stage: str | None) -> DataFrame:
+    return df if stage is None else lake.staged(df, stage)
 
-def by_range(df: DataFrame, nulls: str = "drop") -> DataFrame:
+
+def by_range(df: DataFrame, nulls: str = "drop", stage: str | None = None) -> DataFrame:
     """One reading per key, physical ranges, medians, unknown locations, derived measures.
 
     Of several readings with one key the newest stays: an arbitrary choice
     could differ when a lost task is run again. The quality score is taken
     before imputation, so that it tells what was measured.
     """
-    return distinct_by_range(duplicates.last_per_key(df), nulls)
-
-
-def distinct_by_range(df: DataFrame, nulls: str = "drop") -> DataFrame:
-    """The steps of :func:`by_range` after duplicates are gone."""
     return (
-        df.transform(filters.present, "sensor_id", "timestamp")
+        _settled(duplicates.last_per_key(df), stage)
+        .transform(filters.present, "sensor_id", "timestamp")
         .transform(filters.valid_range, nulls)
         .transform(project.quality_score)
         .transform(impute.median_global)
@@ -30,21 +38,15 @@ def distinct_by_range(df: DataFrame, nulls: str = "drop") -> DataFrame:
     )
 
 
-def by_sigma(df: DataFrame) -> DataFrame:
+def by_sigma(df: DataFrame, stage: str | None = None) -> DataFrame:
     """Identical rows, five sample deviations of temperature, means."""
-    return distinct_by_sigma(duplicates.exact(df))
-
-
-def distinct_by_sigma(df: DataFrame) -> DataFrame:
-    """The steps of :func:`by_sigma` after duplicates are gone."""
-    return df.transform(filters.sigma).transform(impute.mean_global)
+    return _settled(duplicates.exact(df), stage).transform(filters.sigma).transform(impute.mean_global)
 
 
-def by_sigma_with_times(df: DataFrame) -> DataFrame:
+def by_sigma_with_times(df: DataFrame, stage: str | None = None) -> DataFrame:
     """Identical rows, required values, five population deviations, means, time parts."""
     return (
-        df.transform(schemas.with_sensor_id)
-        .transform(duplicates.exact)
+        _settled(duplicates.exact(schemas.with_sensor_id(df)), stage)
         .transform(filters.present, "sensor_id", "temperature")
         .transform(filters.sigma, population=True)
         .transform(impute.mean_global, skip_zero=True)

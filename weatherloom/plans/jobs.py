@@ -15,18 +15,14 @@ from pyspark.sql import functions as F
 from weatherloom import fixed_values as V
 from weatherloom import schemas
 from weatherloom.functions import times
-from weatherloom.operators import duplicates, kpis, latest, sensors
+from weatherloom.operators import kpis, latest, sensors
 from weatherloom.plans import cleaning
 from weatherloom.sinks import audit, export, lake
 from weatherloom.sinks.lake import Lake
 
 WIDE, SENSORS, LONG = "kpis", "sensor_statistics", "kpis_long"
 CLEANING_SCRIPT, KPI_SCRIPT = "silver_cleaning", "gold_kpis"
-
-
-def _row_count(df: DataFrame) -> int:
-    """Rows of a written table, from its file footers."""
-    return df.count()
+METHODS = {"sigma": cleaning.by_sigma, "range": cleaning.by_range}
 
 
 def bronze_to_silver(
@@ -39,21 +35,15 @@ def bronze_to_silver(
     bronze = lake.read_bronze(spark, store).transform(schemas.with_sensor_id).transform(schemas.nan_to_null)
     if newest_batches is not None:
         bronze = bronze.transform(latest.newest_batches, newest_batches)
-    # From here on the distinct readings are read more than once: for the
-    # statistics and for the rows. They are written once instead of being
-    # shuffled for each of these passes.
-    if method == "range":
-        distinct = lake.staged(duplicates.last_per_key(bronze), store.staging)
-        cleaned = cleaning.distinct_by_range(distinct)
-    elif method == "sigma":
-        distinct = lake.staged(duplicates.exact(bronze), store.staging)
-        cleaned = cleaning.distinct_by_sigma(distinct)
-    else:
-        raise ValueError("method must be 'sigma' or 'range'")
+    if method not in METHODS:
+        raise ValueError(f"method must be one of {sorted(METHODS)}")
+    cleaned = METHODS[method](bronze, stage=store.staging)
     lake.write_snapshot(cleaned, store.silver)
 
     silver = spark.read.parquet(store.silver)
-    rows_in, rows_distinct, rows_out = (_row_count(t) for t in (bronze, distinct, silver))
+    distinct = spark.read.parquet(store.staging)
+    # counts of written tables come from their file footers
+    rows_in, rows_distinct, rows_out = (t.count() for t in (bronze, distinct, silver))
     metrics = spark.range(1).select(
         F.lit(rows_out).alias("rows_out"),
         F.lit(rows_in - rows_distinct).alias("duplicates_removed"),
