@@ -7,10 +7,12 @@ from pyspark.sql import functions as F
 
 from weatherloom import fixed_values as V
 from weatherloom.operators import groupstats
+from weatherloom.session import cut_lineage
 
 # relative rank error is 1 / precision; the sketch behind it grows with precision
 SKETCH_PRECISION = 100_000
-ROWS = "_rows"
+# measure number under which rows themselves are counted
+ROWS = -1
 
 
 def approximate_median(column: str, precision: int = SKETCH_PRECISION) -> Column:
@@ -22,27 +24,28 @@ def approximate_median(column: str, precision: int = SKETCH_PRECISION) -> Column
     return F.percentile_approx(column, 0.5, precision)
 
 
-def medians(df: DataFrame, columns, key: str | None = None, decimals: int = V.DECIMALS) -> DataFrame:
-    """Discrete median of each column, over all rows or per ``key``.
+def value_counts(
+    df: DataFrame, columns, key: str | None = None, decimals: int = V.DECIMALS
+) -> DataFrame:
+    """How often each value of each column occurs, over all rows or per ``key``.
 
-    Equal values are counted first, inside each task and then across tasks.
-    Values have the two decimals the source declares, three or five digits
-    before them, so there are at most 200,000 or 20,000,000 counts per measure
-    to put in order, and in practice some thousands, whether a sensor sent a
-    hundred readings or a third of the table. ``decimals`` holds that bound
-    where computed values carry more digits. With ``key`` the result also has
-    the number of rows in ``readings``.
+    Columns are numbered in ``measure``. With ``key`` there is also the number
+    of rows, as measure :data:`ROWS`. Values are taken to ``decimals`` places.
     """
     keys = [key] if key else []
-    cells = [(c, F.round(F.col(c).cast("double"), decimals)) for c in columns]
+    cells = [(i, F.round(F.col(c).cast("double"), decimals)) for i, c in enumerate(columns)]
     if key:
         cells.append((ROWS, F.lit(0.0)))
     measured = df.select(
         *keys,
-        F.inline(F.array(*[F.struct(F.lit(c).alias("measure"), v.alias("value")) for c, v in cells])),
+        F.inline(F.array(*[F.struct(F.lit(i).alias("measure"), v.alias("value")) for i, v in cells])),
     ).filter(F.col("value").isNotNull())
-    counts = measured.groupBy(*keys, "measure", "value").agg(F.count(F.lit(1)).alias("n"))
+    return measured.groupBy(*keys, "measure", "value").agg(F.count(F.lit(1)).alias("n"))
+
 
+def medians_of_counts(counts: DataFrame, columns, key: str | None = None) -> DataFrame:
+    """Discrete median of each column from its value counts; with ``key`` also ``readings``."""
+    keys = [key] if key else []
     group = Window.partitionBy(*keys, "measure")
     up_to_here = group.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     ranked = counts.select(
@@ -56,10 +59,23 @@ def medians(df: DataFrame, columns, key: str | None = None, decimals: int = V.DE
     measure = F.col("measure")
     return upper_half.groupBy(*keys).agg(
         *([F.max(F.when(measure == ROWS, F.col("total"))).alias("readings")] if key else []),
-        *[F.min(F.when(measure == c, F.col("value"))).alias(c) for c in columns],
+        *[F.min(F.when(measure == i, F.col("value"))).alias(c) for i, c in enumerate(columns)],
     )
 
 
+def medians(df: DataFrame, columns, key: str | None = None, decimals: int = V.DECIMALS) -> DataFrame:
+    """Discrete median of each column, over all rows or per ``key``.
+
+    Equal values are counted first, inside each task and then across tasks.
+    Values have the two decimals the source declares, three or five digits
+    before them, so there are at most 200,000 or 20,000,000 counts per measure
+    to put in order, and in practice some thousands, whether a sensor sent a
+    hundred readings or a third of the table. ``decimals`` holds that bound
+    where computed values carry more digits.
+    """
+    return medians_of_counts(value_counts(df, columns, key, decimals), columns, key)
+
+
 def _existing(df: DataFrame, columns) -> list[str]:
     return [c for c in columns if c in df.columns]
 
@@ -81,17 +97,13 @@ def mean_global(df: DataFrame, columns=V.MEAN_IMPUTED_COLUMNS, skip_zero: bool =
     return _filled(known, columns, "_mean")
 
 
-def _with_global_medians(df: DataFrame, source: DataFrame, columns, decimals: int) -> DataFrame:
-    overall = medians(source, columns, decimals=decimals).select(F.struct(*columns))
-    return df.withColumn("_median", overall.scalar())
-
-
 def median_global(
     df: DataFrame, columns=V.MEDIAN_IMPUTED_COLUMNS, decimals: int = V.DECIMALS
 ) -> DataFrame:
     """NULL becomes the column's median."""
     columns = _existing(df, columns)
-    return _filled(_with_global_medians(df, df, columns, decimals), columns, "_median")
+    overall = medians(df, columns, decimals=decimals).select(F.struct(*columns))
+    return _filled(df.withColumn("_median", overall.scalar()), columns, "_median")
 
 
 def median_per_sensor(
@@ -101,11 +113,17 @@ def median_per_sensor(
     broadcast_keys: int = groupstats.BROADCAST_KEYS,
     decimals: int = V.DECIMALS,
 ) -> DataFrame:
-    """NULL becomes the sensor's median, or the global one where the sensor has none."""
+    """NULL becomes the sensor's median, or the global one where the sensor has none.
+
+    The readings are counted once; both kinds of median come from the counts.
+    """
     columns = _existing(df, columns)
-    own = medians(df, columns, key, decimals).select(key, "readings", F.struct(*columns).alias("_own"))
+    counts = cut_lineage(value_counts(df, columns, key, decimals))
+    own = medians_of_counts(counts, columns, key).select(key, "readings", F.struct(*columns).alias("_own"))
     attached = groupstats.attach(df, own, key, broadcast_keys=broadcast_keys)
-    filled = _filled(_with_global_medians(attached, df, columns, decimals), columns, "_own", "_median")
+    everywhere = counts.filter(F.col("measure") != ROWS).groupBy("measure", "value").agg(F.sum("n").alias("n"))
+    overall = medians_of_counts(everywhere, columns).select(F.struct(*columns))
+    filled = _filled(attached.withColumn("_median", overall.scalar()), columns, "_own", "_median")
     return filled.select(*df.columns)
 
 
