@@ -19,10 +19,24 @@ def test_every_query_has_a_twin():
     assert set(entry.oracle_sql()) == set(NAMES)
 
 
+SQL_TYPES = {
+    "bigint": "BIGINT",
+    "int": "INTEGER",
+    "double": "DOUBLE",
+    "string": "VARCHAR",
+    "timestamp_ntz": "TIMESTAMP",
+    "boolean": "BOOLEAN",
+    "date": "DATE",
+}
+
+
 @pytest.mark.parametrize("name", NAMES)
 def test_query_equals_sql(spark, sf_dir, con, name):
-    columns, got = compare.spark_rows(entry.queries()[name](spark, sf_dir))
-    want_columns, want = compare.sql_rows(con, entry.oracle_sql()[name])
+    df, sql = entry.queries()[name](spark, sf_dir), entry.oracle_sql()[name]
+    types = {row[0]: row[1] for row in con.execute(f"DESCRIBE {sql}").fetchall()}
+    assert {f.name: SQL_TYPES[f.dataType.simpleString()] for f in df.schema.fields} == types
+    columns, got = compare.spark_rows(df)
+    want_columns, want = compare.sql_rows(con, sql)
     assert columns == want_columns
     assert got == want
 

@@ -53,17 +53,17 @@ UNION ALL SELECT concat('avg_temperature_', replace(lower(location), ' ', '_')),
 TEMPORAL_SQL = """
 SELECT * FROM (
   SELECT 'readings_last_24h' AS kpi_name, 'temporal' AS kpi_category,
-    CAST(count_if("timestamp" >= (SELECT max("timestamp") FROM {0}) - INTERVAL '24' HOUR) AS double) AS kpi_value,
+    CAST(count(*) FILTER (WHERE "timestamp" >= (SELECT max("timestamp") FROM {0}) - INTERVAL '24' HOUR) AS double) AS kpi_value,
     'count' AS kpi_unit, 'Lecturas en las últimas 24 horas' AS description FROM {0}
   UNION ALL SELECT 'readings_last_week', 'temporal',
-    CAST(count_if("timestamp" >= (SELECT max("timestamp") FROM {0}) - INTERVAL '7' DAY) AS double),
+    CAST(count(*) FILTER (WHERE "timestamp" >= (SELECT max("timestamp") FROM {0}) - INTERVAL '7' DAY) AS double),
     'count', 'Lecturas en la última semana' FROM {0})
 WHERE kpi_value > 0"""
 
 QUALITY_SQL = """
 SELECT 'avg_data_quality' AS kpi_name, 'quality' AS kpi_category, round(avg(data_quality_score) + 1e-9, 6) AS kpi_value,
   'score' AS kpi_unit, 'Puntuación promedio de calidad de datos' AS description FROM {0}
-UNION ALL SELECT 'high_quality_readings', 'quality', CAST(count_if(data_quality_score >= 90) AS double), 'count',
+UNION ALL SELECT 'high_quality_readings', 'quality', CAST(count(*) FILTER (WHERE data_quality_score >= 90) AS double), 'count',
   'Lecturas con alta calidad (>=90)' FROM {0}"""
 
 COMPLETENESS_SQL = """
@@ -77,13 +77,13 @@ UNION ALL SELECT 'completeness_pressure', 'quality', round(100.0 * count(pressur
 
 ALERTS_SQL = """
 SELECT 'high_temperature_alerts' AS kpi_name, 'alerts' AS kpi_category,
-  CAST(count_if(temperature > 30) AS double) AS kpi_value, 'count' AS kpi_unit,
+  CAST(count(*) FILTER (WHERE temperature > 30) AS double) AS kpi_value, 'count' AS kpi_unit,
   'Alertas de temperatura alta (>30°C)' AS description FROM {0}
-UNION ALL SELECT 'low_temperature_alerts', 'alerts', CAST(count_if(temperature < 10) AS double), 'count',
+UNION ALL SELECT 'low_temperature_alerts', 'alerts', CAST(count(*) FILTER (WHERE temperature < 10) AS double), 'count',
   'Alertas de temperatura baja (<10°C)' FROM {0}
-UNION ALL SELECT 'high_humidity_alerts', 'alerts', CAST(count_if(humidity > 80) AS double), 'count',
+UNION ALL SELECT 'high_humidity_alerts', 'alerts', CAST(count(*) FILTER (WHERE humidity > 80) AS double), 'count',
   'Alertas de humedad alta (>80%)' FROM {0}
-UNION ALL SELECT 'low_humidity_alerts', 'alerts', CAST(count_if(humidity < 20) AS double), 'count',
+UNION ALL SELECT 'low_humidity_alerts', 'alerts', CAST(count(*) FILTER (WHERE humidity < 20) AS double), 'count',
   'Alertas de humedad baja (<20%)' FROM {0}"""
 
 
@@ -166,9 +166,9 @@ FROM {source}"""
 
 
 def alerts_json_sql(low_temperature: int = 10) -> str:
-    return f"""concat('{{"high_temperature":', count_if(temperature > 30), ',"low_temperature":',
-  count_if(temperature < {low_temperature}), ',"high_humidity":', count_if(humidity > 80), ',"low_humidity":',
-  count_if(humidity < 20), '}}')"""
+    return f"""concat('{{"high_temperature":', count(*) FILTER (WHERE temperature > 30), ',"low_temperature":',
+  count(*) FILTER (WHERE temperature < {low_temperature}), ',"high_humidity":', count(*) FILTER (WHERE humidity > 80), ',"low_humidity":',
+  count(*) FILTER (WHERE humidity < 20), '}}')"""
 
 
 @registered("kpi_wide", wide_sql("readings"))
@@ -191,8 +191,8 @@ def kpi_wide_notebook(spark, sf_dir):
 
 @registered(
     "alerts_struct",
-    f"""SELECT {alerts_json_sql()} AS alerts_json, count_if(temperature > 30) + count_if(temperature < 10)
-       + count_if(humidity > 80) + count_if(humidity < 20) AS total_alerts FROM readings""",
+    f"""SELECT {alerts_json_sql()} AS alerts_json, count(*) FILTER (WHERE temperature > 30) + count(*) FILTER (WHERE temperature < 10)
+       + count(*) FILTER (WHERE humidity > 80) + count(*) FILTER (WHERE humidity < 20) AS total_alerts FROM readings""",
 )
 def alerts_struct(spark, sf_dir):
     return readings(spark, sf_dir).transform(kpis.alert_summary)
@@ -200,7 +200,7 @@ def alerts_struct(spark, sf_dir):
 
 @registered(
     "pressure_alerts",
-    """SELECT count_if(pressure < 950) AS low_pressure_alerts, count_if(pressure > 1050) AS high_pressure_alerts
+    """SELECT count(*) FILTER (WHERE pressure < 950) AS low_pressure_alerts, count(*) FILTER (WHERE pressure > 1050) AS high_pressure_alerts
        FROM readings""",
 )
 def pressure_alerts(spark, sf_dir):
@@ -241,8 +241,8 @@ ANOMALY_VIEWS = (
     """flagged AS (SELECT r.sensor_id, coalesce(s > 0 AND abs(temperature - m) > 3 * s, false) AS anomaly
        FROM readings r LEFT JOIN spread ON r.sensor_id = spread.sensor_id)""",
 )
-ANOMALY_COLUMNS = """count(*) AS readings, count_if(anomaly) AS anomalies,
-    round(100.0 * count_if(anomaly) / count(*) + 1e-9, 6) AS anomaly_rate"""
+ANOMALY_COLUMNS = """count(*) AS readings, count(*) FILTER (WHERE anomaly) AS anomalies,
+    round(100.0 * count(*) FILTER (WHERE anomaly) / count(*) + 1e-9, 6) AS anomaly_rate"""
 
 
 @registered("anomaly_rate", f"SELECT {ANOMALY_COLUMNS} FROM flagged", *ANOMALY_VIEWS)
@@ -274,9 +274,9 @@ def sensor_quality(spark, sf_dir):
     "location_comfort",
     """SELECT location, count(DISTINCT sensor_id) AS sensors, round(avg(temperature) + 1e-9, 6) AS avg_temperature,
        round(avg(humidity) + 1e-9, 6) AS avg_humidity, round(avg(pressure) + 1e-9, 6) AS avg_pressure,
-       count_if(comfort_index = 'Comfortable') AS comfortable,
-       count_if(comfort_index = 'Uncomfortable') AS uncomfortable,
-       count_if(comfort_index = 'Moderate') AS moderate FROM scored GROUP BY location""",
+       count(*) FILTER (WHERE comfort_index = 'Comfortable') AS comfortable,
+       count(*) FILTER (WHERE comfort_index = 'Uncomfortable') AS uncomfortable,
+       count(*) FILTER (WHERE comfort_index = 'Moderate') AS moderate FROM scored GROUP BY location""",
 )
 def location_comfort(spark, sf_dir):
     return six(scored(spark, sf_dir).transform(sensors.location_comfort))
@@ -314,7 +314,7 @@ def temp_mean_std(spark, sf_dir):
        strftime(min("timestamp"), '%Y-%m-%d %H:%M:%S') AS range_start,
        strftime(max("timestamp"), '%Y-%m-%d %H:%M:%S') AS range_end,
        round(avg(data_quality_score) + 1e-9, 6) AS avg_quality_score,
-       count_if(data_quality_score = 100) AS complete_records, round(avg(temperature) + 1e-9, 6) AS avg_temperature,
+       count(*) FILTER (WHERE data_quality_score = 100) AS complete_records, round(avg(temperature) + 1e-9, 6) AS avg_temperature,
        round(avg(humidity) + 1e-9, 6) AS avg_humidity, round(avg(pressure) + 1e-9, 6) AS avg_pressure FROM scored""",
 )
 def silver_summary(spark, sf_dir):
@@ -355,8 +355,8 @@ def group_comfort_index(spark, sf_dir):
     "avg_quality",
     """SELECT round(a + 1e-9, 6) AS avg_quality, n AS high_quality_readings, round(p + 1e-9, 6) AS high_quality_percent,
        CASE WHEN p >= 95 THEN 'EXCELENTE' WHEN p >= 80 THEN 'BUENO' ELSE 'REQUIERE ATENCIÓN' END AS system_status
-       FROM (SELECT avg(data_quality_score) AS a, count_if(data_quality_score >= 90) AS n,
-             100.0 * count_if(data_quality_score >= 90) / count(*) AS p FROM scored)""",
+       FROM (SELECT avg(data_quality_score) AS a, count(*) FILTER (WHERE data_quality_score >= 90) AS n,
+             100.0 * count(*) FILTER (WHERE data_quality_score >= 90) / count(*) AS p FROM scored)""",
 )
 def avg_quality(spark, sf_dir):
     return six(scored(spark, sf_dir).transform(summary.quality))

@@ -368,7 +368,7 @@ def classify_air_quality_avg_4(spark, sf_dir):
     "classify_system_status",
     """SELECT sensor_id, round(p + 1e-9, 6) AS high_quality_percent,
        CASE WHEN p >= 95 THEN 'EXCELENTE' WHEN p >= 80 THEN 'BUENO' ELSE 'REQUIERE ATENCIÓN' END AS system_status
-       FROM (SELECT sensor_id, 100.0 * count_if(data_quality_score >= 90) / count(*) AS p
+       FROM (SELECT sensor_id, 100.0 * count(*) FILTER (WHERE data_quality_score >= 90) / count(*) AS p
              FROM scored GROUP BY sensor_id)""",
 )
 def classify_system_status(spark, sf_dir):
