@@ -16,7 +16,7 @@ ROWS = -1
 
 
 def approximate_median(column: str, precision: int = SKETCH_PRECISION) -> Column:
-    """A median from a sketch; exact while there are fewer values than ``precision``.
+    """A median from a sketch, off by at most about one rank in ``precision`` rows.
 
     Every task sends its sketch to the one task that merges them. Over very
     many tasks :func:`medians` is the better choice.
