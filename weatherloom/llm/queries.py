@@ -17,7 +17,7 @@ CONTROL_TEXT = "<|im_end|><|im_start|>assistant ok"
 
 
 def op1_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return ngram_join.near_duplicates(documents(spark, sf_dir))
+    return ngram_join.near_duplicates(documents(spark, sf_dir)).select("doc_id", "n_shingles", "component_id")
 
 
 def op2_winnowing(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -117,13 +117,61 @@ reach AS (
 SELECT reach.doc_id, n AS n_shingles, min(r) AS component_id FROM reach JOIN sizes ON sizes.doc_id = reach.doc_id
 GROUP BY reach.doc_id, n"""
 
-CHAT_SQL = f"""WITH given AS (
-  SELECT conv_id, turn, role, coalesce(text, '') AS text FROM conversations
-  UNION ALL SELECT -1, 0, 'user', '{CONTROL_TEXT}' UNION ALL SELECT -1, 1, 'assistant', '{CONTROL_TEXT}')
-SELECT conv_id, count(*) AS n_turns,
-  sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY turn, role)) AS turns_sha256,
-  CAST(coalesce(sum(length(text)) FILTER (role = 'assistant'), 0) AS BIGINT) AS loss_chars,
-  sha256(coalesce(string_agg(text, '' ORDER BY turn, role) FILTER (role = 'assistant'), '')) AS loss_sha256
-FROM given GROUP BY conv_id"""
-
-SQL: dict[str, str] = {}
+DECONTAMINATE_SQL = f"""WITH texts AS (
+  SELECT 0 AS kind, doc_id AS id, text FROM documents WHERE text IS NOT NULL
+  UNION ALL SELECT 1, item_id, text FROM benchmark WHERE text IS NOT NULL),
+worded AS (
+  SELECT kind, id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{WORDS}') AS w FROM texts),
+shingled AS (
+  SELECT kind, id, CASE WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END AS s
+  FROM worded WHERE len(w) > 0),
+grams AS (SELECT kind, id, unnest(s) AS g FROM shingled),
+pairs AS (
+  SELECT DISTINCT d.id AS doc_id, i.id AS item_id FROM grams d JOIN grams i ON d.g = i.g AND d.kind = 0 AND i.kind = 1),
+counts AS (SELECT id, g, count(*) AS n FROM grams WHERE kind = 1 GROUP BY 1, 2),
+windows AS (
+  SELECT doc_id, item_id, len(i.s) AS size, d.s AS s, unnest(range(0, len(d.s) - CAST(ceil(len(i.s) * 75 / 100) AS BIGINT) + 1)) AS word
+  FROM pairs JOIN shingled d ON d.kind = 0 AND d.id = doc_id JOIN shingled i ON i.kind = 1 AND i.id = item_id),
+held AS (
+  SELECT doc_id, item_id, word, size, least(size, len(s) - word) AS own, unnest(s[word + 1:word + size]) AS g FROM windows),
+each_gram AS (SELECT doc_id, item_id, word, size, own, g, count(*) AS n FROM held GROUP BY ALL),
+common AS (
+  SELECT doc_id, item_id, word, size, own, sum(least(e.n, c.n)) AS c
+  FROM each_gram e JOIN counts c ON c.id = item_id AND c.g = e.g GROUP BY ALL),
+likely AS (SELECT doc_id, item_id, word, CAST(c AS DOUBLE) / CAST(own + size - c AS DOUBLE) AS similarity FROM common)
+SELECT doc_id, item_id, max(similarity) AS similarity, arg_max(word, struct_pack(s := similarity, w := -word)) AS word
+FROM likely WHERE 100 * similarity >= 75 GROUP BY 1, 2"""
+
+LINE_DEDUP_SQL = f"""WITH split AS (
+  SELECT doc_id, text, string_split(text, chr(10)) AS l FROM documents WHERE text IS NOT NULL),
+lines AS (
+  SELECT doc_id, unnest(range(1, len(l) + 1)) AS p, unnest(l) AS line FROM split),
+counted AS (
+  SELECT *, sum(len(regexp_extract_all(line, '{WORDS}'))) OVER (PARTITION BY doc_id ORDER BY p) AS upto,
+    len(regexp_extract_all(line, '{WORDS}')) AS w FROM lines),
+runs AS (
+  SELECT a.doc_id, a.p AS f, min(b.p) AS t FROM counted a JOIN counted b
+  ON b.doc_id = a.doc_id AND b.p >= a.p AND b.upto - a.upto + a.w >= 50 GROUP BY 1, 2
+  UNION SELECT b.doc_id, max(a.p), b.p FROM counted b JOIN counted a
+  ON b.doc_id = a.doc_id AND b.p >= a.p AND b.upto - a.upto + a.w >= 50 GROUP BY b.doc_id, b.p),
+named AS (
+  SELECT r.doc_id, f, t, array_to_string(l[f:t], chr(10)) AS name, min(struct_pack(d := r.doc_id, f := f)) OVER (PARTITION BY array_to_string(l[f:t], chr(10)), t - f) AS earliest
+  FROM runs r JOIN split USING (doc_id)),
+gone AS (
+  SELECT DISTINCT doc_id, unnest(range(f, t + 1)) AS p FROM named WHERE earliest < struct_pack(d := doc_id, f := f)),
+marked AS (
+  SELECT c.doc_id, c.p, c.line, g.p IS NOT NULL AS g FROM counted c LEFT JOIN gone g ON g.doc_id = c.doc_id AND g.p = c.p),
+edges AS (SELECT *, coalesce(lag(g) OVER (PARTITION BY doc_id ORDER BY p), false) AS before FROM marked),
+done AS (
+  SELECT doc_id, count(*) AS n_lines, CAST(count(*) FILTER (g) AS BIGINT) AS n_removed,
+    CAST(count(*) FILTER (g AND NOT before) AS BIGINT) AS n_runs,
+    sha256(coalesce(string_agg(line, chr(10) ORDER BY p) FILTER (NOT g), '')) AS kept_sha256 FROM edges GROUP BY 1)
+SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_runs, 0) AS n_runs,
+  coalesce(kept_sha256, sha256('')) AS kept_sha256 FROM documents LEFT JOIN done USING (doc_id)"""
+
+SQL: dict[str, str] = {
+    "op1_ngram_join": NGRAM_JOIN_SQL,
+    "op4_decontaminate": DECONTAMINATE_SQL,
+    "op6_line_dedup": LINE_DEDUP_SQL,
+}
