@@ -22,8 +22,9 @@ without words has the empty set and links with nothing.
   sets.
 
 Equal sets are collapsed before the join. In a bucket no list of all pairs is
-made: members are compared with three of them (the lowest id and two by hash),
-links found so merge them into components, and only pairs of a bucket that lie
+made: members are compared with three of them (the lowest id, the one that shares most
+keys with others, which is the text that near copies were made from, and one by
+hash), links found so merge them into components, and only pairs of a bucket that lie
 in different components go on, filtered by size and sketch within the join.
 
 Rows with one id are one node, linked if any of their texts are. Rows without an
@@ -149,16 +150,16 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
     shared = keyed.groupBy("key").agg(F.count("*").alias("times")).filter("times > 1")
     found = keyed.join(shared, "key")
     by_heat = Window.partitionBy("rep", "band").orderBy(F.desc("times"), "key")
-    found = found.withColumn("rank", F.row_number().over(by_heat))
-    buckets = cut_lineage(found.filter(f"times <= {HOT} or rank > floor(size / 4)").select("key", "rep").distinct())
+    found = found.withColumn("rank", F.row_number().over(by_heat)).withColumn("heat", F.sum("times").over(Window.partitionBy("rep", "band")))
+    buckets = cut_lineage(found.filter(f"times <= {HOT} or rank > floor(size / 4)").groupBy("key", "rep").agg(F.max("heat").alias("heat")))
 
     sizes = chosen.select(F.col("doc_id").alias("rep"), F.struct("n", *LANES).alias("s"))
     texts = docs.filter("doc_id is not null and text is not null")
 
     pivots = buckets.groupBy("key").agg(
         F.min("rep").alias("p0"),
-        F.min_by("rep", F.xxhash64("rep", F.lit(1))).alias("p1"),
-        F.min_by("rep", F.xxhash64("rep", F.lit(2))).alias("p2"),
+        F.max_by("rep", F.struct("heat", "rep")).alias("p1"),
+        F.min_by("rep", F.xxhash64("rep")).alias("p2"),
     )
     stars = (
         buckets.join(pivots, "key")
