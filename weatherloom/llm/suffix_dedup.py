@@ -12,6 +12,8 @@ removed wherever it stands, byte by byte, judged on the input.
   is. Inside a bucket the names of all these strings follow from the buckets of later offsets (8, 16,
   32, 64, 128 bytes on, each level reused by the next); strings that share a name stand twice. Those between
   the first and the last found of one anchor overlap, so two numbers an anchor say what is covered.
+* **Repetitions inside a document.** Where the same surroundings come again in one document (periodic
+  text) they are covered, and one of them goes on.
 * **Large buckets.** In buckets of more than ``LARGE`` suffixes (a passage that a third of all documents
   share) the strings themselves are shuffled by name and counted with partial aggregation, so no
   task holds the bucket.
@@ -144,13 +146,52 @@ def string_names(data: np.ndarray) -> np.ndarray:
     return joined(joined(levels[128][:n], levels[64][128 : 128 + n]), levels[8][192 : 192 + n])
 
 
-def _anchor_rows(columns: dict[str, list]) -> dict[str, np.ndarray]:
-    found = anchors([utf8(t) for t in columns["text"]])
-    return {
-        "gram": signed(np.concatenate([f.name for f in found])),
-        "row": np.repeat(np.array(columns["row"], np.int64), [len(f.place) for f in found]),
-        "place": np.concatenate([f.place for f in found]),
-    }
+def _united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
+    out: list[tuple[int, int]] = []
+    for low, high in sorted(spans):
+        if out and low <= out[-1][1]:
+            out[-1] = (out[-1][0], max(out[-1][1], high))
+        else:
+            out.append((low, high))
+    return out
+
+
+def _again_inside(data: bytes, found: Anchors) -> tuple[list[int], list[tuple[int, int]]]:
+    """Anchors whose surroundings stood earlier in the same document, and what is covered by that.
+
+    Periodic text has such anchors by the thousand; one of each goes on.
+    """
+    order = np.argsort(found.name, kind="stable")
+    same = found.name[order][1:] == found.name[order][:-1]
+    several = np.unique(np.concatenate([order[1:][same], order[:-1][same]]))
+    seen: dict[bytes, tuple[int, int]] = {}
+    again, spans = [], []
+    for i in several.tolist():
+        low, high = int(found.low[i]), int(found.high[i]) + LENGTH
+        first = seen.setdefault(data[low:high], (low, high))
+        if first != (low, high):
+            again.append(i)
+            spans += [first, (low, high)]
+    return again, _united(spans)
+
+
+FOUND = "gram long, row long, place long, low long, high long"
+
+
+def _anchor_rows(columns: dict[str, list]) -> dict[str, list]:
+    """Anchors (gram, row, place), and what a document's repetitions cover in it (row, low, high)."""
+    raw = [utf8(t) for t in columns["text"]]
+    out: dict[str, list] = {"gram": [], "row": [], "place": [], "low": [], "high": []}
+    for row, data, found in zip(columns["row"], raw, anchors(raw), strict=True):
+        again, spans = _again_inside(data, found)
+        kept = np.delete(np.arange(len(found.place)), again)
+        n, k = len(kept), len(spans)
+        out["gram"] += signed(found.name[kept]).tolist() + [None] * k
+        out["row"] += [row] * (n + k)
+        out["place"] += found.place[kept].tolist() + [None] * k
+        out["low"] += [None] * n + [low for low, _ in spans]
+        out["high"] += [None] * n + [high for _, high in spans]
+    return out
 
 
 SURROUNDINGS = "gram long, row long, place long, low long, bytes binary, large boolean"
@@ -239,20 +280,12 @@ def _string_rows(columns: dict[str, list]) -> dict[str, np.ndarray]:
     }
 
 
-def _united(spans: list[tuple[int, int]]) -> list[tuple[int, int]]:
-    out: list[tuple[int, int]] = []
-    for low, high in sorted(spans):
-        if out and low <= out[-1][1]:
-            out[-1] = (out[-1][0], max(out[-1][1], high))
-        else:
-            out.append((low, high))
-    return out
-
-
 def covered(docs: DataFrame, large: int = LARGE) -> DataFrame:
     """docs (doc_id, text) with ``spans``, the byte ranges (low, high) to remove, maximal and in order; null if none."""
     given = docs.select("doc_id", F.col("text").cast("string").alias("text")).withColumn("row", F.xxhash64("doc_id", "text"))
-    found = cut_lineage(map_rows(given.filter("text is not null"), "gram long, row long, place long", _anchor_rows, ["row", "text"]))
+    read = cut_lineage(map_rows(given.filter("text is not null"), FOUND, _anchor_rows, ["row", "text"]))
+    found = read.filter("gram is not null").select("gram", "row", "place")
+    inside = read.filter("gram is null").select("row", "low", "high")
     texts = given.filter(f"octet_length(text) >= {LENGTH}").select("row", F.md5("text").alias("same"))
     copies = texts.groupBy("same").agg(F.min("row").alias("row"), F.count("*").alias("copies"))
     repeated = found.groupBy("gram").agg(F.count("*").alias("times")).filter("times > 1")
@@ -272,7 +305,7 @@ def covered(docs: DataFrame, large: int = LARGE) -> DataFrame:
     twice = strings.groupBy("name").agg(F.count("*").alias("times")).filter("times > 1").select("name")
     big = strings.join(twice, "name", "left_semi").groupBy("row", "place")
     big = big.agg(F.min("start").alias("low"), (F.max("start") + LENGTH).alias("high")).drop("place")
-    spans = small.unionByName(big).groupBy("row").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
+    spans = small.unionByName(big).unionByName(inside).groupBy("row").agg(F.collect_list(F.struct("low", "high")).alias("spans"))
     several = texts.join(copies.filter("copies > 1").select("same"), "same", "left_semi").select("row").distinct()
     marks = spans.join(several.withColumn("all", F.lit(True)), "row", "full")
     return given.join(marks, "row", "left")
