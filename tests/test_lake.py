@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from weatherloom import schemas
 from weatherloom.catalog.readings import as_source, readings, streamed
-from weatherloom.operators import kpis
+from weatherloom.operators import kpis, latest
 from weatherloom.plans import jobs
 from weatherloom.sinks import audit, export, lake, timeline, topics as topic_sink
 from weatherloom.sources import database, files, report, topics
@@ -39,7 +39,7 @@ def test_increments_add_up_and_repeat_harmlessly(spark, source, store):
 def test_a_batch_whose_mark_was_lost_is_replaced(spark, source, store):
     first = source.filter("id <= 400")
     rows = first.withColumns({"ingestion_timestamp": F.current_timestamp(), "batch_id": F.lit("half")})
-    lake._write_batch(rows.limit(100), f"{store.bronze}/from_id=0")  # written, but no mark committed
+    lake._write_batch(rows.limit(100), f"{lake.batches_of(store, 'sensor_readings')}/from_id=0")  # written, but no mark committed
     lake.append_increment(first, store)
     assert lake.read_bronze(spark, store).count() == 400
 
@@ -50,6 +50,53 @@ def test_sources_have_their_own_marks(spark, source, store):
     assert lake.last_mark(spark, store, "b") == 0
 
 
+def test_rows_of_two_sources_stay_apart(spark, source, store):
+    lake.append_increment(source.filter("id <= 400"), store, "a")
+    lake.append_increment(source.filter("id <= 600"), store, "b")
+    assert lake.read_bronze(spark, store).count() == 1000
+
+
+@pytest.mark.parametrize("order", ["iai", "ai", "aii", "iaai"])
+def test_a_first_load_replaces_what_was_there(spark, source, store, order):
+    for i, step in enumerate(order):
+        part = source.filter(F.col("id") <= 250 * (i + 1))
+        (lake.initial_load if step == "i" else lake.append_increment)(part, store)
+    bronze = lake.read_bronze(spark, store)
+    assert bronze.count() == bronze.select("id").distinct().count() == 250 * len(order)
+
+
+def test_a_late_column_survives(spark, source, store):
+    lake.append_increment(source.filter("id <= 400").drop("pm25"), store)
+    lake.append_increment(source, store)
+    bronze = lake.read_bronze(spark, store)
+    assert bronze.count() == 1000 and bronze.filter("pm25 IS NOT NULL").count() >= 500
+
+
+def test_an_empty_source_is_read_quietly(spark, source, store):
+    assert lake.append_increment(source.filter("id < 0"), store) == 0
+    assert lake.read_bronze(spark, store).count() == 0
+
+
+def test_gaps_are_kept_scored_and_filled(spark, source, store):
+    jobs.initial(source, store, method="range_keep", as_of="2024-01-31")
+    silver = spark.read.parquet(store.silver)
+    assert silver.filter("data_quality_score < 100").count() > 0
+    assert silver.filter("temperature IS NULL OR humidity IS NULL").count() == 0
+
+
+def test_whole_names_below_the_root_are_logs(spark, tmp_path):
+    rows = spark.range(2)
+    for folder in ("biological", "run_log", "part one"):
+        rows.write.parquet(f"{tmp_path}/catalog lake/{folder}")
+    tree = files.parquet_tree(spark, f"{tmp_path}/catalog lake", schema=rows.schema, name_glob="*.parquet")
+    assert tree.transform(files.data_files_only, f"{tmp_path}/catalog lake").count() == 4
+
+
+def test_rows_without_a_time_fill_up_the_newest(spark):
+    df = spark.createDataFrame([(1, 5), (2, None), (3, None)], "id int, inserted_at int")
+    assert [r.id for r in latest.newest_full_rows(df, 2).collect()] == [1, 3]
+
+
 def test_initial_then_incremental(spark, source, store):
     lake.initial_load(source.filter("id <= 600"), store, page_size=100)
     lake.append_increment(source, store)

@@ -6,8 +6,9 @@ import compare
 import pytest
 
 import __spark_entry__ as entry
+from weatherloom.catalog import registry
 
-NAMES = sorted(entry.queries())
+NAMES = sorted(registry.QUERIES)
 
 
 @pytest.fixture(scope="module")
@@ -16,7 +17,8 @@ def con(sf_dir):
 
 
 def test_every_query_has_a_twin():
-    assert set(entry.oracle_sql()) == set(NAMES)
+    assert set(registry.SQL) == set(NAMES)
+    assert set(NAMES) <= set(entry.queries()) and set(NAMES) <= set(entry.oracle_sql())
 
 
 SQL_TYPES = {

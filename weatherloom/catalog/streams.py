@@ -83,9 +83,9 @@ def stream_bad_records(spark, sf_dir):
        count(*) FILTER (temperature IS NULL OR humidity IS NULL OR pressure IS NULL) AS errors FROM readings""",
 )
 def stream_counters(spark, sf_dir):
-    query = ingested(spark, sf_dir, scratch_path(spark, "counters"), keep_nulls=True)
-    counts = ingest.counters(query)
-    return spark.createDataFrame([tuple(counts.values())], ", ".join(f"{c} bigint" for c in counts))
+    root = scratch_path(spark, "counters")
+    ingested(spark, sf_dir, root, keep_nulls=True)
+    return ingest.counters(spark, f"{root}/bad")
 
 
 @registered("stream_drain_once", "SELECT id, sensor_id FROM readings")
@@ -192,23 +192,22 @@ def stream_alerts(spark, sf_dir):
 
 @registered(
     "stream_window_report",
-    """SELECT * FROM (
-         SELECT window_start, window_start + INTERVAL '10 minutes' AS window_end, sensor_id, count(*) AS readings,
-           round(avg(temperature) + 1e-9, 6) AS avg_temperature, round(min(temperature) + 1e-9, 6) AS min_temperature,
-           round(max(temperature) + 1e-9, 6) AS max_temperature
-         FROM (SELECT *, time_bucket(INTERVAL '10 minutes', "timestamp") AS window_start FROM readings)
-         GROUP BY window_start, sensor_id)
-       WHERE window_end <= (SELECT max("timestamp") FROM readings) - INTERVAL '10 minutes'""",
+    """SELECT window_start, window_start + INTERVAL '10 minutes' AS window_end, sensor_id,
+         CAST(count(*) AS bigint) AS readings, round(avg(temperature) + 1e-9, 6) AS avg_temperature,
+         round(min(temperature) + 1e-9, 6) AS min_temperature, round(max(temperature) + 1e-9, 6) AS max_temperature
+       FROM (SELECT *, time_bucket(INTERVAL '10 minutes', "timestamp") AS window_start FROM readings)
+       GROUP BY window_start, sensor_id""",
 )
 def stream_window_report(spark, sf_dir):
     root = scratch_path(spark, "windows")
-    stream = reports.window_report(reading_stream(spark, sf_dir))
-    return six(no_zone(drained(stream, f"{root}/out", f"{root}/checkpoint")))
+    reports.window_parts(reading_stream(spark, sf_dir), f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return six(no_zone(reports.merged_windows(spark.read.parquet(f"{root}/out"))))
 
 
 @registered("stream_dedup", 'SELECT DISTINCT sensor_id, "timestamp" FROM readings_raw')
 def stream_dedup(spark, sf_dir):
     root = scratch_path(spark, "dedup")
     repeated = zoned(as_readings_raw(as_readings(event_stream(spark, sf_dir))))
-    stream = reports.without_repeats(repeated).select("sensor_id", "timestamp")
-    return no_zone(drained(stream, f"{root}/out", f"{root}/checkpoint"))
+    stream = repeated.select("sensor_id", "timestamp")
+    reports.store_distinct(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
+    return no_zone(spark.read.parquet(f"{root}/out").select("sensor_id", "timestamp"))

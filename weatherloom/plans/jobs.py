@@ -7,7 +7,9 @@ layer it is working on.
 
 from __future__ import annotations
 
+import uuid
 from datetime import datetime
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -22,7 +24,7 @@ from weatherloom.sinks.lake import Lake
 
 WIDE, SENSORS, LONG = "kpis", "sensor_statistics", "kpis_long"
 CLEANING_SCRIPT, KPI_SCRIPT = "silver_cleaning", "gold_kpis"
-METHODS = {"sigma": cleaning.by_sigma, "range": cleaning.by_range}
+METHODS = {"sigma": cleaning.by_sigma, "range": cleaning.by_range, "range_keep": partial(cleaning.by_range, nulls="keep")}
 
 
 def bronze_to_silver(
@@ -31,17 +33,20 @@ def bronze_to_silver(
     """Clean the bronze readings into the silver snapshot and return it.
 
     ``newest_batches`` limits the input to the batches that arrived last.
+    ``range_keep`` is the range chain that keeps readings with gaps, so that the
+    quality score tells them apart and medians fill them.
     """
     bronze = lake.read_bronze(spark, store).transform(schemas.with_sensor_id).transform(schemas.nan_to_null)
     if newest_batches is not None:
         bronze = bronze.transform(latest.newest_batches, newest_batches)
     if method not in METHODS:
         raise ValueError(f"method must be one of {sorted(METHODS)}")
-    cleaned = METHODS[method](bronze, stage=store.staging)
+    staging = store.staging_of(uuid.uuid4().hex)
+    cleaned = METHODS[method](bronze, stage=staging)
     lake.write_snapshot(cleaned, store.silver)
 
     silver = spark.read.parquet(store.silver)
-    distinct = spark.read.parquet(store.staging)
+    distinct = spark.read.parquet(staging)
     # counts of written tables come from their file footers
     rows_in, rows_distinct, rows_out = (t.count() for t in (bronze, distinct, silver))
     metrics = spark.range(1).select(

@@ -4,8 +4,10 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import DateType, StructField, StructType
 
 from weatherloom import fixed_values as V
 from weatherloom import schemas
@@ -48,6 +50,10 @@ class Lake:
     def staging(self) -> str:
         return f"{self.root}/staging"
 
+    def staging_of(self, run: str) -> str:
+        """A folder of its own for each run, so that two runs do not read each other's."""
+        return f"{self.staging}/{run}"
+
     def gold_table(self, name: str) -> str:
         return f"{self.gold}/{name}"
 
@@ -84,9 +90,14 @@ def commit_mark(spark: SparkSession, lake: Lake, source: str, mark_id: int, at:
     row.write.mode("append").parquet(lake.marks)
 
 
-def _write_batch(batch: DataFrame, path: str) -> None:
+def batches_of(lake: Lake, name: str) -> str:
+    """Each source has its own folder, so that equal marks of two sources do not meet."""
+    return f"{lake.bronze}/ingest_source={name}"
+
+
+def _write_batch(batch: DataFrame, path: str, *partitions: str) -> None:
     dated = batch.withColumn("ingest_date", F.to_date("ingestion_timestamp"))
-    dated.write.mode("overwrite").partitionBy("ingest_date").parquet(path)
+    dated.write.mode("overwrite").partitionBy(*partitions, "ingest_date").parquet(path)
 
 
 def _highest_id(source: DataFrame) -> int:
@@ -112,7 +123,7 @@ def append_increment(
         return mark
     rows = source.filter((F.col("id") > mark) & (F.col("id") <= highest))
     batch = rows.transform(project.canonical).transform(project.ingest_stamps, at)
-    _write_batch(batch, f"{lake.bronze}/from_id={mark}")
+    _write_batch(batch, f"{batches_of(lake, name)}/from_id={mark}")
     commit_mark(spark, lake, name, highest, at)
     return highest
 
@@ -125,17 +136,30 @@ def initial_load(
     page_size: int = V.PAGE_SIZE,
     up_to: int | None = None,
 ) -> int:
-    """Store the whole source in one parallel job, its pages numbered as batches."""
+    """Store the whole source in one parallel job, its pages numbered as batches.
+
+    It replaces everything stored of this source before, first load and
+    increments alike, and increments go on from its mark.
+    """
     at = times.moment(at)
     highest = _highest_id(source) if up_to is None else up_to
     rows = source.filter(F.col("id") <= highest).transform(project.canonical)
     batch = rows.transform(project.initial_batch_ids, page_size).withColumn("ingestion_timestamp", at)
-    _write_batch(batch, f"{lake.bronze}/from_id=initial")
+    _write_batch(batch.withColumn("from_id", F.lit("initial")), batches_of(lake, name), "from_id")
     commit_mark(source.sparkSession, lake, name, highest, at)
     return highest
 
 
 def read_bronze(spark: SparkSession, lake: Lake, with_date: bool = False) -> DataFrame:
-    """All bronze batches; ``with_date`` keeps the partition date for pruning."""
-    bronze = spark.read.option("mergeSchema", False).parquet(lake.bronze)
-    return bronze.drop("from_id") if with_date else bronze.drop("from_id", "ingest_date")
+    """All bronze batches with the columns of any; ``with_date`` keeps the partition date for pruning.
+
+    Before the first batch there are no rows.
+    """
+    try:
+        bronze = spark.read.option("mergeSchema", True).parquet(lake.bronze)
+    except AnalysisException as missing:
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        bronze = spark.createDataFrame([], StructType([*schemas.BRONZE.fields, StructField("ingest_date", DateType())]))
+    bronze = bronze.drop("ingest_source", "from_id")
+    return bronze if with_date else bronze.drop("ingest_date")

@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -22,15 +22,16 @@ def counted(rows: DataFrame) -> DataFrame:
     )
 
 
-def counters(query: StreamingQuery) -> dict[str, int]:
-    """Sums of the reported counters over the retained progress of a query."""
-    totals = {"received": 0, "inserted": 0, "errors": 0}
-    for progress in query.recentProgress:
-        row = progress.observedMetrics.get(COUNTERS)
-        if row is not None:
-            for name in totals:
-                totals[name] += row[name] or 0
-    return totals
+def counters(spark: SparkSession, quarantine: str, stream: str | None = None) -> DataFrame:
+    """One row of received, inserted and errors over all micro-batches, or those of one stream."""
+    rows = spark.read.parquet(counts_of(quarantine))
+    rows = rows if stream is None else rows.filter(F.col("stream") == stream)
+    return rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("received", "inserted", "errors")])
+
+
+def counts_of(quarantine: str) -> str:
+    """Where the counters of each micro-batch are stored: beside the quarantine."""
+    return f"{quarantine.rstrip('/')}_counts"
 
 
 def start(
@@ -43,8 +44,8 @@ def start(
 ) -> StreamingQuery:
     """Append readings to ``table`` and rejected messages to ``quarantine``.
 
-    Both are written per micro-batch into folders named after it, so that a
-    restart after a failure adds no rows. ``stream`` names the checkpoint's
+    Both, and one row of counters, are written per micro-batch into folders named
+    after it, so that a restart after a failure adds no rows. ``stream`` names the checkpoint's
     lineage: a stream begun anew needs a new name.
     """
 
@@ -54,6 +55,12 @@ def start(
             timeline.write_epoch(decode.accepted(batch), table, stream, epoch)
             bad = decode.rejected(batch)
             bad.write.mode("overwrite").parquet(f"{quarantine}/stream={stream}/epoch={epoch}")
+            counts = batch.agg(
+                F.count(F.lit(1)).alias("received"),
+                F.count_if(~F.col("rejected")).alias("inserted"),
+                F.count_if("rejected").alias("errors"),
+            )
+            counts.write.mode("overwrite").parquet(f"{counts_of(quarantine)}/stream={stream}/epoch={epoch}")
         finally:
             batch.unpersist()
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
@@ -56,8 +57,10 @@ def alerts(readings: DataFrame, limit: float = V.HIGH_PM25) -> DataFrame:
 
 
 def window_report(readings: DataFrame, delay: str = "10 minutes", width: str = "10 minutes") -> DataFrame:
-    """Temperature of each sensor in fixed windows of event time.
+    """Temperature of each sensor in fixed windows of event time, each window once it is final.
 
+    Readings that come later than ``delay`` behind the newest are left out;
+    :func:`window_parts` leaves none out.
     Partial sums are formed before the shuffle, so a busy sensor costs each
     task one row per window. A window is final ``delay`` after its end.
     """
@@ -77,9 +80,66 @@ def window_report(readings: DataFrame, delay: str = "10 minutes", width: str = "
     )
 
 
+def window_parts(readings: DataFrame, path: str, checkpoint: str, trigger: dict | None = None, width: str = "10 minutes") -> StreamingQuery:
+    """Keep mergeable sums per window and sensor, one folder for each micro-batch; late readings count like others."""
+
+    def store(batch: DataFrame, epoch: int) -> None:
+        parts = batch.groupBy(F.window("timestamp", width).alias("w"), "sensor_id").agg(
+            F.count(F.lit(1)).alias("readings"),
+            F.count("temperature").alias("known"),
+            F.sum("temperature").alias("sum"),
+            F.min("temperature").alias("min"),
+            F.max("temperature").alias("max"),
+        )
+        parts = parts.select(F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *[c for c in parts.columns if c != "w"])
+        parts.write.mode("overwrite").parquet(f"{path}/epoch={epoch}")
+
+    return run.per_batch(readings, store, checkpoint, trigger)
+
+
+def merged_windows(parts: DataFrame) -> DataFrame:
+    """The window report so far, from the sums of all micro-batches."""
+    return parts.groupBy("window_start", "window_end", "sensor_id").agg(
+        F.sum("readings").alias("readings"),
+        (F.sum("sum") / F.sum("known")).alias("avg_temperature"),
+        F.min("min").alias("min_temperature"),
+        F.max("max").alias("max_temperature"),
+    )
+
+
+def store_distinct(readings: DataFrame, path: str, checkpoint: str, trigger: dict | None = None) -> StreamingQuery:
+    """Store the first reading of each key, however late its repeats come.
+
+    A micro-batch is compared with the stored rows of its own dates alone, and
+    without what an earlier delivery of itself has stored. Readings without a
+    sensor or a time have no key; they are one key each by their other half.
+    """
+    keys = list(V.READING_KEY)
+
+    def store(batch: DataFrame, epoch: int) -> None:
+        spark = batch.sparkSession
+        dated = batch.dropDuplicates(keys).withColumn("reading_date", F.coalesce(F.to_date("timestamp"), F.lit("1970-01-01").cast("date")))
+        target = f"{path}/epoch={epoch}"
+        dates = dated.select(F.col("reading_date").alias("_date")).distinct()
+        try:
+            known = spark.read.parquet(path).filter(F.col("epoch") != epoch)
+        except AnalysisException as missing:
+            if missing.getCondition() not in ("PATH_NOT_FOUND", "UNABLE_TO_INFER_SCHEMA"):
+                raise
+            known = None
+        if known is not None:
+            stored = known.join(F.broadcast(dates), F.col("reading_date") == F.col("_date"), "left_semi").select(*[F.col(k).alias(f"_{k}") for k in keys])
+            same = [F.col(k).eqNullSafe(F.col(f"_{k}")) for k in keys]
+            dated = dated.join(stored, same, "left_anti")
+        dated.write.mode("overwrite").partitionBy("reading_date").parquet(target)
+
+    return run.per_batch(readings, store, checkpoint, trigger)
+
+
 def without_repeats(readings: DataFrame, delay: str = "10 minutes", spread: bool = True) -> DataFrame:
-    """The first reading of each key; repeats within the delay are dropped.
+    """The first reading of each key; repeats within the delay are dropped, and so are readings later than it.
 
+    For streams in order. :func:`store_distinct` loses no reading whatever the order.
     ``spread`` first drops repeats among the rows one task has read, with the
     copies of a key spread over as many state partitions as there are tasks.
     What is left for the second step is at most one row per key and task.
