@@ -79,7 +79,7 @@ def probability(text: str | None, weights: Weights) -> float:
     data = np.frombuffer(utf8(text), np.uint8)
     if not len(data) or "out" not in weights:
         return float(weights["share"])
-    return float(1 / (1 + np.exp(-np.clip(pooled(data, weights) @ weights["out"] + weights["out_bias"], -30, 30))))
+    return float(1 / (1 + np.exp(-np.clip(pooled(data, weights) @ weights["out"] + weights["out_bias"][0], -30, 30))))
 
 
 def fitted(texts: list[str], labels: list[int], seed: int = 7) -> Weights:
