@@ -9,6 +9,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
+from pyspark.sql.window import Window
 
 from weatherloom.session import cut_lineage
 
@@ -163,6 +164,25 @@ def shingle_sets(texts: list[str | None], size: int = SHINGLE_WORDS) -> list[np.
     return out
 
 
+def sampled(df: DataFrame, group: str, size: int, groups: int, *order: str) -> tuple[DataFrame, dict]:
+    """At most ``size`` rows of each group, those first by a hash of ``order``, with their ``rank``; and the groups' sizes.
+
+    A hash filter leaves about four times as many as wanted before rows of a
+    group meet, so a group of any size is ranked over a bounded number of rows.
+    There may be at most ``groups`` groups; their sizes come to the driver.
+    """
+    spark = df.sparkSession
+    sizes = {r[group]: r["n"] for r in df.groupBy(group).agg(F.count("*").alias("n")).limit(groups + 1).collect()}
+    if len(sizes) > groups:
+        raise ValueError(f"more than {groups} groups of {group}")
+    kind = df.schema[group].dataType.simpleString()
+    shares = spark.createDataFrame([(g, min(1.0, 4 * size / n)) for g, n in sizes.items()], f"_group {kind}, _share double")
+    near = df.join(F.broadcast(shares), F.col(group) == F.col("_group"))
+    near = near.filter(F.pmod(F.xxhash64(*order), F.lit(1 << 30)) < F.col("_share") * (1 << 30)).drop("_group", "_share")
+    by_hash = Window.partitionBy(group).orderBy(F.xxhash64(*order, F.lit(1)), *order)
+    return near.withColumn("rank", F.row_number().over(by_hash)).filter(F.col("rank") <= size), sizes
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of links (a, b): one row (node, component) per linked node.
 

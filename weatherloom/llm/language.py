@@ -20,9 +20,8 @@ from functools import lru_cache
 import regex
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from weatherloom.llm.common import map_rows, utf8
+from weatherloom.llm.common import map_rows, sampled, utf8
 
 UNDETERMINED = "und"
 SAMPLE = 400
@@ -47,16 +46,11 @@ def dictionaries(docs: DataFrame, sample: int = SAMPLE, each: int = EACH) -> dic
     """
     learned = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
     learned = learned.filter(~held_out() & F.col("lang").isNotNull() & F.col("text").rlike(r"\p{L}"))
-    order = Window.partitionBy("lang").orderBy(F.xxhash64("doc_id"), "doc_id", F.xxhash64("text"))
     part = F.substring("text", (F.length("text") / 3).cast("int") + 1, F.lit(each))
-    # the window sees the part of each text alone, and at most ``sample`` rows a task and language
     parts = learned.select("lang", "doc_id", part.alias("part"), F.xxhash64("text").alias("text"))
-    top = parts.withColumn("rank", F.row_number().over(order)).filter(F.col("rank") <= sample)
-    sizes = learned.groupBy("lang").agg(F.count("*").alias("learned"))
-    picked = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "part"))).alias("parts"))
-    rows = picked.join(sizes, "lang").orderBy(F.desc("learned"), "lang").collect()
-    if len(rows) > LANGUAGES:
-        raise ValueError(f"{len(rows)} languages; raise LANGUAGES if the driver has the memory")
+    top, sizes = sampled(parts, "lang", sample, LANGUAGES, "doc_id", "text")
+    rows = top.groupBy("lang").agg(F.sort_array(F.collect_list(F.struct("rank", "part"))).alias("parts")).collect()
+    rows.sort(key=lambda row: (-sizes[row["lang"]], row["lang"]))
     out = {}
     for row in rows:
         text = "\n".join(p["part"].lower() for p in row["parts"])

@@ -20,9 +20,8 @@ from __future__ import annotations
 import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
-from pyspark.sql.window import Window
 
-from weatherloom.llm.common import map_rows, utf8
+from weatherloom.llm.common import map_rows, sampled, utf8
 from weatherloom.llm.language import held_out
 
 SAMPLE = 900
@@ -152,8 +151,7 @@ def _back(data: np.ndarray, label: np.float32, w: Weights, grads: Weights) -> No
 def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: int = TRAIN_CHARS) -> Weights:
     """Fit on labelled rows that are not held out; at most ``sample`` rows a label come to the driver."""
     marked = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter(~held_out() & F.col("quality").isin(0, 1))
-    rank = F.row_number().over(Window.partitionBy("quality").orderBy(F.xxhash64("doc_id"), "doc_id"))
-    chosen = marked.distinct().withColumn("rank", rank).filter(F.col("rank") <= sample).drop("rank")
+    chosen = sampled(marked.distinct(), "quality", sample, 2, "doc_id")[0].drop("rank")
     texts = docs.select("doc_id", F.substring("text", 1, chars).alias("text")).filter("text is not null")
     # the sample's size is bounded, so it may be sent to where the texts are
     rows = texts.join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "quality", "text").limit(4 * sample).collect()
