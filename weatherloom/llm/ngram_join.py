@@ -175,8 +175,14 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
 
     known = components(links.unionByName(of_one_id))
     placed = buckets.join(known.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
-    split = placed.groupBy("key").agg(F.min("component").alias("low"), F.max("component").alias("high")).filter("low < high")
-    open_rows = placed.join(split.select("key"), "key").join(sizes, "rep").select("key", "rep", "component", "s")
+    split = placed.groupBy("key").agg(
+        F.min("component").alias("low"), F.max("component").alias("high"), (F.count("*") > HOT).alias("large")
+    )
+    open_rows = placed.join(split.filter("low < high").select("key", "large"), "key").join(sizes, "rep")
+    # members of large buckets share many keys; their pairs are made at the first of them alone
+    own = Window.partitionBy("rep")
+    keys = F.when(F.max("large").over(own), F.collect_set("key").over(own))
+    open_rows = open_rows.select("key", "rep", "component", "s", keys.alias("keys"))
     x, y = open_rows.alias("x"), open_rows.alias("y")
     across = (
         x.join(
@@ -185,7 +191,8 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
             & (F.col("x.rep") < F.col("y.rep"))
             & (F.col("x.component") != F.col("y.component"))
             & _similar_sizes("x.s.n", "y.s.n", percent)
-            & _close_bits("x.s", "y.s", percent),
+            & _close_bits("x.s", "y.s", percent)
+            & F.expr("x.keys is null or y.keys is null or array_min(array_intersect(x.keys, y.keys)) = x.key"),
         )
         .select(F.col("x.rep").alias("a"), F.col("y.rep").alias("b"))
         .distinct()
