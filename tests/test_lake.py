@@ -79,7 +79,7 @@ def test_an_empty_source_is_read_quietly(spark, source, store):
 
 def test_gaps_are_kept_scored_and_filled(spark, source, store):
     jobs.initial(source, store, method="range_keep", as_of="2024-01-31")
-    silver = spark.read.parquet(store.silver)
+    silver = lake.read_snapshot(spark, store.silver)
     assert silver.filter("data_quality_score < 100").count() > 0
     assert silver.filter("temperature IS NULL OR humidity IS NULL").count() == 0
 
@@ -108,9 +108,9 @@ def test_initial_then_incremental(spark, source, store):
 def test_full_job_writes_every_layer(spark, source, store):
     path = jobs.full(source, store, as_of="2024-01-31", at=datetime(2024, 2, 1))
     assert path.endswith("export_ts=20240201_000000")
-    silver = spark.read.parquet(store.silver)
+    silver = lake.read_snapshot(spark, store.silver)
     assert silver.filter("temperature IS NULL OR humidity IS NULL OR pressure IS NULL").count() == 0
-    wide = spark.read.parquet(store.gold_table(jobs.WIDE))
+    wide = lake.read_snapshot(spark, store.gold_table(jobs.WIDE))
     assert wide.first().total_readings == silver.count()
     log = audit.read(spark, f"{store.audit}/silver").first()
     assert log.records_processed == silver.count() and log.status == "completed"
@@ -199,3 +199,15 @@ def test_topic_options():
     options = topics.kafka_options("broker:9092", "readings", max_per_trigger=100)
     assert options["startingOffsets"] == "earliest" and options["maxOffsetsPerTrigger"] == "100"
     assert topic_sink.kafka_options("broker:9092", "readings")["topic"] == "readings"
+
+
+def test_failed_write_leaves_the_old_snapshot(spark, tmp_path):
+    path = f"{tmp_path}/snapshot"
+    lake.write_snapshot(spark.range(3), path)
+    lake.write_snapshot(spark.range(5), path)
+    broken = spark.range(9).withColumn("id", F.expr("if(id = 7, raise_error('lost'), id)").cast("bigint"))
+    with pytest.raises(Exception, match="lost"):
+        lake.write_snapshot(broken, path)
+    assert lake.read_snapshot(spark, path).count() == 5
+    lake.write_snapshot(spark.range(2), path)
+    assert lake.read_snapshot(spark, path).count() == 2

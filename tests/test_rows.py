@@ -141,6 +141,16 @@ def test_median_imputation(spark):
     assert impute.median_global(df).filter("temperature = 5.0").count() == 5
 
 
+def test_medians_are_values_of_the_data(spark):
+    fine = [(str(i % 3), 0.12345 + i / 100_000) for i in range(50)] + [("0", 0.5)] * 3
+    df = spark.createDataFrame(fine, "sensor_id string, temperature double").repartition(7)
+    values = sorted(t for _, t in fine)
+    assert impute.medians(df, ["temperature"]).first().temperature == values[(len(values) - 1) // 2]
+    for row in impute.medians(df, ["temperature"], "sensor_id").collect():
+        own = sorted(t for s, t in fine if s == row.sensor_id)
+        assert (row.temperature, row.readings) == (own[(len(own) - 1) // 2], len(own))
+
+
 def test_medians_of_few_and_none(spark):
     empty = spark.createDataFrame([], "sensor_id string, temperature double")
     assert impute.medians(empty, ["temperature"]).collect()[0].temperature is None

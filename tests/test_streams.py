@@ -44,6 +44,10 @@ def test_absent_fields_take_defaults(spark):
         (None, True),
         ("[1, 2]", True),
         ("5", True),
+        ('{"timestamp": "31/12/2025 10:00"}', True),
+        ('{"timestamp": ""}', False),
+        ('{"timestamp": null}', False),
+        ('{"timestamp": "2025-12-31 10:00:00"}', False),
     ],
 )
 def test_reject_rule(spark, text, bad):

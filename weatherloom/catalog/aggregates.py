@@ -293,7 +293,8 @@ def location_comfort(spark, sf_dir):
 )
 def median_approx(spark, sf_dir):
     measured = ("temperature", "humidity", "pressure")
-    return six(readings(spark, sf_dir).agg(*[impute.approximate_median(c).alias(f"median_{c}") for c in measured]))
+    found = impute.medians(readings(spark, sf_dir), measured)
+    return six(found.select(*[F.col(c).alias(f"median_{c}") for c in measured]))
 
 
 @registered(
@@ -386,7 +387,7 @@ def layer_profile(spark, sf_dir):
     layers = {"bronze": raw, "silver": silver, "gold": sensors.statistics(silver)}
     paths = {name: f"{root}/{name}" for name in layers}
     for name, df in layers.items():
-        lake.write_snapshot(df, paths[name])
+        lake.staged(df, paths[name])
     profile = summary.layers(spark, paths)
     return profile.select("layer", (F.col("files") > 0).alias("has_files"), "readings")
 

@@ -13,7 +13,7 @@ from weatherloom.catalog.rows import MEAN_FILLED, MEANS, VALID_SQL, halfway, sig
 from weatherloom.operators import filters, kpis
 from weatherloom.plans import cleaning, jobs
 from weatherloom.session import scratch_path
-from weatherloom.sinks import export
+from weatherloom.sinks import export, lake
 from weatherloom.sinks.lake import Lake
 
 RANGE_VIEWS = (
@@ -41,6 +41,23 @@ def job_clean_range(spark, sf_dir):
     return six(cleaned, "temperature", "temperature_fahrenheit")
 
 
+GAPS_OR_VALID = """(temperature IS NULL OR temperature BETWEEN -50 AND 70) AND (humidity IS NULL OR humidity BETWEEN 0 AND 100)
+    AND (pressure IS NULL OR pressure BETWEEN 800 AND 1200)"""
+
+
+@registered(
+    "job_clean_range_keep",
+    """SELECT id, sensor_id, round(temperature + 1e-9, 6) AS temperature, humidity, pressure, "timestamp", pm25, light,
+       location, ingestion_timestamp, data_quality_score, round(temperature_fahrenheit + 1e-9, 6) AS temperature_fahrenheit,
+       comfort_index, sensor_category FROM range_silver""",
+    *(view.replace(VALID_SQL, GAPS_OR_VALID) for view in RANGE_VIEWS),
+)
+def job_clean_range_keep(spark, sf_dir):
+    stage = scratch_path(spark, "distinct")
+    cleaned = readings_raw(spark, sf_dir).transform(cleaning.by_range, nulls="keep", stage=stage)
+    return six(cleaned, "temperature", "temperature_fahrenheit")
+
+
 @registered(
     "job_clean_sigma",
     f"""SELECT id, sensor_id, {MEAN_FILLED}, "timestamp", location, ingestion_timestamp FROM kept, means""",
@@ -83,7 +100,7 @@ JOB_SILVER = (
 def job_initial(spark, sf_dir):
     store = Lake(scratch_path(spark, "initial-job"))
     jobs.initial(readings_raw(spark, sf_dir).transform(as_source), store)
-    return six(spark.read.parquet(store.gold_table(jobs.SENSORS)))
+    return six(lake.read_snapshot(spark, store.gold_table(jobs.SENSORS)))
 
 
 @registered("job_incremental", wide_sql("silver"), JOB_SOURCE.format("readings"), *JOB_SILVER)
@@ -92,7 +109,7 @@ def job_incremental(spark, sf_dir):
     source = readings(spark, sf_dir).transform(as_source)
     jobs.incremental(source.filter(F.col("timestamp") < halfway()), store)
     jobs.incremental(source, store)
-    wide = spark.read.parquet(store.gold_table(jobs.WIDE)).drop("timestamp", "generation_time")
+    wide = lake.read_snapshot(spark, store.gold_table(jobs.WIDE)).drop("timestamp", "generation_time")
     return six(wide)
 
 
@@ -117,5 +134,5 @@ def job_export(spark, sf_dir):
     jobs.initial(readings(spark, sf_dir).transform(as_source), store)
     jobs.export_tables(spark, store)
     csv = f"{store.exports}/csv"
-    exported = spark.read.schema(spark.read.parquet(store.silver).schema).option("header", True).csv(f"{csv}/readings")
+    exported = spark.read.schema(lake.read_snapshot(spark, store.silver).schema).option("header", True).csv(f"{csv}/readings")
     return six(exported.transform(kpis.wide))

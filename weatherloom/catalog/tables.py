@@ -155,7 +155,7 @@ def sink_parquet_overwrite(spark, sf_dir):
     path = scratch_path(spark, "snapshot")
     lake.write_snapshot(readings_raw(spark, sf_dir), path)
     lake.write_snapshot(readings(spark, sf_dir), path)
-    return spark.read.parquet(path)
+    return lake.read_snapshot(spark, path)
 
 
 @registered("sink_csv", f"SELECT {READING} FROM readings")

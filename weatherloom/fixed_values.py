@@ -23,8 +23,6 @@ SOURCE_COLUMNS = (
 LINEAGE_COLUMNS = ("ingestion_timestamp", "batch_id")
 MEAN_IMPUTED_COLUMNS = ("temperature", "humidity", "pressure", "pm25", "light")
 MEDIAN_IMPUTED_COLUMNS = ("temperature", "humidity", "pressure")
-# decimals of the source's temperature, humidity and pressure columns
-DECIMALS = 2
 READING_KEY = ("sensor_id", "timestamp")
 
 # --- fixed values: placeholders and name patterns -----------------------------

@@ -2,38 +2,25 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from weatherloom import fixed_values as V
 from weatherloom.operators import groupstats
 from weatherloom.session import cut_lineage
 
-# relative rank error is 1 / precision; the sketch behind it grows with precision
-SKETCH_PRECISION = 100_000
 # measure number under which rows themselves are counted
 ROWS = -1
 
 
-def approximate_median(column: str, precision: int = SKETCH_PRECISION) -> Column:
-    """A median from a sketch, off by at most about one rank in ``precision`` rows.
-
-    Every task sends its sketch to the one task that merges them. Over very
-    many tasks :func:`medians` is the better choice.
-    """
-    return F.percentile_approx(column, 0.5, precision)
-
-
-def value_counts(
-    df: DataFrame, columns, key: str | None = None, decimals: int = V.DECIMALS
-) -> DataFrame:
+def value_counts(df: DataFrame, columns, key: str | None = None) -> DataFrame:
     """How often each value of each column occurs, over all rows or per ``key``.
 
     Columns are numbered in ``measure``. With ``key`` there is also the number
-    of rows, as measure :data:`ROWS`. Values are taken to ``decimals`` places.
+    of rows, as measure :data:`ROWS`.
     """
     keys = [key] if key else []
-    cells = [(i, F.round(F.col(c).cast("double"), decimals)) for i, c in enumerate(columns)]
+    cells = [(i, F.col(c).cast("double")) for i, c in enumerate(columns)]
     if key:
         cells.append((ROWS, F.lit(0.0)))
     measured = df.select(
@@ -44,36 +31,41 @@ def value_counts(
 
 
 def medians_of_counts(counts: DataFrame, columns, key: str | None = None) -> DataFrame:
-    """Discrete median of each column from its value counts; with ``key`` also ``readings``."""
-    keys = [key] if key else []
-    group = Window.partitionBy(*keys, "measure")
-    up_to_here = group.orderBy("value").rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    ranked = counts.select(
-        *keys,
-        "measure",
-        "value",
-        F.sum("n").over(up_to_here).alias("up_to"),
-        F.sum("n").over(group).alias("total"),
-    )
-    upper_half = ranked.filter(2 * F.col("up_to") >= F.col("total"))
+    """Discrete median of each column from its value counts; with ``key`` also ``readings``.
+
+    The counts are dealt out in ranges of their order and written with the
+    number of their range. Sums per range tell in which one the middle lies;
+    only its counts are put in order, so no task sorts more than one range.
+    Groups without a key are left out.
+    """
+    group = [*([key] if key else []), "measure"]
+    ranged = counts.repartitionByRange(*group, "value").withColumn("part", F.spark_partition_id())
+    ranged = cut_lineage(ranged)
+    sums = ranged.groupBy(*group, "part").agg(F.sum("n").alias("in_part"))
+    along = Window.partitionBy(*group).orderBy("part")
+    middle = sums.select(
+        *group,
+        "part",
+        (F.sum("in_part").over(along) - F.col("in_part")).alias("before"),
+        F.sum("in_part").over(Window.partitionBy(*group)).alias("total"),
+        "in_part",
+    ).filter("2 * before < total AND 2 * (before + in_part) >= total")
+    up_to = F.col("before") + F.sum("n").over(Window.partitionBy(*group, "part").orderBy("value"))
+    ranked = ranged.join(middle, [*group, "part"]).select(*group, "value", "total", up_to.alias("up_to"))
+    upper_half = ranked.filter("2 * up_to >= total")
     measure = F.col("measure")
-    return upper_half.groupBy(*keys).agg(
+    return upper_half.groupBy(*group[:-1]).agg(
         *([F.max(F.when(measure == ROWS, F.col("total"))).alias("readings")] if key else []),
         *[F.min(F.when(measure == i, F.col("value"))).alias(c) for i, c in enumerate(columns)],
     )
 
 
-def medians(df: DataFrame, columns, key: str | None = None, decimals: int = V.DECIMALS) -> DataFrame:
-    """Discrete median of each column, over all rows or per ``key``.
+def medians(df: DataFrame, columns, key: str | None = None) -> DataFrame:
+    """Discrete median of each column, over all rows or per ``key``: exact, and a value of the data.
 
     Equal values are counted first, inside each task and then across tasks.
-    Values have the two decimals the source declares, three or five digits
-    before them, so there are at most 200,000 or 20,000,000 counts per measure
-    to put in order, and in practice some thousands, whether a sensor sent a
-    hundred readings or a third of the table. ``decimals`` holds that bound
-    where computed values carry more digits.
     """
-    return medians_of_counts(value_counts(df, columns, key, decimals), columns, key)
+    return medians_of_counts(value_counts(df, columns, key), columns, key)
 
 
 def _existing(df: DataFrame, columns) -> list[str]:
@@ -97,12 +89,10 @@ def mean_global(df: DataFrame, columns=V.MEAN_IMPUTED_COLUMNS, skip_zero: bool =
     return _filled(known, columns, "_mean")
 
 
-def median_global(
-    df: DataFrame, columns=V.MEDIAN_IMPUTED_COLUMNS, decimals: int = V.DECIMALS
-) -> DataFrame:
+def median_global(df: DataFrame, columns=V.MEDIAN_IMPUTED_COLUMNS) -> DataFrame:
     """NULL becomes the column's median."""
     columns = _existing(df, columns)
-    overall = medians(df, columns, decimals=decimals).select(F.struct(*columns))
+    overall = medians(df, columns).select(F.struct(*columns))
     return _filled(df.withColumn("_median", overall.scalar()), columns, "_median")
 
 
@@ -111,14 +101,13 @@ def median_per_sensor(
     columns=V.MEDIAN_IMPUTED_COLUMNS,
     key: str = "sensor_id",
     broadcast_keys: int = groupstats.BROADCAST_KEYS,
-    decimals: int = V.DECIMALS,
 ) -> DataFrame:
     """NULL becomes the sensor's median, or the global one where the sensor has none.
 
     The readings are counted once; both kinds of median come from the counts.
     """
     columns = _existing(df, columns)
-    counts = cut_lineage(value_counts(df, columns, key, decimals))
+    counts = cut_lineage(value_counts(df, columns, key))
     own = medians_of_counts(counts, columns, key).select(key, "readings", F.struct(*columns).alias("_own"))
     attached = groupstats.attach(df, own, key, broadcast_keys=broadcast_keys)
     everywhere = counts.filter(F.col("measure") != ROWS).groupBy("measure", "value").agg(F.sum("n").alias("n"))

@@ -25,17 +25,17 @@ def by_range(df: DataFrame, nulls: str = "drop", stage: str | None = None) -> Da
 
     Of several readings with one key the newest stays: an arbitrary choice
     could differ when a lost task is run again. The quality score is taken
-    before imputation, so that it tells what was measured.
+    before imputation, so that it tells what was measured. With ``nulls="drop"``
+    no reading has a gap and there is nothing to impute.
     """
-    return (
+    scored = (
         _settled(duplicates.last_per_key(df), stage)
         .transform(filters.present, "sensor_id", "timestamp")
         .transform(filters.valid_range, nulls)
         .transform(project.quality_score)
-        .transform(impute.median_global)
-        .transform(impute.unknown_location)
-        .transform(project.derived_measures)
     )
+    whole = scored.transform(impute.median_global) if nulls == "keep" else scored
+    return whole.transform(impute.unknown_location).transform(project.derived_measures)
 
 
 def by_sigma(df: DataFrame, stage: str | None = None) -> DataFrame:

@@ -45,7 +45,7 @@ def bronze_to_silver(
     cleaned = METHODS[method](bronze, stage=staging)
     lake.write_snapshot(cleaned, store.silver)
 
-    silver = spark.read.parquet(store.silver)
+    silver = lake.read_snapshot(spark, store.silver)
     distinct = spark.read.parquet(staging)
     # counts of written tables come from their file footers
     rows_in, rows_distinct, rows_out = (t.count() for t in (bronze, distinct, silver))
@@ -60,14 +60,14 @@ def bronze_to_silver(
 
 def silver_to_gold(spark: SparkSession, store: Lake, as_of=None, at=None) -> None:
     """Write the wide KPI row, the sensor statistics and the long KPI table."""
-    silver = spark.read.parquet(store.silver)
+    silver = lake.read_snapshot(spark, store.silver)
     at = times.moment(at)
     lake.write_snapshot(silver.transform(kpis.wide).transform(kpis.stamped, at), store.gold_table(WIDE))
     lake.write_snapshot(silver.transform(sensors.statistics), store.gold_table(SENSORS))
     lake.write_snapshot(silver.transform(kpis.long_table, as_of, at), store.gold_table(LONG))
     row = audit.kpi_row(
-        spark.read.parquet(store.gold_table(WIDE)).drop("timestamp", "generation_time"),
-        spark.read.parquet(store.gold_table(SENSORS)),
+        lake.read_snapshot(spark, store.gold_table(WIDE)).drop("timestamp", "generation_time"),
+        lake.read_snapshot(spark, store.gold_table(SENSORS)),
         KPI_SCRIPT,
         [WIDE, SENSORS, LONG],
         at,
@@ -84,7 +84,7 @@ def export_tables(spark: SparkSession, store: Lake, names=("kpis", "readings"))
         "log": f"{store.audit}/gold",
     }
     for name in names:
-        df = spark.read.parquet(paths[name])
+        df = spark.read.parquet(paths[name]) if name == "log" else lake.read_snapshot(spark, paths[name])
         if name == "log":
             df = df.withColumn("output_files", F.array_join("output_files", " "))
         export.to_csv(df, f"{store.exports}/csv/{name}")
@@ -92,7 +92,7 @@ def export_tables(spark: SparkSession, store: Lake, names=("kpis", "readings"))
 
 def export_kpis(spark: SparkSession, store: Lake, at: datetime | None = None) -> str:
     """A versioned copy of the newest long KPIs."""
-    newest = latest.newest_snapshot(spark.read.parquet(store.gold_table(LONG)))
+    newest = latest.newest_snapshot(lake.read_snapshot(spark, store.gold_table(LONG)))
     return export.versioned(newest, f"{store.exports}/kpis", at)
 
 

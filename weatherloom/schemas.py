@@ -47,6 +47,8 @@ KPI_LONG = T.StructType(
     ]
 )
 
+COMMIT = T.StructType([T.StructField("version", T.LongType())])
+
 MARK = T.StructType(
     [
         T.StructField("source", T.StringType(), False),

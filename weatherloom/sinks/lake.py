@@ -58,9 +58,35 @@ class Lake:
         return f"{self.gold}/{name}"
 
 
+def _commits(spark: SparkSession, path: str) -> DataFrame:
+    return files.parquet_or_empty(spark, f"{path}/commits", schemas.COMMIT)
+
+
+def _committed(spark: SparkSession, path: str) -> int:
+    return _commits(spark, path).agg(F.coalesce(F.max("version"), F.lit(0)).alias("version")).first()["version"]
+
+
+def _slot(path: str, version: int) -> str:
+    return f"{path}/slot={version % 2}"
+
+
 def write_snapshot(df: DataFrame, path: str) -> None:
-    """Replace the Parquet data at ``path``; executors write their own files."""
-    df.write.mode("overwrite").parquet(path)
+    """Replace the snapshot at ``path``; executors write their own files.
+
+    Two slots take turns. The new version goes into the one not in use, and a
+    commit row makes it the current one, so that a write that fails leaves the
+    old version as it was. One writer at a time.
+    """
+    spark = df.sparkSession
+    version = _committed(spark, path) + 1
+    df.write.mode("overwrite").parquet(_slot(path, version))
+    row = spark.range(1).select(F.lit(version).cast("bigint").alias("version"))
+    row.write.mode("append").parquet(f"{path}/commits")
+
+
+def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
+    """The version committed last."""
+    return spark.read.parquet(_slot(path, _committed(spark, path)))
 
 
 def staged(df: DataFrame, path: str) -> DataFrame:
@@ -69,7 +95,7 @@ def staged(df: DataFrame, path: str) -> DataFrame:
     Later passes then read only the columns they need, take row counts from
     file footers, and do not depend on shuffle files of lost executors.
     """
-    write_snapshot(df, path)
+    df.write.mode("overwrite").parquet(path)
     return df.sparkSession.read.parquet(path)
 
 

@@ -29,8 +29,9 @@ def _number(name: str) -> str:
 def decoded(messages: DataFrame, value: str = "value") -> DataFrame:
     """Typed readings plus ``rejected`` and the original text.
 
-    A message is rejected if it is no JSON object, or if a numeric field is
-    there without holding a number. A field that is absent takes its default.
+    A message is rejected if it is no JSON object, if a numeric field is there
+    without holding a number, or if a time field holds text that is no time. A
+    field that is absent takes its default; an empty time is none.
     To tell an absent field from a null one the names in a message are listed,
     but only where some number is missing.
     """
@@ -49,6 +50,7 @@ def decoded(messages: DataFrame, value: str = "value") -> DataFrame:
     wrong = [
         f"({c} IS NULL AND (_given.{c} IS NOT NULL OR array_contains(_names, '{c}')))" for c in numeric
     ]
+    wrong += [f"(trim(coalesce(_given.{c}, '')) <> '' AND try_to_timestamp(_given.{c}) IS NULL)" for c in TIMES]
     columns = {
         **{c: f"coalesce({c}, 0)" for c in WHOLE_NUMBERS},
         **{c: f"coalesce({c}, 0D)" for c in DECIMALS},
