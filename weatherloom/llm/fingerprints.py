@@ -12,6 +12,14 @@ all pieces are one gram; without pieces (empty, null, white space) the fingerpri
 empty. The likeness of two fingerprints is the Jaccard similarity of their hashes,
 1 if both are empty. Equal texts have equal fingerprints.
 
+Pieces do not roll: in an unspaced run longer than eight characters, what comes before decides
+where they start. The rolled fingerprint does: its units are the words of at most eight
+characters and, in longer runs, the eight characters at every character. Its grams are ``GRAM``
+units in a row, its window is ``ROLLED_WINDOW`` grams, so two texts that share
+``GRAM + ROLLED_WINDOW - 1`` units in a row (11 short words, or 18 characters of a longer run) share
+a kept gram. A text of at most ``SHORT`` grams keeps all of them; they are thinned by the
+window before they are compared with a longer text's, so that likeness does not jump there.
+
 The next document is found without a global window: ids are cut into ranges of
 about ``PER_RANGE`` documents by quantiles of the id and evenly between them (at most ``RANGES``),
 each range is one window group, and the first documents of a range are copied to
@@ -26,6 +34,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
 GRAM, WINDOW = 4, 32
+ROLLED_WINDOW, SHORT = 8, 64
 PLACE_BITS = 27
 PER_RANGE, RANGES, QUANTILES = 1024, 100_000, 64
 
@@ -60,6 +69,48 @@ def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
     return out.withColumn(name, F.array_distinct(at)).drop(at, "_short")
 
 
+def _minima(grams: str, window: int) -> str:
+    """The smallest of every ``window`` neighbouring numbers, once; of fewer numbers the smallest."""
+    out, width = "g", 1
+    steps = []
+    while width < window:
+        steps.append(width)
+        width *= 2
+    for width in steps:
+        out = f"transform(array({out}), g -> transform(sequence(0, size(g) - {width + 1}), i -> least(g[i], g[i + {width}])))[0]"
+    return f"transform(array({grams}), g -> if(size(g) <= {window}, slice(array(array_min(g)), 1, least(size(g), 1)), array_distinct({out})))[0]"
+
+
+def with_rolled(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Add ``name``: the rolled fingerprint of column ``text``, as (n: number of grams, kept: numbers in order of place)."""
+    units = rf"regexp_extract_all({text}, r'(?=((?<!\S)\S{{1,8}}(?!\S)|\S{{8}}))\S', 1)"
+    top = (1 << PLACE_BITS) - 1
+    at = "_rolled"
+    pieces = F.expr(f"transform({units}, x -> xxhash64(x))")
+    out = df.withColumn(at, F.when(F.col(text).isNull(), F.array().cast("array<long>")).otherwise(pieces))
+    numbered = f"shiftleft(shiftright(xxhash64({{}}), {PLACE_BITS}), {PLACE_BITS}) | ({top}{{}})"
+    own = ", ".join(f"{at}[i + {k}]" for k in range(GRAM))
+    out = out.withColumn(
+        at,
+        F.expr(
+            f"if(size({at}) >= {GRAM}, transform(sequence(0, size({at}) - {GRAM}), i -> {numbered.format(own, ' - i')}), "
+            f"if(size({at}) > 0, array({numbered.format(at, '')}), {at}))"
+        ),
+    )
+    return out.withColumn(name, F.expr(f"struct(size({at}) as n, if(size({at}) <= {SHORT}, {at}, {_minima(at, ROLLED_WINDOW)}) as kept)")).drop(at)
+
+
+def rolled_likeness(a: str, b: str) -> Column:
+    """Jaccard similarity of two rolled fingerprints; a short one beside a long one is thinned by the window."""
+
+    def side(own: str, other: str) -> str:
+        return f"if({own}.n <= {SHORT} and {other}.n > {SHORT}, {_minima(f'{own}.kept', ROLLED_WINDOW)}, {own}.kept)"
+
+    hashes = [hashes_of(side(*pair)) for pair in ((a, b), (b, a))]
+    joint = f"transform(array(struct({hashes[0]} as x, {hashes[1]} as y)), h -> struct(size(array_intersect(h.x, h.y)) as c, size(h.x) + size(h.y) as s))[0]"
+    return F.expr(f"transform(array({joint}), j -> if(j.s = 0, 1d, j.c / cast(j.s - j.c as double)))[0]")
+
+
 def hashes_of(fingerprint: str) -> str:
     return f"array_distinct(transform({fingerprint}, x -> shiftright(x, {PLACE_BITS})))"
 
@@ -97,7 +148,8 @@ def _ranges(docs: DataFrame) -> Column:
 
 
 def edited(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
+    """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next and
+    the last four of the rolled fingerprint: rolled, edited_rolled, rolled_near_edited, rolled_near_next.
 
     The edited text has its last floor(n_chars / 2) characters replaced by the first as
     many (or all) of the next document's; after the last document comes the first.
@@ -115,16 +167,25 @@ def edited(docs: DataFrame) -> DataFrame:
         "if(_range is null, array(named_struct('home', range, 'closes', false)), "
         "array(named_struct('home', range, 'closes', false), named_struct('home', _before, 'closes', true)))"
     )
-    printed = with_fingerprint(both, "text", "own").withColumn("n_chars", F.length("text").cast("long"))
-    copied = printed.select("doc_id", "text", "n_chars", "own", F.explode(homes).alias("h")).select("*", "h.home", "h.closes")
+    printed = with_rolled(with_fingerprint(both, "text", "own"), "text", "roll").withColumn("n_chars", F.length("text").cast("long"))
+    copied = printed.select("doc_id", "text", "n_chars", "own", "roll", F.explode(homes).alias("h")).select("*", "h.home", "h.closes")
     along = Window.partitionBy("home").orderBy("closes", F.asc_nulls_first("doc_id"), F.xxhash64("text"))
     following = copied.select(
-        "doc_id", "text", "n_chars", "own", "closes", F.lead("text").over(along).alias("next_text"), F.lead("own").over(along).alias("next_own")
+        "doc_id",
+        "text",
+        "n_chars",
+        "own",
+        "roll",
+        "closes",
+        F.lead("text").over(along).alias("next_text"),
+        F.lead("own").over(along).alias("next_own"),
+        F.lead("roll").over(along).alias("next_roll"),
     ).filter("not closes")
     changed = following.withColumn("half", F.expr("cast(floor(n_chars / 2) as int)")).withColumn(
         "edited", F.expr("concat(substring(text, 1, cast(n_chars as int) - half), substring(next_text, 1, half))")
     )
-    done = with_fingerprint(changed.select("doc_id", "n_chars", "own", "next_own", "edited"), "edited", "other")
+    done = with_fingerprint(changed.select("doc_id", "n_chars", "own", "next_own", "roll", "next_roll", "edited"), "edited", "other")
+    done = with_rolled(done, "edited", "other_roll")
     return done.select(
         "doc_id",
         "n_chars",
@@ -133,4 +194,8 @@ def edited(docs: DataFrame) -> DataFrame:
         written("other").alias("edited_fingerprint"),
         likeness("own", "other").alias("near_edited"),
         likeness("own", "next_own").alias("near_next"),
+        written("roll.kept").alias("rolled"),
+        written("other_roll.kept").alias("edited_rolled"),
+        rolled_likeness("roll", "other_roll").alias("rolled_near_edited"),
+        rolled_likeness("roll", "next_roll").alias("rolled_near_next"),
     )
