@@ -8,8 +8,9 @@ step of ``STRIDE``; their rectified answers are averaged over segments, a second
 combines them, its answers are max-pooled over all segments of all chunks, and a
 logistic unit turns the pooled vector into one probability.
 
-The network is fitted on a bounded sample: per label at most ``SAMPLE`` rows,
-chosen by a hash of the id, and of each at most ``TRAIN_CHARS`` characters. Only text
+The network is fitted on a bounded sample of whole texts, read by the same chunks: per label
+at most ``SAMPLE`` rows in the order of a hash of the id, and of these as many as
+``TRAIN_BYTES`` hold together; a text that is larger alone is passed over. Only text
 and label are used. Scores are given for whole texts of any length; empty and
 null texts get the share of good documents in the sample. Without both labels
 to learn from, every score is that share (0.5 if there is none).
@@ -25,7 +26,7 @@ from weatherloom.llm.common import map_rows, sampled, utf8
 from weatherloom.llm.language import held_out
 
 SAMPLE = 900
-TRAIN_CHARS = 3000
+TRAIN_BYTES = 16 << 20
 THRESHOLD = 0.3
 CHUNK, OVERLAP = 4096, 64
 WIDTH, SPAN, STRIDE, FILTERS, HIDDEN, SEGMENT = 6, 8, 4, 16, 12, 64
@@ -102,7 +103,7 @@ def fitted(texts: list[str], labels: list[int], seed: int = 7) -> Weights:
         "out_bias": np.zeros(1, np.float32),
     }
     moments = {k: (np.zeros_like(v), np.zeros_like(v)) for k, v in w.items()}
-    data = [np.frombuffer(utf8(t), np.uint8)[: 2 * TRAIN_CHARS] for t in texts]
+    data = [np.frombuffer(utf8(t), np.uint8) for t in texts]
     usable = np.array([i for i, d in enumerate(data) if len(d)])
     step = 0
     for epoch in range(EPOCHS):
@@ -122,39 +123,64 @@ def fitted(texts: list[str], labels: list[int], seed: int = 7) -> Weights:
 
 
 def _back(data: np.ndarray, label: np.float32, w: Weights, grads: Weights) -> None:
-    """Add one text's gradients. Only the segments that win a maximum get any."""
-    windows, answers, means = segments_of(data, w)
-    scores = means @ w["hidden"] + w["hidden_bias"]
-    winner = scores.argmax(axis=0)
-    top = np.maximum(scores[winner, np.arange(HIDDEN)], 0)
+    """Add one text's gradients. Only the segments that win a maximum over all chunks get any."""
+    units = np.arange(HIDDEN)
+    best = np.full(HIDDEN, -np.inf, np.float32)
+    home, winner = np.zeros(HIDDEN, np.int64), np.zeros(HIDDEN, np.int64)
+    held: dict[int, tuple] = {}  # chunks that lead somewhere, at most HIDDEN
+    for at, chunk in enumerate(chunks(data)):
+        windows, answers, means = segments_of(chunk, w)
+        scores = means @ w["hidden"] + w["hidden_bias"]
+        segment = scores.argmax(axis=0)
+        better = scores[segment, units] > best
+        if better.any():
+            best[better], winner[better], home[better] = scores[segment, units][better], segment[better], at
+            held[at] = (chunk, windows, answers, means)
+            held = {k: held[k] for k in np.unique(home).tolist()}
+    top = np.maximum(best, 0)
     logit = np.clip(top @ w["out"] + w["out_bias"][0], -30, 30)
     error = np.float32(1 / (1 + np.exp(-logit)) - label)
     grads["out"] += error * top
     grads["out_bias"] += error
     g_top = error * w["out"] * (top > 0)
     grads["hidden_bias"] += g_top
-    grads["hidden"] += means[winner].T * g_top
-    g_means = np.zeros_like(means)
-    np.add.at(g_means, winner, g_top[:, None] * w["hidden"].T)
-    hit = np.unique(winner)
     steps = SEGMENT // STRIDE
-    rows = (hit[:, None] * steps + np.arange(steps)).ravel()
-    g = np.repeat(g_means[hit] / steps, steps, axis=0) * (answers[rows] > 0)
-    grads["filter_bias"] += g.sum(axis=0)
-    grads["filters"] += windows[rows].T @ g
-    g_input = (g @ w["filters"].T).reshape(len(rows), SPAN, CHANNELS)[:, :, :WIDTH]
-    places = rows[:, None] * STRIDE + np.arange(SPAN)
-    inside = places < len(data)
-    np.add.at(grads["bytes"], data[places[inside]], g_input[inside])
-
-
-def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, chars: int = TRAIN_CHARS) -> Weights:
-    """Fit on labelled rows that are not held out; at most ``sample`` rows a label come to the driver."""
+    for at, (chunk, windows, answers, means) in held.items():
+        own = np.flatnonzero(home == at)
+        grads["hidden"][:, own] += means[winner[own]].T * g_top[own]
+        g_means = np.zeros_like(means)
+        np.add.at(g_means, winner[own], g_top[own, None] * w["hidden"].T[own])
+        hit = np.unique(winner[own])
+        rows = (hit[:, None] * steps + np.arange(steps)).ravel()
+        g = np.repeat(g_means[hit] / steps, steps, axis=0) * (answers[rows] > 0)
+        grads["filter_bias"] += g.sum(axis=0)
+        grads["filters"] += windows[rows].T @ g
+        g_input = (g @ w["filters"].T).reshape(len(rows), SPAN, CHANNELS)[:, :, :WIDTH]
+        places = rows[:, None] * STRIDE + np.arange(SPAN)
+        inside = places < len(chunk)
+        np.add.at(grads["bytes"], chunk[places[inside]], g_input[inside])
+
+
+def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, size: int = TRAIN_BYTES) -> Weights:
+    """Fit on whole labelled texts that are not held out; at most ``sample`` rows and ``size`` bytes a label come to the driver."""
     marked = labels.select("doc_id", F.col("quality").cast("int").alias("quality")).filter(~held_out() & F.col("quality").isin(0, 1))
-    chosen = sampled(marked.distinct(), "quality", sample, 2, "doc_id")[0].drop("rank")
-    texts = docs.select("doc_id", F.substring("text", 1, chars).alias("text")).filter("text is not null")
+    chosen = sampled(marked.distinct(), "quality", sample, 2, "doc_id")[0]
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text")).filter("text is not null")
+    texts = texts.withColumn("hash", F.xxhash64("text")).withColumn("bytes", F.octet_length("text"))
     # the sample's size is bounded, so it may be sent to where the texts are
-    rows = texts.join(F.broadcast(chosen), "doc_id").orderBy("doc_id", "quality", "text").limit(4 * sample).collect()
+    given = texts.join(F.broadcast(chosen), "doc_id").filter(F.col("bytes") <= size)
+    sizes = given.select("doc_id", "quality", "hash", "bytes", "rank").distinct().orderBy("rank", "doc_id", "quality", "hash").limit(4 * sample)
+    room, wanted = {0: size, 1: size}, []
+    for row in sizes.collect():
+        room[row["quality"]] -= row["bytes"]
+        if room[row["quality"]] >= 0:
+            wanted.append((row["doc_id"], row["quality"], row["hash"]))
+        else:  # the label is full
+            room[row["quality"]] = -1
+    key = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, quality int, hash long"
+    picked = texts.join(F.broadcast(docs.sparkSession.createDataFrame(wanted, key)), ["doc_id", "hash"])
+    rows = picked.select("doc_id", "quality", "hash", "text").dropDuplicates(["doc_id", "quality", "hash"]).collect()
+    rows.sort(key=lambda r: (r["doc_id"], r["quality"], r["text"]))
     return fitted([r["text"] for r in rows], [r["quality"] for r in rows])
 
 
