@@ -9,13 +9,14 @@ without words has the empty set and links with nothing.
   XORs its 64-bit hash into the one word that its upper bits name, so the number
   of words in which two sketches differ is at most the symmetric difference of
   the sets. A set that may have partners in the band below has a second sketch
-  there.
+  there. In bands of sizes up to ``2**EXACT`` every shingle has a word of its own.
 * **Pigeonhole.** Sets above the similarity share most of their words. The
   ``WORDS`` filled words smallest in hash order are the keys of the set. A pair at
   the threshold shares about seven tenths of them; that they share no more than a
   quarter has a probability below 1e-10, of the order of equal hashes of unlike
-  shingles. (For sets of up to ``WORDS`` shingles all words are keys, and the bound
-  is exact.) So of each set's keys the most frequent quarter may go when they are
+  shingles. (In bands up to ``2**EXACT`` all shingles are keys, and the bound is exact:
+  of a union of u, 3u/4 or more are shared and at most u/2 go as hot. In the band above
+  shingles may meet in one of 512 words.) So of each set's keys the most frequent quarter may go when they are
   hot, which takes passages shared by very many texts out of the join.
 * **Verify.** A second parity sketch of 512 bits bounds the symmetric difference
   from below and drops most candidates; the rest are compared exactly, by whole
@@ -43,6 +44,7 @@ from weatherloom.llm.common import components, joined, lists, map_rows, mix, shi
 from weatherloom.session import cut_lineage
 
 WORDS = 48
+EXACT = 5
 HOT = 32
 SPARSITY_BITS = 3
 BITS = 512
@@ -53,6 +55,8 @@ FEATURES = "doc_id long, n long, sum long, xor long, home array<long>, below arr
 
 def sketch_keys(hashes: np.ndarray, level: int) -> np.ndarray:
     """The smallest keys of a set's sketch for the band of sizes up to 2**level. ``hashes`` is sorted."""
+    if level <= EXACT:  # no two shingles in one word, and no more of them than WORDS
+        return np.sort(mix(hashes + np.uint64(level << 56)))
     cells = hashes >> np.uint64(64 - level - SPARSITY_BITS)
     firsts = np.flatnonzero(np.concatenate(([True], cells[1:] != cells[:-1])))
     words = np.bitwise_xor.reduceat(hashes, firsts)
