@@ -132,11 +132,11 @@ def _verified(pairs: DataFrame, texts: DataFrame, percent: int) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
-    """One row per document: doc_id, n_shingles, component_id, n_links.
+    """One row per document: doc_id, n_shingles, component_id, n_links_found.
 
     Two documents link when 100 * |intersection| >= percent * |union|. The
-    component is the smallest doc_id reachable by links. ``n_links`` counts the
-    links found between the set's representative and others on the way; equal
+    component is the smallest doc_id reachable by links. ``n_links_found`` is not the
+    number of a document's links: it counts those found between the set's representative and others on the way; equal
     sets are not counted, and links inside a component already known are not
     searched.
     """
@@ -211,14 +211,14 @@ def near_duplicates(docs: DataFrame, percent: int = 75) -> DataFrame:
         links.select(F.col("a").alias("rep"))
         .unionByName(links.select(F.col("b").alias("rep")))
         .groupBy("rep")
-        .agg(F.count("*").alias("n_links"))
+        .agg(F.count("*").alias("n_links_found"))
     )
     per_set = reps.join(final.withColumnRenamed("node", "rep"), "rep", "left").join(degree, "rep", "left")
     return made.select("doc_id", *same).join(per_set, same, "left").select(
         "doc_id",
         F.col("n").alias("n_shingles"),
         F.when(F.col("doc_id").isNotNull(), F.coalesce("component", "rep", "doc_id")).alias("component_id"),
-        F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
+        F.coalesce("n_links_found", F.lit(0)).cast("long").alias("n_links_found"),
     )
 
 
