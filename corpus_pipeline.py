@@ -50,7 +50,7 @@ STAGES = [
     ("byte-level BPE", tokenised),
 ]
 
-#: SQL cannot score a network; tests hold the stages against brute force.
+#: SQL cannot score a network; tests look at the columns and falling counts of the stages only.
 ORACLE_SQL = None
 
 
