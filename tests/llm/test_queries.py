@@ -12,7 +12,7 @@ from weatherloom.llm.common import documents
 
 
 def test_names():
-    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n != "pipeline") == list(range(1, 11))
+    assert sorted(int(n[2:].split("_")[0]) for n in queries.QUERIES if n != "pipeline") == list(range(1, 14))
     assert set(queries.QUERIES) <= set(entry.queries()) and set(queries.SQL) <= set(entry.oracle_sql())
 
 

@@ -6,7 +6,7 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.pandas.types import to_arrow_schema
 from pyspark.sql.window import Window
@@ -183,6 +183,37 @@ def sampled(df: DataFrame, group: str, size: int, groups: int, *order: str) -> t
     return near.withColumn("rank", F.row_number().over(by_hash)).filter(F.col("rank") <= size), sizes
 
 
+def labelled_texts(
+    docs: DataFrame, labels: DataFrame, label: str, excluded: Column, sample: int, size: int, also: tuple[str, ...] = ()
+) -> tuple[list[Row], dict[int, int]]:
+    """Whole texts labelled 0 or 1, bounded by ``sample`` rows and ``size`` bytes a label; and the number of labelled rows of each.
+
+    ``excluded`` says of a label's row whether it must not be learned from.
+    Rows come in the order of a hash of the id, as many as the bytes hold. A row
+    has doc_id, the label, text, and the text columns in ``also``.
+    """
+    spark = docs.sparkSession
+    marked = labels.select("doc_id", F.col(label).cast("int").alias(label)).filter(~excluded & F.col(label).isin(0, 1))
+    chosen, sizes = sampled(marked.distinct(), label, sample, 2, "doc_id")
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"), *[F.col(c).cast("string").alias(c) for c in also])
+    texts = texts.filter("text is not null").withColumn("hash", F.xxhash64("text", *also)).withColumn("bytes", F.octet_length("text"))
+    # at most 2 * sample rows, so they may be sent to where the texts are
+    given = texts.join(F.broadcast(chosen), "doc_id").filter(F.col("bytes") <= size)
+    found = given.select("doc_id", label, "hash", "bytes", "rank").distinct().orderBy("rank", "doc_id", label, "hash").limit(4 * sample)
+    room, wanted = {0: size, 1: size}, []
+    for row in found.collect():
+        room[row[label]] -= row["bytes"]
+        if room[row[label]] >= 0:
+            wanted.append((row["doc_id"], row[label], row["hash"]))
+        else:  # the label is full
+            room[row[label]] = -1
+    key = f"doc_id {docs.schema['doc_id'].dataType.simpleString()}, {label} int, hash long"
+    picked = texts.join(F.broadcast(spark.createDataFrame(wanted, key)), ["doc_id", "hash"])
+    rows = picked.select("doc_id", label, "hash", "text", *also).dropDuplicates(["doc_id", label, "hash"]).collect()
+    rows.sort(key=lambda r: (r["doc_id"], r[label], r["text"]))
+    return rows, sizes
+
+
 def components(links: DataFrame) -> DataFrame:
     """Connected components of links (a, b): one row (node, component) per linked node.
 

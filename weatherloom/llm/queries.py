@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from weatherloom.llm import byte_bpe, chat, decontaminate, fingerprints, language, line_dedup, ngram_join, quality, suffix_dedup, token_counts
+from weatherloom.llm import (
+    byte_bpe,
+    chat,
+    clustering,
+    decontaminate,
+    fingerprints,
+    language,
+    lexical_search,
+    line_dedup,
+    ngram_join,
+    quality,
+    suffix_dedup,
+    token_counts,
+    toxicity,
+)
 from weatherloom.llm.common import documents
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -73,6 +87,27 @@ def op10_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_counts.counted(documents(spark, sf_dir), public_tokenizers.path("word_bpe_49k.json"))
 
 
+def op11_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = documents(spark, sf_dir)
+    weights, thresholds = toxicity.learned(docs, spark.read.parquet(f"{sf_dir}/labels.parquet"))
+    return toxicity.flagged(toxicity.scored(docs, weights), thresholds).select(
+        "doc_id",
+        language.held_out().alias("held_out"),
+        "score",
+        (F.col("score") >= toxicity.THRESHOLD).cast("int").alias("predicted"),
+        "threshold",
+        "flagged",
+    )
+
+
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical_search.search(documents(spark, sf_dir), spark.read.parquet(f"{sf_dir}/benchmark.parquet"))
+
+
+def op13_centroids(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return clustering.clustered(spark.read.parquet(f"{sf_dir}/embeddings.parquet"))
+
+
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
 
@@ -92,6 +127,9 @@ QUERIES: dict[str, Query] = {
         op8_quality,
         op9_language,
         op10_token_counts,
+        op11_toxicity,
+        op12_lexical_search,
+        op13_centroids,
         pipeline,
     )
 }
@@ -170,8 +208,58 @@ done AS (
 SELECT doc_id, coalesce(n_lines, 0) AS n_lines, coalesce(n_removed, 0) AS n_removed, coalesce(n_runs, 0) AS n_runs,
   coalesce(kept_sha256, sha256('')) AS kept_sha256 FROM documents LEFT JOIN done USING (doc_id)"""
 
+TERMS = r"[^\x00-\x2F\x3A-\x40\x5B-\x60\x7B-\x7F]+"
+
+LEXICAL_SEARCH_SQL = f"""WITH worded AS (
+  SELECT doc_id, regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERMS}') AS w FROM documents WHERE text IS NOT NULL),
+lengths AS (SELECT doc_id, CAST(len(w) AS BIGINT) AS n FROM worded WHERE len(w) > 0),
+totals AS (SELECT count(*) AS docs, CAST(sum(n) AS BIGINT) AS terms FROM lengths),
+wanted AS (
+  SELECT item_id, unnest(regexp_extract_all(translate(text, '{UPPER}', '{LOWER}'), '{TERMS}')) AS t FROM benchmark WHERE text IS NOT NULL),
+items AS (SELECT item_id, t, count(*) AS times FROM wanted GROUP BY ALL),
+each_term AS (SELECT doc_id, unnest(w) AS t FROM worded),
+held AS (SELECT doc_id, t, count(*) AS tf FROM each_term GROUP BY ALL),
+weights AS (
+  SELECT t, CAST(floor(1000 * ln(CAST(2 * docs + 2 AS DOUBLE) / CAST(2 * count(*) + 1 AS DOUBLE))) AS BIGINT) AS w
+  FROM held CROSS JOIN totals GROUP BY t, docs),
+impacts AS (
+  SELECT doc_id, t, (1000000000 * tf) // (1000 * tf + 12 * (100 - 25 + ((25 * n * docs) // terms))) AS i
+  FROM held JOIN lengths USING (doc_id) CROSS JOIN totals),
+scores AS (
+  SELECT item_id, doc_id, CAST(sum(times * w * i) AS BIGINT) AS score
+  FROM items JOIN weights USING (t) JOIN impacts USING (t) GROUP BY ALL)
+SELECT item_id, CAST(row_number() OVER (PARTITION BY item_id ORDER BY score DESC, doc_id) AS INTEGER) AS rank, doc_id, score
+FROM scores WHERE score > 0
+QUALIFY rank <= 20"""
+
+
+def _centroids_sql(clusters: int = 40, rounds: int = 5, size: int = 64) -> str:
+    gap = "list_sum(list_transform(list_zip(v, m), lambda z: (z[1] - z[2]) * (z[1] - z[2])))"
+    parts = [
+        f"""kept AS MATERIALIZED (
+  SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(CAST(x AS DOUBLE) * 256) AS BIGINT)) AS v
+  FROM embeddings WHERE len(embedding) = {size} AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = {size})""",
+        f"""c0 AS MATERIALIZED (
+  SELECT row_number() OVER (ORDER BY sha256('2:' || vec_id), v) - 1 AS c, v AS m FROM kept QUALIFY c < {clusters})""",
+    ]
+    for i in range(rounds + 1):
+        parts.append(f"""a{i} AS MATERIALIZED (
+  SELECT r, vec_id, v, min(struct_pack(d := CAST({gap} AS BIGINT), c := c)) AS b FROM kept CROSS JOIN c{i} GROUP BY ALL)""")
+        if i < rounds:
+            parts.append(f"""s{i} AS (
+  SELECT b.c AS c, j, sum(v[j]) AS s, count(*) AS n FROM a{i} CROSS JOIN range(1, {size + 1}) AS g(j) GROUP BY 1, 2),
+m{i} AS (SELECT c, list(CAST((s - ((s % n) + n) % n) // n AS BIGINT) ORDER BY j) AS m FROM s{i} GROUP BY c),
+c{i + 1} AS MATERIALIZED (SELECT c{i}.c AS c, coalesce(m{i}.m, c{i}.m) AS m FROM c{i} LEFT JOIN m{i} USING (c))""")
+    return "WITH " + ",\n".join(parts) + f"""
+SELECT vec_id, CAST(b.c AS INTEGER) AS cluster, b.d AS distance, CAST(sum(b.d) OVER (PARTITION BY b.c) AS BIGINT) AS cluster_inertia,
+  CAST(sum(b.d) OVER () AS BIGINT) AS inertia, sha256(array_to_string(m, ',')) AS centroid_sha256
+FROM a{rounds} JOIN c{rounds} ON c{rounds}.c = b.c"""
+
+
 SQL: dict[str, str] = {
     "op1_ngram_join": NGRAM_JOIN_SQL,
     "op4_decontaminate": DECONTAMINATE_SQL,
     "op6_line_dedup": LINE_DEDUP_SQL,
+    "op12_lexical_search": LEXICAL_SEARCH_SQL,
+    "op13_centroids": _centroids_sql(),
 }
