@@ -11,7 +11,7 @@ from weatherloom import schemas
 from weatherloom.catalog.readings import as_source, readings, streamed
 from weatherloom.operators import kpis, latest
 from weatherloom.plans import jobs
-from weatherloom.sinks import audit, export, lake, timeline, topics as topic_sink
+from weatherloom.sinks import audit, commits, export, lake, storage, timeline, topics as topic_sink
 from weatherloom.sources import database, files, report, topics
 
 
@@ -39,9 +39,95 @@ def test_increments_add_up_and_repeat_harmlessly(spark, source, store):
 def test_a_batch_whose_mark_was_lost_is_replaced(spark, source, store):
     first = source.filter("id <= 400")
     rows = first.withColumns({"ingestion_timestamp": F.current_timestamp(), "batch_id": F.lit("half")})
-    lake._write_batch(rows.limit(100), f"{lake.batches_of(store, 'sensor_readings')}/from_id=0")  # written, but no mark committed
+    half = f"{lake.generation_of(store, 'sensor_readings', 0)}/from_id=0"
+    lake._write_batch(rows.limit(100), half)  # written, but not committed
+    assert lake.read_bronze(spark, store).count() == 0
     lake.append_increment(first, store)
     assert lake.read_bronze(spark, store).count() == 400
+    lake._write_batch(rows.limit(100), half.replace("from_id=0", "from_id=400"))
+    assert lake.read_bronze(spark, store).count() == 400
+    lake.append_increment(source, store)
+    assert lake.read_bronze(spark, store).count() == 1000
+
+
+def broken(df):
+    """Fails while it is written."""
+    return df.withColumn("id", F.expr("if(id = 390, raise_error('lost'), id)").cast("bigint"))
+
+
+@pytest.mark.parametrize("begin", [lake.append_increment, lake.initial_load])
+def test_a_first_load_that_fails_changes_nothing(spark, source, store, begin):
+    assert begin(source.filter("id <= 400"), store) == 400
+    with pytest.raises(Exception, match="lost"):
+        lake.initial_load(broken(source), store, up_to=1000)
+    assert lake.read_bronze(spark, store).count() == 400 and lake.last_mark(spark, store, "sensor_readings") == 400
+    assert lake.append_increment(source, store) == 1000
+    bronze = lake.read_bronze(spark, store)
+    assert bronze.count() == bronze.select("id").distinct().count() == 1000
+    assert lake.initial_load(source.filter("id <= 700"), store) == 700
+    assert lake.read_bronze(spark, store).count() == 700
+
+
+def test_a_source_that_begins_anew(spark, source, store):
+    lake.initial_load(source, store)
+    assert lake.initial_load(source.filter("id <= 400"), store) == 400
+    assert lake.append_increment(source.filter("id <= 800"), store) == 800
+    bronze = lake.read_bronze(spark, store)
+    assert bronze.count() == bronze.select("id").distinct().count() == 800
+
+
+def test_release_keeps_what_is_committed(spark, source, store):
+    lake.initial_load(source, store, "a")
+    lake.initial_load(source.filter("id <= 400"), store, "a")
+    lake.append_increment(source.filter("id <= 300"), store, "b")
+    with pytest.raises(Exception, match="lost"):
+        lake.append_increment(broken(source), store, "b", up_to=1000)
+    source.limit(5).write.parquet(store.staging_of("old"))
+    gone = lake.release(spark, store)
+    assert lake.generation_of(store, "a", 1) in gone and store.staging in gone
+    assert lake.release(spark, store) == []
+    assert lake.read_bronze(spark, store).count() == 700
+    assert storage.folders(spark, f"{store.bronze}/ingest_source=a") == ["generation=2"]
+
+
+def test_planning_reads_no_footers(spark, source, store, tmp_path):
+    lake.append_increment(source.filter("id <= 400").drop("pm25"), store)
+    lake.append_increment(source.withColumn("light", F.col("light") + 0.5), store)
+    sums = lake.read_bronze(spark, store).agg(F.sum("light")).first()[0]
+    assert sums == source.agg(F.sum(F.col("light") + F.when(F.col("id") > 400, 0.5).otherwise(0))).first()[0]
+    for found in tmp_path.glob("lake/bronze/**/*.parquet"):
+        found.chmod(0o644)
+        found.write_bytes(b"no footer")
+    bronze = lake.read_bronze(spark, store)  # the columns come from the commits
+    assert dict(bronze.dtypes)["light"] == "double" and dict(bronze.dtypes)["pm25"] == "double"
+
+
+def test_columns_of_unlike_types_are_refused(spark, source, store):
+    lake.append_increment(source.filter("id <= 400"), store)
+    with pytest.raises(ValueError, match="pm25"):
+        lake.append_increment(source.withColumn("pm25", F.col("pm25").cast("string")), store)
+    assert lake.last_mark(spark, store, "sensor_readings") == 400
+
+
+def test_commits_do_not_pile_up(spark, store):
+    log = f"{store.root}/log"
+    for i in range(25):
+        commits.commit(spark, log, commits.newest_of(spark, log, "t"), {"n": i})
+    assert commits.newest_of(spark, log, "t").state == {"n": 24} and commits.newest_of(spark, log, "t").sequence == 25
+    assert len(storage.folders(spark, f"{log}/of=t")) <= 2 * commits.KEPT
+
+
+def test_expired_days_are_removed(spark, sf_dir, tmp_path):
+    path = f"{tmp_path}/t"
+    dated = streamed(spark, sf_dir).select("id", F.to_date("ingestion_timestamp").alias("ingest_date"), F.lit("s").alias("ingest_source"))
+    dated = dated.withColumn("ingest_date", F.expr("if(id < 5, null, ingest_date)"))
+    dated.write.partitionBy("ingest_source", "ingest_date").parquet(path)
+    as_of = F.lit("2024-02-14").cast("date")
+    want = dated.filter(F.col("ingest_date").isNull() | (F.col("ingest_date") >= "2024-01-15")).count()
+    gone = lake.drop_expired(spark, path, as_of)
+    assert gone and all("ingest_date=" in g for g in gone) and lake.drop_expired(spark, path, as_of) == []
+    left = spark.read.parquet(path)
+    assert left.count() == want < dated.count() and left.agg(F.min("ingest_date").cast("string")).first()[0] == "2024-01-15"
 
 
 def test_sources_have_their_own_marks(spark, source, store):

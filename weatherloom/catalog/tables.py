@@ -236,6 +236,23 @@ def sink_exec_log(spark, sf_dir):
        WHERE CAST(ingestion_timestamp AS date) >= DATE '{AS_OF}' - INTERVAL '30' DAY""",
 )
 def retention_filter(spark, sf_dir):
+    path = scratch_path(spark, "retention")
+    dated = streamed(spark, sf_dir).select(
+        "id", "sensor_id", "temperature", F.to_date("ingestion_timestamp").alias("ingest_date")
+    )
+    dated.write.partitionBy("ingest_date").parquet(path)
+    for _ in range(2):  # the second run finds nothing to remove
+        lake.drop_expired(spark, path, F.lit(AS_OF).cast("date"))
+    return spark.read.schema(dated.schema).parquet(path)
+
+
+@registered(
+    "retention_view",
+    f"""SELECT id, sensor_id, temperature, CAST(ingestion_timestamp AS date) AS ingest_date FROM streamed
+       WHERE CAST(ingestion_timestamp AS date) >= DATE '{AS_OF}' - INTERVAL '30' DAY""",
+)
+def retention_view(spark, sf_dir):
+    """The same rows where nothing is removed: a filter that prunes partitions."""
     path = scratch_path(spark, "retention")
     dated = streamed(spark, sf_dir).select(
         "id", "sensor_id", "temperature", F.to_date("ingestion_timestamp").alias("ingest_date")

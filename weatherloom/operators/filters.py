@@ -86,8 +86,13 @@ def pm25_alert_newest_first(df: DataFrame, limit: float = V.HIGH_PM25) -> DataFr
     return pm25_alert(df, limit).orderBy(F.desc("timestamp"), F.desc("id"))
 
 
+def first_retained(as_of: Column, days: int = V.RETENTION_DAYS) -> Column:
+    """The oldest day that is kept."""
+    return F.date_sub(as_of, days)
+
+
 def retained(
     df: DataFrame, as_of: Column, days: int = V.RETENTION_DAYS, date_column: str = "ingest_date"
 ) -> DataFrame:
     """Rows of the last ``days`` days; on a table partitioned by the date this prunes partitions."""
-    return df.filter(F.col(date_column) >= F.date_sub(as_of, days))
+    return df.filter(F.col(date_column) >= first_retained(as_of, days))

@@ -19,7 +19,7 @@ from weatherloom import schemas
 from weatherloom.functions import times
 from weatherloom.operators import kpis, latest, sensors
 from weatherloom.plans import cleaning
-from weatherloom.sinks import audit, export, lake
+from weatherloom.sinks import audit, export, lake, storage
 from weatherloom.sinks.lake import Lake
 
 WIDE, SENSORS, LONG = "kpis", "sensor_statistics", "kpis_long"
@@ -55,6 +55,7 @@ def bronze_to_silver(
         F.lit(rows_distinct - rows_out).alias("outliers_removed"),
     )
     audit.append(audit.cleaning_row(metrics, CLEANING_SCRIPT, store.silver, times.moment(at)), f"{store.audit}/silver")
+    storage.remove(spark, staging)
     return silver
 
 

@@ -58,6 +58,23 @@ MARK = T.StructType(
     ]
 )
 
+#: Each type can hold what the ones before it hold.
+_WIDENED = ([T.ByteType(), T.ShortType(), T.IntegerType(), T.LongType()], [T.ByteType(), T.ShortType(), T.IntegerType(), T.DoubleType()], [T.FloatType(), T.DoubleType()])
+
+
+def union_of(one: T.StructType, other: T.StructType) -> T.StructType:
+    """The columns of either, all nullable; of two widths of a number the wider."""
+    found = {f.name: f.dataType for f in one.fields}
+    for f in other.fields:
+        known = found.setdefault(f.name, f.dataType)
+        if known != f.dataType:
+            line = next((w for w in _WIDENED if known in w and f.dataType in w), None)
+            if line is None:
+                raise ValueError(f"column {f.name} was {known.simpleString()} and is now {f.dataType.simpleString()}")
+            found[f.name] = max(known, f.dataType, key=line.index)
+    return T.StructType([T.StructField(name, kind) for name, kind in found.items()])
+
+
 TIMESTAMP_TYPES = (T.TimestampType, T.TimestampNTZType)
 
 

@@ -4,15 +4,15 @@ from __future__ import annotations
 
 from dataclasses import dataclass
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import DateType, StructField, StructType
+from pyspark.sql.types import DateType, IntegerType, LongType, StringType, StructType
 
 from weatherloom import fixed_values as V
 from weatherloom import schemas
 from weatherloom.functions import times
-from weatherloom.operators import project
+from weatherloom.operators import filters, project
+from weatherloom.sinks import commits, storage
 from weatherloom.sources import files
 
 
@@ -43,8 +43,8 @@ class Lake:
         return f"{self.root}/audit"
 
     @property
-    def marks(self) -> str:
-        return f"{self.root}/control/marks"
+    def bronze_commits(self) -> str:
+        return f"{self.root}/control/bronze"
 
     @property
     def staging(self) -> str:
@@ -99,26 +99,18 @@ def staged(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.parquet(path)
 
 
-def last_mark(spark: SparkSession, lake: Lake, source: str) -> int:
-    """Highest id already taken from ``source``, 0 at first."""
-    marks = files.parquet_or_empty(spark, lake.marks, schemas.MARK)
-    row = marks.filter(F.col("source") == source).agg(F.max("mark_id").alias("mark")).first()
-    return row["mark"] or 0
+INITIAL = -1
+PARTITIONS = StructType().add("ingest_source", StringType()).add("generation", IntegerType()).add("from_id", LongType()).add("ingest_date", DateType())
 
 
-def commit_mark(spark: SparkSession, lake: Lake, source: str, mark_id: int, at: Column) -> None:
-    row = spark.range(1).select(
-        F.lit(source).alias("source"),
-        F.lit(mark_id).cast("bigint").alias("mark_id"),
-        F.lit(None).cast("timestamp").alias("mark_timestamp"),
-        at.cast("timestamp").alias("committed_at"),
-    )
-    row.write.mode("append").parquet(lake.marks)
+def last_mark(spark: SparkSession, lake: Lake, source: str) -> int:
+    """How far ``source`` was read by its newest commit, 0 at first."""
+    return commits.newest_of(spark, lake.bronze_commits, source).state.get("mark", 0)
 
 
-def batches_of(lake: Lake, name: str) -> str:
-    """Each source has its own folder, so that equal marks of two sources do not meet."""
-    return f"{lake.bronze}/ingest_source={name}"
+def generation_of(lake: Lake, name: str, generation: int) -> str:
+    """Each source has its own folder, and so has each first load of it with the increments that follow."""
+    return f"{lake.bronze}/ingest_source={name}/generation={generation}"
 
 
 def _write_batch(batch: DataFrame, path: str, *partitions: str) -> None:
@@ -130,6 +122,14 @@ def _highest_id(source: DataFrame) -> int:
     return source.agg(F.coalesce(F.max("id"), F.lit(0)).alias("highest")).first()["highest"]
 
 
+def _commit_batch(spark: SparkSession, lake: Lake, before: commits.Commit, generation: int, mark: int, batch: DataFrame) -> None:
+    """One row says at once which generation counts, how far it goes and which columns it has."""
+    same = before.state.get("generation", 0) == generation and "schema" in before.state
+    known = StructType.fromJson(before.state["schema"]) if same else StructType()
+    columns = schemas.union_of(known, batch.schema)
+    commits.commit(spark, lake.bronze_commits, before, {"generation": generation, "mark": mark, "schema": columns.jsonValue()})
+
+
 def append_increment(
     source: DataFrame, lake: Lake, name: str = "sensor_readings", at=None, up_to: int | None = None
 ) -> int:
@@ -143,14 +143,15 @@ def append_increment(
     """
     spark = source.sparkSession
     at = times.moment(at)
-    mark = last_mark(spark, lake, name)
+    before = commits.newest_of(spark, lake.bronze_commits, name)
+    mark, generation = before.state.get("mark", 0), before.state.get("generation", 0)
     highest = _highest_id(source) if up_to is None else up_to
     if highest <= mark:
         return mark
     rows = source.filter((F.col("id") > mark) & (F.col("id") <= highest))
     batch = rows.transform(project.canonical).transform(project.ingest_stamps, at)
-    _write_batch(batch, f"{batches_of(lake, name)}/from_id={mark}")
-    commit_mark(spark, lake, name, highest, at)
+    _write_batch(batch, f"{generation_of(lake, name, generation)}/from_id={mark}")
+    _commit_batch(spark, lake, before, generation, highest, batch)
     return highest
 
 
@@ -164,28 +165,70 @@ def initial_load(
 ) -> int:
     """Store the whole source in one parallel job, its pages numbered as batches.
 
-    It replaces everything stored of this source before, first load and
-    increments alike, and increments go on from its mark.
+    It begins a new generation, which replaces everything stored of this source
+    before, first load and increments alike, with the one commit that also sets
+    the mark. Until then readers and increments go by the old generation and
+    its mark, so a load that fails changes nothing.
     """
+    spark = source.sparkSession
     at = times.moment(at)
     highest = _highest_id(source) if up_to is None else up_to
     rows = source.filter(F.col("id") <= highest).transform(project.canonical)
     batch = rows.transform(project.initial_batch_ids, page_size).withColumn("ingestion_timestamp", at)
-    _write_batch(batch.withColumn("from_id", F.lit("initial")), batches_of(lake, name), "from_id")
-    commit_mark(source.sparkSession, lake, name, highest, at)
+    before = commits.newest_of(spark, lake.bronze_commits, name)
+    generation = before.state.get("generation", 0) + 1
+    _write_batch(batch.withColumn("from_id", F.lit(INITIAL)), generation_of(lake, name, generation), "from_id")
+    _commit_batch(spark, lake, before, generation, highest, batch)
     return highest
 
 
 def read_bronze(spark: SparkSession, lake: Lake, with_date: bool = False) -> DataFrame:
-    """All bronze batches with the columns of any; ``with_date`` keeps the partition date for pruning.
+    """All committed bronze batches with the columns of any; ``with_date`` keeps the partition date for pruning.
 
-    Before the first batch there are no rows.
+    The columns come from the commits, so no footer is read to plan a scan. Of a
+    source's generation, batches that start below the mark are committed; one
+    that is being written starts at it. Before the first batch there are no rows.
     """
-    try:
-        bronze = spark.read.option("mergeSchema", True).parquet(lake.bronze)
-    except AnalysisException as missing:
-        if missing.getCondition() != "PATH_NOT_FOUND":
-            raise
-        bronze = spark.createDataFrame([], StructType([*schemas.BRONZE.fields, StructField("ingest_date", DateType())]))
-    bronze = bronze.drop("ingest_source", "from_id")
+    current = commits.newest(spark, lake.bronze_commits)
+    columns, committed, paths = StructType(), F.lit(False), []
+    for name, last in sorted(current.items()):
+        columns = schemas.union_of(columns, StructType.fromJson(last.state["schema"]))
+        below = (F.col("from_id") == INITIAL) | (F.col("from_id") < last.state["mark"])
+        committed |= (F.col("ingest_source") == name) & below
+        paths.append(generation_of(lake, name, last.state["generation"]))
+    if not paths:
+        bronze = spark.createDataFrame([], StructType([*schemas.BRONZE.fields, *PARTITIONS.fields]))
+    else:
+        reader = spark.read.schema(StructType([*columns.fields, *PARTITIONS.fields])).option("basePath", lake.bronze)
+        bronze = reader.parquet(*paths).filter(committed)
+    bronze = bronze.drop("ingest_source", "generation", "from_id")
     return bronze if with_date else bronze.drop("ingest_date")
+
+
+def release(spark: SparkSession, lake: Lake) -> list[str]:
+    """Remove what no commit names: replaced and half-written generations and batches, and the staging of all runs.
+
+    For a time when no job of this lake runs. Safe to repeat.
+    """
+    current = commits.newest(spark, lake.bronze_commits)
+    gone = []
+    for values, _ in list(storage.partitions(spark, lake.bronze)):
+        last = current.get(values["ingest_source"])
+        generation, start = int(values["generation"]), values.get("from_id")
+        place = generation_of(lake, values["ingest_source"], generation)
+        if last is None or generation != last.state["generation"]:
+            gone += [place] * storage.remove(spark, place)
+        elif start is not None and int(start) >= last.state["mark"]:
+            place = f"{place}/from_id={start}"
+            gone += [place] * storage.remove(spark, place)
+    return gone + [lake.staging] * storage.remove(spark, lake.staging)
+
+
+def drop_expired(spark: SparkSession, path: str, as_of: Column, days: int = V.RETENTION_DAYS, column: str = "ingest_date") -> list[str]:
+    """Remove the partitions of days that :func:`filters.retained` leaves out; the folders that went.
+
+    Partitions are removed by name, whole; no file is read or written again.
+    Rows without a date stay. Safe to repeat.
+    """
+    first = str(spark.range(1).select(filters.first_retained(as_of, days).cast("string")).first()[0])
+    return storage.remove_partitions(spark, path, column, lambda day: day[:1].isdigit() and day < first)
