@@ -78,15 +78,17 @@ def reading_stream(spark, path, files_per_batch=None):
 def test_ingest_restarts_add_nothing(spark, event_files, tmp_path):
     def drain():
         messages = project.as_messages(reading_stream(spark, event_files, 1), keep_nulls=True).select("value")
-        query = ingest.start(messages, f"{tmp_path}/t", f"{tmp_path}/bad", f"{tmp_path}/cp", "s")
+        query = ingest.start(messages, f"{tmp_path}/t", f"{tmp_path}/cp", "s")
         query.awaitTermination()
-        return ingest.counters(spark, f"{tmp_path}/bad").first()
+        return ingest.counters(spark, f"{tmp_path}/t").first()
 
     first = drain()
     assert first["received"] == 1000 and first["inserted"] + first["errors"] == 1000 and first["errors"] > 0
     assert drain() == first  # nothing more was received
     assert timeline.read(spark, f"{tmp_path}/t").count() == first["inserted"]
-    assert spark.read.parquet(f"{tmp_path}/bad").count() == first["errors"]
+    assert ingest.quarantined(spark, f"{tmp_path}/t", "s").filter("message is not null").count() == first["errors"]
+    assert timeline.compact(spark, f"{tmp_path}/t") == 4  # the newest may come again
+    assert ingest.counters(spark, f"{tmp_path}/t").first() == first and drain() == first
 
 
 def test_message_files(spark, tmp_path):
@@ -97,30 +99,6 @@ def test_message_files(spark, tmp_path):
     assert spark.read.parquet(f"{tmp_path}/out").count() == 5
 
 
-def test_windows_in_any_file_order_equal_batch(spark, sf_dir, event_files, tmp_path, as_rows):
-    # files arrive in no order of time, so the delay must span them all
-    report = reports.window_report(reading_stream(spark, event_files, 1), delay="40 days", width="1 day")
-
-    def store(batch, epoch):
-        batch.write.mode("overwrite").parquet(f"{tmp_path}/out")
-
-    run.per_batch(report, store, f"{tmp_path}/cp", mode="complete").awaitTermination()
-    got = spark.read.parquet(f"{tmp_path}/out").select("window_start", "sensor_id", "readings")
-    batch = zoned(readings(spark, sf_dir)).groupBy(F.window("timestamp", "1 day").alias("w"), "sensor_id")
-    want = batch.agg(F.count(F.lit(1)).alias("readings")).select("w.start", "sensor_id", "readings")
-    assert as_rows(got) == as_rows(want)
-
-
-@pytest.mark.parametrize("spread", [True, False])
-def test_repeats_across_micro_batches(spark, sf_dir, tmp_path, spread):
-    path = str(tmp_path / "in")
-    for _ in range(3):
-        events(spark, sf_dir).coalesce(1).write.mode("append").parquet(path)
-    stream = reports.without_repeats(reading_stream(spark, path, 1), delay="40 days", spread=spread)
-    run.to_files(stream.select("id"), f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
-    assert spark.read.parquet(f"{tmp_path}/out").count() == 1000
-
-
 @pytest.fixture
 def mixed_files(spark, sf_dir, tmp_path):
     """The events in six files of mixed times."""
@@ -133,22 +111,99 @@ def test_no_reading_is_lost_out_of_order(spark, mixed_files, tmp_path):
     for _ in range(2):  # the second start finds nothing new
         stream = reading_stream(spark, mixed_files, 1)
         reports.store_distinct(stream, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
-    kept = spark.read.parquet(f"{tmp_path}/out")
+    kept = reports.distinct_readings(spark, f"{tmp_path}/out")
     assert kept.count() == 1000 and kept.select("id").distinct().count() == 1000
 
 
-def test_repeats_in_later_files_are_not_stored(spark, sf_dir, tmp_path):
-    path = str(tmp_path / "in")
+@pytest.mark.parametrize("compacted", [False, True])
+def test_repeats_in_later_files_are_not_stored(spark, sf_dir, tmp_path, compacted):
+    path, out = str(tmp_path / "in"), f"{tmp_path}/out"
     for _ in range(3):
         events(spark, sf_dir).coalesce(1).write.mode("append").parquet(path)
-    reports.store_distinct(reading_stream(spark, path, 1), f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
-    assert spark.read.parquet(f"{tmp_path}/out").count() == 1000
+        if compacted:
+            reports.store_distinct(reading_stream(spark, path, 1), out, f"{tmp_path}/cp").awaitTermination()
+            reports.distinct_table(out).compact(spark)
+    reports.store_distinct(reading_stream(spark, path, 1), out, f"{tmp_path}/cp").awaitTermination()
+    assert reports.distinct_readings(spark, out).count() == 1000
+
+
+HALF_KEYED = [
+    (1, "a", "2024-01-01 00:00:00", 1.0),
+    (2, None, "2024-01-01 00:00:00", 2.0),
+    (3, None, "2024-01-01 00:00:00", 3.0),
+    (4, None, None, 4.0),
+    (5, None, None, 5.0),
+    (6, "a", None, 6.0),
+    (7, "a", None, 7.0),
+]
+
+
+def half_keyed(spark, tmp_path, *rounds):
+    """A stream of small files, one micro-batch each."""
+    schema = "id long, sensor_id string, timestamp timestamp, temperature double"
+    for rows in rounds:
+        texts = spark.createDataFrame(rows, "id long, sensor_id string, timestamp string, temperature double")
+        texts.withColumn("timestamp", F.col("timestamp").cast("timestamp")).coalesce(1).write.mode("append").parquet(f"{tmp_path}/half")
+    return spark.readStream.schema(schema).option("maxFilesPerTrigger", 1).parquet(f"{tmp_path}/half")
+
+
+def test_readings_without_a_key_are_all_stored(spark, tmp_path):
+    repeats = [(8, "a", "2024-01-01 00:00:00", 8.0), (0, "b", "2024-01-01 00:00:00", 0.0), (9, "b", "2024-01-01 00:00:00", 9.0)]
+    stream = half_keyed(spark, tmp_path, HALF_KEYED, repeats)
+    reports.store_distinct(stream, f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
+    ids = {r.id for r in reports.distinct_readings(spark, f"{tmp_path}/out").collect()}
+    assert ids == {1, 2, 3, 4, 5, 6, 7, 0}  # of b the first
+
+
+def test_a_lookup_opens_only_its_own_folders(spark, mixed_files, tmp_path, plan):
+    out = f"{tmp_path}/out"
+    reports.store_distinct(reading_stream(spark, mixed_files), out, f"{tmp_path}/cp").awaitTermination()
+    table = reports.distinct_table(out)
+    slot = reports.distinct_table(out).read(spark).first().slot
+    files_read = table.read(spark, {slot}).inputFiles()
+    assert files_read and all(f"slot={slot}/" in f for f in files_read) and table.read(spark, {"d19000101.b0"}) is None
+
+
+def window_rows(spark, path):
+    return sorted((tuple(r) for r in reports.windows(spark, path).collect()), key=repr)
 
 
 def test_windows_count_every_reading(spark, mixed_files, tmp_path):
-    reports.window_parts(reading_stream(spark, mixed_files, 1), f"{tmp_path}/out", f"{tmp_path}/cp").awaitTermination()
-    merged = reports.merged_windows(spark.read.parquet(f"{tmp_path}/out"))
-    assert merged.agg(F.sum("readings")).first()[0] == 1000
+    out = f"{tmp_path}/out"
+    reports.window_parts(reading_stream(spark, mixed_files, 1), out, f"{tmp_path}/cp").awaitTermination()
+    before = window_rows(spark, out)
+    assert sum(r[3] for r in before) == 1000
+    want = zoned(as_readings(spark.read.parquet(mixed_files))).groupBy(F.window("timestamp", "10 minutes").alias("w"), "sensor_id")
+    want = want.agg(F.count(F.lit(1)).alias("n"), F.min("temperature").alias("low")).select("w.start", "w.end", "sensor_id", "n", "low")
+    assert sorted((tuple(r) for r in want.collect()), key=repr) == sorted(((*r[:4], r[5]) for r in before), key=repr)
+    table = reports.window_table(out)
+    for every in (False, True):
+        table.compact(spark, every)
+        after = window_rows(spark, out)
+        assert [(*r[:4], *r[5:]) for r in after] == [(*r[:4], *r[5:]) for r in before]
+    assert table.unsettled(spark) == set() and table.read(spark).count() == len(before)
+
+
+def test_readings_without_a_time_are_counted(spark, tmp_path, plan):
+    late = [(10, "a", "2024-01-01 00:05:00", 3.0), (11, None, None, 1.0), (12, "a", "2024-02-01 00:05:00", 3.0)]
+    out = f"{tmp_path}/out"
+    reports.window_parts(half_keyed(spark, tmp_path, HALF_KEYED, late), out, f"{tmp_path}/cp").awaitTermination()
+    for _ in range(2):
+        rows = {(str(r.window_start), r.sensor_id): (r.readings, r.avg_temperature) for r in reports.windows(spark, out).collect()}
+        assert sum(n for n, _ in rows.values()) == 10 and len(rows) == 5
+        assert rows[("None", None)] == (3, 10 / 3) and rows[("2024-01-01 00:00:00", "a")] == (2, 2.0)
+        reports.window_table(out).compact(spark, all_epochs=True)
+    assert "Aggregate" not in plan(reports.windows(spark, out).filter("window_start >= '2024-02-01'")).split("Union")[0]
+
+
+def test_panels_survive_compaction_and_repeats(spark, mixed_files, tmp_path):
+    out = f"{tmp_path}/out"
+    reports.dashboard(reading_stream(spark, mixed_files, 1), out, f"{tmp_path}/cp", run.DRAIN).awaitTermination()
+    totals, by_sensor = reports.panel(spark, out, "totals").first(), reports.panel(spark, out, "sensors").count()
+    assert totals.total == 1000
+    table = reports.panels(out)
+    assert table.compact(spark) == 5 and table.compact(spark) == 0
+    assert reports.panel(spark, out, "totals").first() == totals and reports.panel(spark, out, "sensors").count() == by_sensor
 
 
 def test_counters_outlast_retained_progress(spark, mixed_files, tmp_path):
@@ -156,10 +211,10 @@ def test_counters_outlast_retained_progress(spark, mixed_files, tmp_path):
     spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", "2")
     try:
         messages = project.as_messages(reading_stream(spark, mixed_files, 1), keep_nulls=True).select("value")
-        ingest.start(messages, f"{tmp_path}/t", f"{tmp_path}/bad", f"{tmp_path}/cp", "s").awaitTermination()
+        ingest.start(messages, f"{tmp_path}/t", f"{tmp_path}/cp", "s").awaitTermination()
     finally:
         spark.conf.set("spark.sql.streaming.numRecentProgressUpdates", kept)
-    assert ingest.counters(spark, f"{tmp_path}/bad", "s").first()["received"] == 1000
+    assert ingest.counters(spark, f"{tmp_path}/t", "s").first()["received"] == 1000
 
 
 def test_mark_without_history(spark, tmp_path):

@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from weatherloom import fixed_values as V
 from weatherloom.catalog.readings import readings, readings_raw, scored, streamed
 from weatherloom.catalog.registry import AIR_QUALITY_FIVE, AIR_QUALITY_FOUR, registered, six
 from weatherloom.catalog.rows import sigma_views
@@ -422,12 +423,10 @@ def dash_stats_table(spark, sf_dir):
 
 @registered("union_all_sql", EXTREMES_SQL)
 def union_all_sql(spark, sf_dir):
-    """The panel's own text, as a user types it; three aggregates stacked."""
-    table = streamed(spark, sf_dir)
-    one = (
-        "SELECT '{0}' AS Metrica, round(min({1}), 1) AS Minimo, round(avg({1}), 1) AS Promedio, "
-        "round(max({1}), 1) AS Maximo FROM {{table}}"
-    )
-    metrics = {"Temperatura": "temperature", "Humedad": "humidity", "Presion": "pressure"}
-    text = " UNION ALL ".join(one.format(label, c) for label, c in metrics.items())
+    """The three rows in SQL: one aggregate, unpivoted."""
+    table = streamed(spark, sf_dir).select(*V.DASHBOARD_METRIC_NAMES)
+    sums = ", ".join(f"round({f}({c}), 1) AS {c}_{f}" for c in V.DASHBOARD_METRIC_NAMES for f in ("min", "avg", "max"))
+    sides = ", ".join(f"({c}_min, {c}_avg, {c}_max) AS {label}" for c, label in V.DASHBOARD_METRIC_NAMES.items())
+    text = f"""SELECT {V.DASHBOARD_METRIC}, {", ".join(V.DASHBOARD_EXTREMES)} FROM (SELECT {sums} FROM {{table}})
+        UNPIVOT INCLUDE NULLS (({", ".join(V.DASHBOARD_EXTREMES)}) FOR {V.DASHBOARD_METRIC} IN ({sides}))"""
     return spark.sql(text, table=table)

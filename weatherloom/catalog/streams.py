@@ -40,7 +40,7 @@ def drained(df, path, checkpoint):
 
 def ingested(spark, sf_dir, root, keep_nulls):
     messages = message_stream(spark, sf_dir, keep_nulls)
-    query = ingest.start(messages, f"{root}/table", f"{root}/bad", f"{root}/checkpoint", "sensors")
+    query = ingest.start(messages, f"{root}/table", f"{root}/checkpoint", "sensors")
     query.awaitTermination()
     return query
 
@@ -71,7 +71,7 @@ def stream_bad_records(spark, sf_dir):
     root = scratch_path(spark, "bad")
     ingested(spark, sf_dir, root, keep_nulls=True)
     good = timeline.read(spark, f"{root}/table").select("id", F.lit(False).alias("rejected"))
-    bad = spark.read.parquet(f"{root}/bad")
+    bad = ingest.quarantined(spark, f"{root}/table")
     bad_ids = F.get_json_object("message", "$.id").cast("bigint")
     return good.unionByName(bad.select(bad_ids.alias("id"), F.lit(True).alias("rejected")))
 
@@ -85,7 +85,7 @@ def stream_bad_records(spark, sf_dir):
 def stream_counters(spark, sf_dir):
     root = scratch_path(spark, "counters")
     ingested(spark, sf_dir, root, keep_nulls=True)
-    return ingest.counters(spark, f"{root}/bad")
+    return ingest.counters(spark, f"{root}/table")
 
 
 @registered("stream_drain_once", "SELECT id, sensor_id FROM readings")
@@ -177,10 +177,8 @@ def stream_dashboard_sensors(spark, sf_dir):
 
 def _dashboard(spark, sf_dir, panel):
     root = scratch_path(spark, "dashboard")
-    queries = reports.dashboard(reading_stream(spark, sf_dir), f"{root}/out", f"{root}/checkpoint", run.DRAIN)
-    for query in queries:
-        query.awaitTermination()
-    return spark.read.parquet(f"{root}/out/{panel}")
+    reports.dashboard(reading_stream(spark, sf_dir), f"{root}/out", f"{root}/checkpoint", run.DRAIN).awaitTermination()
+    return reports.panel(spark, f"{root}/out", panel)
 
 
 @registered("stream_alerts", 'SELECT id, sensor_id, "timestamp", pm25 FROM readings WHERE pm25 > 100')
@@ -201,7 +199,7 @@ def stream_alerts(spark, sf_dir):
 def stream_window_report(spark, sf_dir):
     root = scratch_path(spark, "windows")
     reports.window_parts(reading_stream(spark, sf_dir), f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    return six(no_zone(reports.merged_windows(spark.read.parquet(f"{root}/out"))))
+    return six(no_zone(reports.windows(spark, f"{root}/out")))
 
 
 @registered("stream_dedup", 'SELECT DISTINCT sensor_id, "timestamp" FROM readings_raw')
@@ -210,4 +208,4 @@ def stream_dedup(spark, sf_dir):
     repeated = zoned(as_readings_raw(as_readings(event_stream(spark, sf_dir))))
     stream = repeated.select("sensor_id", "timestamp")
     reports.store_distinct(stream, f"{root}/out", f"{root}/checkpoint").awaitTermination()
-    return no_zone(spark.read.parquet(f"{root}/out").select("sensor_id", "timestamp"))
+    return no_zone(reports.distinct_readings(spark, f"{root}/out").select("sensor_id", "timestamp"))

@@ -91,6 +91,8 @@ DASHBOARD_BANDS = {
     "pm25": ("green", ((35, "yellow"), (55, "red"))),
     "pm25_gauge": ("green", ((35, "yellow"), (55, "orange"), (75, "red"))),
 }
+SENSOR_MEAN_NAMES = {"temperature": "temp_promedio", "humidity": "humidity_promedio"}
+DASHBOARD_METRIC, DASHBOARD_EXTREMES = "Metrica", ("Minimo", "Promedio", "Maximo")
 DASHBOARD_METRIC_NAMES = {"temperature": "Temperatura", "humidity": "Humedad", "pressure": "Presion"}
 DASHBOARD_COLUMN_NAMES = {
     "inserted_at": "Tiempo",

@@ -63,12 +63,12 @@ def gauges(df: DataFrame) -> DataFrame:
 
 def extremes(df: DataFrame) -> DataFrame:
     """Lowest, mean and highest value of three metrics, one row each, from one pass."""
-    shown = {"Minimo": F.min, "Promedio": F.avg, "Maximo": F.max}
+    shown = dict(zip(V.DASHBOARD_EXTREMES, (F.min, F.avg, F.max), strict=True))
     metrics = V.DASHBOARD_METRIC_NAMES
     one = df.agg(*[f(c).alias(f"{c}_{name}") for c in metrics for name, f in shown.items()])
     rows = [
         F.struct(
-            F.lit(label).alias("Metrica"),
+            F.lit(label).alias(V.DASHBOARD_METRIC),
             *[F.round(f"{c}_{name}", 1).alias(name) for name in shown],
         )
         for c, label in metrics.items()

@@ -32,8 +32,7 @@ def averages(df: DataFrame) -> DataFrame:
     """Readings and mean temperature and humidity of each sensor."""
     return df.groupBy("sensor_id").agg(
         F.count(F.lit(1)).alias("total"),
-        F.avg("temperature").alias("temp_promedio"),
-        F.avg("humidity").alias("humidity_promedio"),
+        *[F.avg(c).alias(label) for c, label in V.SENSOR_MEAN_NAMES.items()],
     )
 
 

@@ -6,8 +6,6 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from weatherloom.fixed_values import LINEAGE_COLUMNS
-
 SOURCE = T.StructType(
     [
         T.StructField("id", T.LongType(), False),
@@ -101,8 +99,3 @@ def with_sensor_id(df: DataFrame) -> DataFrame:
 
 def timestamp_columns(df: DataFrame) -> list[str]:
     return [f.name for f in df.schema.fields if isinstance(f.dataType, TIMESTAMP_TYPES)]
-
-
-def measured_columns(df: DataFrame) -> list[str]:
-    """Columns that came from the source, without the lineage stamps."""
-    return [c for c in df.columns if c not in LINEAGE_COLUMNS]

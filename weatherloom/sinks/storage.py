@@ -26,6 +26,22 @@ def folders(spark: SparkSession, path: str) -> list[str]:
     return sorted(s.getPath().getName() for s in system.listStatus(at) if s.isDirectory())
 
 
+def matching(spark: SparkSession, root: str, pattern: str) -> list[str]:
+    """Paths below ``root``, relative to it, that match a glob; files and other folders are not looked at."""
+    system, at = _located(spark, root)
+    if not system.exists(at):
+        return []
+    above = system.makeQualified(at).toString().rstrip("/") + "/"
+    hadoop = spark._jvm.org.apache.hadoop.fs
+    found = hadoop.FileUtil.stat2Paths(system.globStatus(hadoop.Path(f"{above}{pattern}")))
+    return [p.toString().removeprefix(above) for p in found]
+
+
+def values_of(path: str) -> dict[str, str]:
+    """The values that the ``name=value`` folders of a path stand for."""
+    return {n: unquote(v) for n, _, v in (part.partition("=") for part in path.split("/"))}
+
+
 def remove(spark: SparkSession, path: str) -> bool:
     """Remove a folder and what is in it; whether there was one. Removing it again does nothing."""
     system, at = _located(spark, path)

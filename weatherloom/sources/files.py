@@ -51,11 +51,6 @@ def data_files_only(df: DataFrame, root: str, unwanted: tuple[str, ...] = LOG_NA
     return df.filter(~F.arrays_overlap(names, F.array(*[F.lit(name) for name in unwanted])))
 
 
-def with_file(df: DataFrame, column: str = "source_file") -> DataFrame:
-    """Name the file each row was read from."""
-    return df.withColumn(column, F.col("_metadata.file_path"))
-
-
 def parquet_or_empty(spark: SparkSession, path: str, schema: StructType) -> DataFrame:
     """The files below ``path``, or an empty frame of the same shape if there is no such path."""
     try:

@@ -22,46 +22,36 @@ def counted(rows: DataFrame) -> DataFrame:
     )
 
 
-def counters(spark: SparkSession, quarantine: str, stream: str | None = None) -> DataFrame:
-    """One row of received, inserted and errors over all micro-batches, or those of one stream."""
-    rows = spark.read.parquet(counts_of(quarantine))
-    rows = rows if stream is None else rows.filter(F.col("stream") == stream)
-    return rows.agg(*[F.coalesce(F.sum(c), F.lit(0)).cast("long").alias(c) for c in ("received", "inserted", "errors")])
+def counters(spark: SparkSession, table: str, stream: str | None = None) -> DataFrame:
+    """One row of received, inserted and errors over all stored micro-batches, or those of one stream."""
+    rows = timeline.stored(spark, table).filter(F.col("source_stream").isNotNull())
+    rows = rows if stream is None else rows.filter(F.col("source_stream") == stream)
+    return rows.agg(
+        F.count(F.lit(1)).alias("received"),
+        F.count_if(~F.col(timeline.REJECTED)).alias("inserted"),
+        F.count_if(timeline.REJECTED).alias("errors"),
+    )
 
 
-def counts_of(quarantine: str) -> str:
-    """Where the counters of each micro-batch are stored: beside the quarantine."""
-    return f"{quarantine.rstrip('/')}_counts"
+def quarantined(spark: SparkSession, table: str, stream: str | None = None) -> DataFrame:
+    """The rejected messages, when they arrived and on which stream."""
+    rows = timeline.stored(spark, table).filter(timeline.REJECTED)
+    rows = rows if stream is None else rows.filter(F.col("source_stream") == stream)
+    return rows.select("message", "inserted_at", "source_stream")
 
 
-def start(
-    messages: DataFrame,
-    table: str,
-    quarantine: str,
-    checkpoint: str,
-    stream: str,
-    trigger: dict | None = None,
-) -> StreamingQuery:
-    """Append readings to ``table`` and rejected messages to ``quarantine``.
+def start(messages: DataFrame, table: str, checkpoint: str, stream: str, trigger: dict | None = None) -> StreamingQuery:
+    """Append readings and rejected messages to ``table``.
 
-    Both, and one row of counters, are written per micro-batch into folders named
-    after it, so that a restart after a failure adds no rows. ``stream`` names the checkpoint's
-    lineage: a stream begun anew needs a new name.
+    Each micro-batch is decoded and written once; nothing is held in memory for a
+    second pass. :func:`timeline.read` gives the readings, :func:`quarantined` the
+    rejected messages and :func:`counters` their numbers. A restart after a failure adds no rows. ``stream``
+    names the checkpoint's lineage: a stream begun anew needs a new name.
     """
 
     def store(batch: DataFrame, epoch: int) -> None:
-        batch.persist()
-        try:
-            timeline.write_epoch(decode.accepted(batch), table, stream, epoch)
-            bad = decode.rejected(batch)
-            bad.write.mode("overwrite").parquet(f"{quarantine}/stream={stream}/epoch={epoch}")
-            counts = batch.agg(
-                F.count(F.lit(1)).alias("received"),
-                F.count_if(~F.col("rejected")).alias("inserted"),
-                F.count_if("rejected").alias("errors"),
-            )
-            counts.write.mode("overwrite").parquet(f"{counts_of(quarantine)}/stream={stream}/epoch={epoch}")
-        finally:
-            batch.unpersist()
+        kept = F.when(F.col(timeline.REJECTED), F.col("message"))
+        rows = batch.withColumns({"message": kept, "source_stream": F.lit(stream)})
+        timeline.write_epoch(rows, table, stream, epoch)
 
     return run.per_batch(counted(decode.decoded(messages)), store, checkpoint, trigger)
