@@ -194,7 +194,7 @@ def test_initial_then_incremental(spark, source, store):
 def test_full_job_writes_every_layer(spark, source, store):
     path = jobs.full(source, store, as_of="2024-01-31", at=datetime(2024, 2, 1))
     assert path.endswith("export_ts=20240201_000000")
-    silver = lake.read_snapshot(spark, store.silver)
+    silver = jobs.silver_of(spark, store)
     assert silver.filter("temperature IS NULL OR humidity IS NULL OR pressure IS NULL").count() == 0
     wide = lake.read_snapshot(spark, store.gold_table(jobs.WIDE))
     assert wide.first().total_readings == silver.count()
@@ -276,6 +276,36 @@ def test_database_ranges():
     assert database.range_options(0, 0, 1000, 32)["numPartitions"] == "1"
 
 
+AT = datetime(2024, 1, 2, 3, 4, 5, 6)
+
+
+def test_polls_are_the_databases_work():
+    text = database.poll_query("jdbc:postgresql://h/db", "public.readings", AT, 7, 100)
+    bound = """"timestamp" >= TIMESTAMP '2024-01-02 03:04:05.000006' AND ("timestamp" > TIMESTAMP '2024-01-02 03:04:05.000006' OR "id" > 7)"""
+    assert text == f"""SELECT * FROM "public"."readings" WHERE {bound} ORDER BY "timestamp", "id" LIMIT 100"""
+    assert database.poll_query("jdbc:sqlserver://h", "t", AT, limit=5).startswith("SELECT TOP 5 * FROM [t] WHERE [timestamp] > ")
+    assert database.poll_query("jdbc:oracle:thin:@h", "t", AT, limit=5).endswith(' ORDER BY "timestamp", "id" FETCH FIRST 5 ROWS ONLY')
+    assert database.poll_query("jdbc:mysql://h/db", "t", AT).count("`timestamp`") == 2
+    assert database.count_and_max_query("jdbc:mysql://h", "a`b") == "SELECT COUNT(*) AS total, COALESCE(MAX(`id`), 0) AS max_id FROM `a``b`"
+    assert database.id_extent_query("jdbc:h2:mem", "t", 5) == 'SELECT MIN("id") AS first_id, MAX("id") AS last_id FROM "t" WHERE "id" > 5'
+
+
+@pytest.mark.parametrize("mark_id", [None, 500])
+def test_poll_text_gives_the_rows_of_the_page(spark, sf_dir, mark_id):
+    """The text is run by an SQL engine in this process, on the same rows."""
+    duckdb = pytest.importorskip("duckdb")
+    rows = readings(spark, sf_dir).select("id", F.col("timestamp").cast("timestamp_ntz").alias("timestamp"))
+    mark = rows.filter("id = 500").first().timestamp
+    con = duckdb.connect()
+    con.register("given", rows.toPandas())
+    con.execute("CREATE TABLE readings AS SELECT * FROM given")
+    got = con.execute(database.poll_query("jdbc:duckdb:", "readings", mark, mark_id, 20)).fetchall()
+    want = latest.page_after(rows, F.lit(mark), mark_id, 20).collect()
+    assert [g[0] for g in got] == [w.id for w in want] and len(got) == 20
+    total, highest = con.execute(database.count_and_max_query("jdbc:duckdb:", "readings")).fetchone()
+    assert (total, highest) == tuple(rows.transform(database.count_and_max_id).first())
+
+
 def test_count_and_max_of_nothing(source):
     row = source.filter("false").transform(database.count_and_max_id).first()
     assert (row.total, row.max_id) == (0, 0)

@@ -134,5 +134,5 @@ def job_export(spark, sf_dir):
     jobs.initial(readings(spark, sf_dir).transform(as_source), store)
     jobs.export_tables(spark, store)
     csv = f"{store.exports}/csv"
-    exported = spark.read.schema(lake.read_snapshot(spark, store.silver).schema).option("header", True).csv(f"{csv}/readings")
+    exported = spark.read.schema(jobs.silver_of(spark, store).schema).option("header", True).csv(f"{csv}/readings")
     return six(exported.transform(kpis.wide))

@@ -29,19 +29,16 @@ def attach(
     """Left join ``df`` with one row per key from ``stats``.
 
     ``stats`` holds the row count of each key in ``weight``; that column is not
-    passed on. The statistics are written once to the shared folder and counted:
-
-    * up to ``broadcast_keys`` keys are broadcast, so the rows stay where they are;
-    * beyond that, keys holding more than one ``broadcast_keys``-th of all rows
-      are broadcast. There can be no more than ``broadcast_keys`` of them, and
-      every heavy key is among them, so the shuffle join that serves the
-      remaining keys cannot be skewed. Rows without a key take no part in it.
+    passed on. The statistics are written once to the shared folder. Keys holding
+    more than one ``broadcast_keys``-th of all rows are broadcast: there can be no
+    more than ``broadcast_keys`` of them, and every heavy key is among them. The
+    rows of the other keys take an ordinary join, which cannot be skewed and
+    for which the planner chooses by the size in bytes of what was
+    written: a small table is broadcast, so that no row moves. Rows without a
+    key take no part in it. The plan is the same for any number of keys.
     """
     stats = cut_lineage(stats)
     values = [c for c in stats.columns if c not in (key, weight)]
-    if stats.count() <= broadcast_keys:
-        return df.join(F.broadcast(stats.drop(weight)), key, "left")
-
     total = stats.agg(F.sum(weight)).scalar()
     is_heavy = F.col(weight) * broadcast_keys > total
     heavy = stats.filter(is_heavy).withColumn("_heavy", F.lit(True)).drop(weight)

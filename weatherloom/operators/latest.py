@@ -19,15 +19,11 @@ def newest_full_rows(df: DataFrame, n: int, column: str = "inserted_at", tie: st
     A first pass reads the time column alone and finds the n-th newest instant.
     The wide pass then carries that instant into the file scan as a filter, so
     on a time-ordered table it opens only the newest row groups. Rows without
-    a time come last; where there are fewer than ``n`` with one, there is no bound.
+    a time come last. There are two scans, one of them of a single column.
     """
     times = df.select(column).orderBy(F.desc(column)).limit(n)
-    timed = times.agg(F.when(F.count(column) == n, F.min(column))).scalar()
-    bounded = df.filter(F.col(column) >= timed)
-    untimed = df.filter(F.col(column).isNull())
-    # at most n rows of either kind go on: newest timed rows, and rows without a time if they are needed
-    few = df.filter(timed.isNull() & F.col(column).isNotNull())
-    return newest_rows(bounded.unionByName(few).unionByName(untimed), n, column, tie)
+    bound = times.agg(F.min(column)).scalar()  # the lowest instant of all if fewer than n rows have a time
+    return newest_rows(df.filter((F.col(column) >= bound) | F.col(column).isNull()), n, column, tie)
 
 
 def newest_batches(

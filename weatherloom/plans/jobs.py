@@ -18,8 +18,8 @@ from weatherloom import fixed_values as V
 from weatherloom import schemas
 from weatherloom.functions import times
 from weatherloom.operators import kpis, latest, sensors
-from weatherloom.plans import cleaning
-from weatherloom.sinks import audit, export, lake, storage
+from weatherloom.plans import cleaning, increments
+from weatherloom.sinks import audit, commits, export, lake, storage
 from weatherloom.sinks.lake import Lake
 
 WIDE, SENSORS, LONG = "kpis", "sensor_statistics", "kpis_long"
@@ -36,6 +36,8 @@ def bronze_to_silver(
     ``range_keep`` is the range chain that keeps readings with gaps, so that the
     quality score tells them apart and medians fill them.
     """
+    if method == "sigma" and newest_batches is None:
+        return _silver_by_increments(spark, store, at)
     bronze = lake.read_bronze(spark, store).transform(schemas.with_sensor_id).transform(schemas.nan_to_null)
     if newest_batches is not None:
         bronze = bronze.transform(latest.newest_batches, newest_batches)
@@ -44,6 +46,7 @@ def bronze_to_silver(
     staging = store.staging_of(uuid.uuid4().hex)
     cleaned = METHODS[method](bronze, stage=staging)
     lake.write_snapshot(cleaned, store.silver)
+    commits.commit(spark, increments.log_of(store), increments.state_of(spark, store), {})  # silver is the snapshot now
 
     silver = lake.read_snapshot(spark, store.silver)
     distinct = spark.read.parquet(staging)
@@ -59,9 +62,29 @@ def bronze_to_silver(
     return silver
 
 
+def _silver_by_increments(spark: SparkSession, store: Lake, at) -> DataFrame:
+    """The sigma chain over the batches that are new; its counts come from the state."""
+    state = increments.clean(spark, store)
+    silver = silver_of(spark, store)
+    rows_out, rows_distinct = state.get("rows_out", 0), state.get("rows_distinct", 0)
+    metrics = spark.range(1).select(
+        F.lit(rows_out).cast("bigint").alias("rows_out"),
+        F.lit(state["rows_in"] - rows_distinct).cast("bigint").alias("duplicates_removed"),
+        F.lit(rows_distinct - rows_out).cast("bigint").alias("outliers_removed"),
+    )
+    audit.append(audit.cleaning_row(metrics, CLEANING_SCRIPT, store.silver, times.moment(at)), f"{store.audit}/silver")
+    return silver
+
+
+def silver_of(spark: SparkSession, store: Lake) -> DataFrame:
+    """The cleaned readings: those of the increments, or the snapshot where it is newer."""
+    rows = increments.silver(spark, store)
+    return lake.read_snapshot(spark, store.silver) if rows is None else rows
+
+
 def silver_to_gold(spark: SparkSession, store: Lake, as_of=None, at=None) -> None:
     """Write the wide KPI row, the sensor statistics and the long KPI table."""
-    silver = lake.read_snapshot(spark, store.silver)
+    silver = silver_of(spark, store)
     at = times.moment(at)
     lake.write_snapshot(silver.transform(kpis.wide).transform(kpis.stamped, at), store.gold_table(WIDE))
     lake.write_snapshot(silver.transform(sensors.statistics), store.gold_table(SENSORS))
@@ -85,7 +108,10 @@ def export_tables(spark: SparkSession, store: Lake, names=("kpis", "readings"))
         "log": f"{store.audit}/gold",
     }
     for name in names:
-        df = spark.read.parquet(paths[name]) if name == "log" else lake.read_snapshot(spark, paths[name])
+        if name == "readings":
+            df = silver_of(spark, store)
+        else:
+            df = spark.read.parquet(paths[name]) if name == "log" else lake.read_snapshot(spark, paths[name])
         if name == "log":
             df = df.withColumn("output_files", F.array_join("output_files", " "))
         export.to_csv(df, f"{store.exports}/csv/{name}")

@@ -62,7 +62,7 @@ def _commits(spark: SparkSession, path: str) -> DataFrame:
     return files.parquet_or_empty(spark, f"{path}/commits", schemas.COMMIT)
 
 
-def _committed(spark: SparkSession, path: str) -> int:
+def _version(spark: SparkSession, path: str) -> int:
     return _commits(spark, path).agg(F.coalesce(F.max("version"), F.lit(0)).alias("version")).first()["version"]
 
 
@@ -78,7 +78,7 @@ def write_snapshot(df: DataFrame, path: str) -> None:
     old version as it was. One writer at a time.
     """
     spark = df.sparkSession
-    version = _committed(spark, path) + 1
+    version = _version(spark, path) + 1
     df.write.mode("overwrite").parquet(_slot(path, version))
     row = spark.range(1).select(F.lit(version).cast("bigint").alias("version"))
     row.write.mode("append").parquet(f"{path}/commits")
@@ -86,7 +86,7 @@ def write_snapshot(df: DataFrame, path: str) -> None:
 
 def read_snapshot(spark: SparkSession, path: str) -> DataFrame:
     """The version committed last."""
-    return spark.read.parquet(_slot(path, _committed(spark, path)))
+    return spark.read.parquet(_slot(path, _version(spark, path)))
 
 
 def staged(df: DataFrame, path: str) -> DataFrame:
@@ -182,29 +182,52 @@ def initial_load(
     return highest
 
 
-def read_bronze(spark: SparkSession, lake: Lake, with_date: bool = False) -> DataFrame:
-    """All committed bronze batches with the columns of any; ``with_date`` keeps the partition date for pruning.
-
-    The columns come from the commits, so no footer is read to plan a scan. Of a
-    source's generation, batches that start below the mark are committed; one
-    that is being written starts at it. Before the first batch there are no rows.
-    """
+def _committed(spark: SparkSession, lake: Lake, after: dict[str, list[int]]) -> DataFrame | None:
+    """Rows of committed batches with their partition columns; of a source in ``after`` only those that start at its mark there or later."""
     current = commits.newest(spark, lake.bronze_commits)
     columns, committed, paths = StructType(), F.lit(False), []
     for name, last in sorted(current.items()):
+        start = after.get(name, [0, None])[1]
+        if start is not None and start >= last.state["mark"]:
+            continue
         columns = schemas.union_of(columns, StructType.fromJson(last.state["schema"]))
-        below = (F.col("from_id") == INITIAL) | (F.col("from_id") < last.state["mark"])
+        below = F.col("from_id") < last.state["mark"]
+        below = below | (F.col("from_id") == INITIAL) if start is None else below & (F.col("from_id") >= start)
         committed |= (F.col("ingest_source") == name) & below
         paths.append(generation_of(lake, name, last.state["generation"]))
     if not paths:
+        return None
+    reader = spark.read.schema(StructType([*columns.fields, *PARTITIONS.fields])).option("basePath", lake.bronze)
+    return reader.parquet(*paths).filter(committed)
+
+
+def read_bronze(spark: SparkSession, lake: Lake, with_date: bool = False) -> DataFrame:
+    """All committed bronze batches with the columns of any; ``with_date`` keeps the partition date for pruning.
+
+    The columns come from the commits, so no footer is read to plan a scan. Of a
+    source's generation, batches that start below the mark are committed; one
+    that is being written starts at it. Before the first batch there are no rows.
+    """
+    bronze = _committed(spark, lake, {})
+    if bronze is None:
         bronze = spark.createDataFrame([], StructType([*schemas.BRONZE.fields, *PARTITIONS.fields]))
-    else:
-        reader = spark.read.schema(StructType([*columns.fields, *PARTITIONS.fields])).option("basePath", lake.bronze)
-        bronze = reader.parquet(*paths).filter(committed)
     bronze = bronze.drop("ingest_source", "generation", "from_id")
     return bronze if with_date else bronze.drop("ingest_date")
 
 
+def batches_after(spark: SparkSession, lake: Lake, seen: dict[str, list[int]]) -> tuple[DataFrame | None, dict[str, list[int]], bool]:
+    """The batches that came after ``seen`` (generation and mark of each source), what is seen now, and whether it begins anew.
+
+    Where a source has another generation than ``seen`` says, all batches of all sources are given.
+    Only folders of new batches are read.
+    """
+    current = commits.newest(spark, lake.bronze_commits)
+    now = {name: [c.state["generation"], c.state["mark"]] for name, c in current.items()}
+    anew = any(now.get(name, [None])[0] != generation for name, (generation, _) in seen.items())
+    rows = _committed(spark, lake, {} if anew else seen)
+    return None if rows is None else rows.drop(*PARTITIONS.names), now, anew
+
+
 def release(spark: SparkSession, lake: Lake) -> list[str]:
     """Remove what no commit names: replaced and half-written generations and batches, and the staging of all runs.
 
