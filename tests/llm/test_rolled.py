@@ -1,7 +1,8 @@
-"""The rolled fingerprint: shifted unspaced texts, half-edited short ones, and the scheme itself."""
+"""The fingerprint: shifted unspaced texts, half-edited short ones, and the scheme itself."""
 
 from __future__ import annotations
 
+import hashlib
 import random
 import re
 
@@ -13,6 +14,12 @@ from weatherloom.llm import fingerprints
 from weatherloom.llm.common import documents
 
 
+def xxhash_of(text):
+    import xxhash
+
+    return xxhash.xxh64(text.encode(), seed=42).intdigest()
+
+
 def rolled(text):
     """Number of grams, and the kept ones as (place, hash)."""
     import xxhash
@@ -49,16 +56,16 @@ def test_rolled_fingerprints_of_given_and_odd_texts(spark, sf_dir):
         half = len(text) // 2
         own, other, following = rolled(text), rolled(text[: len(text) - half] + after[:half]), rolled(after)
         r = got[key]
-        for found, want in ((r.rolled, own), (r.edited_rolled, other)):
+        for found, want in ((r.fingerprint, own), (r.edited_fingerprint, other)):
             assert found == " ".join(f"{p:X}:{h & (1 << 37) - 1:X}" for p, h in want[1])
-        assert (r.rolled_near_edited, r.rolled_near_next) == (pytest.approx(alike(own, other)), pytest.approx(alike(own, following)))
+        assert (r.near_edited, r.near_next) == (pytest.approx(alike(own, other)), pytest.approx(alike(own, following)))
 
 
 def likenesses(spark, pairs):
     df = spark.createDataFrame([(i, a, b) for i, (a, b) in enumerate(pairs)], "i int, a string, b string")
-    df = fingerprints.with_rolled(fingerprints.with_rolled(df, "a", "x"), "b", "y")
+    df = fingerprints.with_fingerprint(fingerprints.with_fingerprint(df, "a", "x"), "b", "y")
     shared = F.size(F.expr(f"array_intersect({fingerprints.hashes_of('x.kept')}, {fingerprints.hashes_of('y.kept')})"))
-    rows = df.select("i", fingerprints.rolled_likeness("x", "y").alias("l"), shared.alias("shared")).orderBy("i").collect()
+    rows = df.select("i", fingerprints.likeness("x", "y").alias("l"), shared.alias("shared")).orderBy("i").collect()
     return [r.l for r in rows], [r.shared for r in rows]
 
 
@@ -95,3 +102,26 @@ def test_half_edited_short_texts_are_half_alike(spark):
     assert all(0.1 < l < 0.6 for l in found)
     long = [f"c{i}" for i in range(68)]  # 65 grams beside 64
     assert likenesses(spark, [(" ".join(long), " ".join(long[:67]))])[0][0] > 0.8
+
+
+def test_the_two_cases_of_a_review(spark):
+    rng = random.Random(8)
+    base = "".join(chr(rng.randint(0x4E00, 0x9FFF)) for _ in range(2000))
+    words = " ".join(f"w{i}" for i in range(30))
+    rows = fingerprints.edited(frame(spark, [(1, base), (2, "前" + base), (3, words), (4, words + " more")])).collect()
+    near = {r.doc_id: r.near_next for r in rows}
+    assert near[1] > 0.99 and 0.5 < near[3] < 1.0
+
+
+def test_rows_without_an_id_are_spread(spark, monkeypatch):
+    monkeypatch.setattr(fingerprints, "PER_RANGE", 8)
+    texts = [(None, f"text {i} " * 5) for i in range(200)] + [(i, f"own {i} " * 5) for i in range(50)] + [(None, "text 3 " * 5)]
+    given = frame(spark, texts).select("doc_id", "text", F.xxhash64("text").alias("hash"))
+    sizes = [r["count"] for r in given.withColumn("r", fingerprints._ranges(given)).groupBy("r").count().collect()]
+    assert len(sizes) > 20 and max(sizes) < 40
+    order = sorted(((i is not None, i or 0, signed(xxhash_of(t))), t) for i, t in texts)
+    want = []
+    for k, (_, text) in enumerate(order):
+        after, half = order[(k + 1) % len(order)][1], len(text) // 2
+        want.append(hashlib.sha256((text[: len(text) - half] + after[:half]).encode()).hexdigest())
+    assert sorted(r.edited_sha256 for r in fingerprints.edited(frame(spark, texts)).collect()) == sorted(want)

@@ -1,30 +1,26 @@
 """Document fingerprints by winnowing, in Spark expressions only.
 
-A text is read as pieces of at most eight characters between white space, each hashed; grams of
-``GRAM`` pieces are hashed from their halves by doubling. Of every ``WINDOW`` neighbouring grams the
-smallest is kept, the rightmost of equals, once; window minima are found by doubling too. A
+A text's units are its words of at most eight characters and, in longer unspaced runs, the
+eight characters at every character, each hashed; a gram is ``GRAM`` units in a row, and one starts
+at every unit, so grams roll whatever comes before them. Of every ``WINDOW`` neighbouring grams the
+smallest is kept, the rightmost of equals, once; window minima are found by doubling. A
 number holds both: the upper 37 bits of the hash and, below them, how far the place lies from the
 27-bit maximum, so that the smaller number is the smaller hash and then the place further right.
-Two texts that share ``GRAM + WINDOW - 1`` pieces in a row share a kept gram, and the places say where.
+Two texts that share ``GRAM + WINDOW - 1`` units in a row (11 short words, or 18 characters of a
+longer run) share a kept gram, and the places say where.
 
-Texts with fewer grams than a window keep the smallest; with fewer pieces than a gram
-all pieces are one gram; without pieces (empty, null, white space) the fingerprint is
-empty. The likeness of two fingerprints is the Jaccard similarity of their hashes,
+A text of at most ``SHORT`` grams keeps all of them; they are thinned by the window before they
+are compared with a longer text's, so that likeness does not jump there. With fewer
+units than a gram all units are one gram; without units (empty, null, white space) the
+fingerprint is empty. The likeness of two fingerprints is the Jaccard similarity of their hashes,
 1 if both are empty. Equal texts have equal fingerprints.
 
-Pieces do not roll: in an unspaced run longer than eight characters, what comes before decides
-where they start. The rolled fingerprint does: its units are the words of at most eight
-characters and, in longer runs, the eight characters at every character. Its grams are ``GRAM``
-units in a row, its window is ``ROLLED_WINDOW`` grams, so two texts that share
-``GRAM + ROLLED_WINDOW - 1`` units in a row (11 short words, or 18 characters of a longer run) share
-a kept gram. A text of at most ``SHORT`` grams keeps all of them; they are thinned by the
-window before they are compared with a longer text's, so that likeness does not jump there.
-
 The next document is found without a global window: ids are cut into ranges of
-about ``PER_RANGE`` documents by quantiles of the id and evenly between them (at most ``RANGES``),
-each range is one window group, and the first documents of a range are copied to
+about ``PER_RANGE`` documents by quantiles of the id and evenly between them, rows without an id
+by their text's hash (each at most ``RANGES``); a range is one window group, and the first row of a range is copied to
 the end of the range before. Rows are ordered by doc_id (null first), then by text hash; of
-rows that are equal in both, each is followed by the next such row.
+rows that are equal in both, each is followed by the next such row. An empty table gives no rows; other
+columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
@@ -33,40 +29,9 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.window import Window
 
-GRAM, WINDOW = 4, 32
-ROLLED_WINDOW, SHORT = 8, 64
+GRAM, WINDOW, SHORT = 4, 8, 64
 PLACE_BITS = 27
-PER_RANGE, RANGES, QUANTILES = 1024, 100_000, 64
-
-
-def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Add ``name``: array of the kept (hash, place) numbers of column ``text``, in order of place."""
-    pieces = F.expr(f"transform(regexp_extract_all({text}, r'\\S{{1,8}}', 0), x -> xxhash64(x))")
-    top = (1 << PLACE_BITS) - 1
-    at = "_winnow"
-    out = df.withColumn(at, F.when(F.col(text).isNull(), F.array().cast("array<long>")).otherwise(pieces))
-    # too few pieces for a gram: all of them are one
-    out = out.withColumn(at, F.expr(f"if(size({at}) between 1 and {GRAM - 1}, array(xxhash64({at})), {at})"))
-    width = 1
-    while width < GRAM:
-        out = out.withColumn(
-            at,
-            F.expr(
-                f"if(size({at}) > {width}, transform(sequence(0, size({at}) - {width + 1}), i -> xxhash64({at}[i], {at}[i + {width}])), {at})"
-            ),
-        )
-        width *= 2
-    number = f"transform({at}, (x, i) -> shiftleft(shiftright(x, {PLACE_BITS}), {PLACE_BITS}) | ({top} - i))"
-    out = out.withColumn(at, F.expr(number)).withColumn("_short", F.expr(f"size({at}) <= {WINDOW}"))
-    out = out.withColumn(at, F.expr(f"if(_short and size({at}) > 0, array(array_min({at})), {at})"))
-    width = 1
-    while width < WINDOW:
-        out = out.withColumn(
-            at,
-            F.expr(f"if(_short, {at}, transform(sequence(0, size({at}) - {width + 1}), i -> least({at}[i], {at}[i + {width}])))"),
-        )
-        width *= 2
-    return out.withColumn(name, F.array_distinct(at)).drop(at, "_short")
+PER_RANGE, RANGES, QUANTILES = 1024, 1_000_000, 64
 
 
 def _minima(grams: str, window: int) -> str:
@@ -81,11 +46,11 @@ def _minima(grams: str, window: int) -> str:
     return f"transform(array({grams}), g -> if(size(g) <= {window}, slice(array(array_min(g)), 1, least(size(g), 1)), array_distinct({out})))[0]"
 
 
-def with_rolled(df: DataFrame, text: str, name: str) -> DataFrame:
-    """Add ``name``: the rolled fingerprint of column ``text``, as (n: number of grams, kept: numbers in order of place)."""
+def with_fingerprint(df: DataFrame, text: str, name: str) -> DataFrame:
+    """Add ``name``: the fingerprint of column ``text``, as (n: number of grams, kept: numbers in order of place)."""
     units = rf"regexp_extract_all({text}, r'(?=((?<!\S)\S{{1,8}}(?!\S)|\S{{8}}))\S', 1)"
     top = (1 << PLACE_BITS) - 1
-    at = "_rolled"
+    at = "_winnow"
     pieces = F.expr(f"transform({units}, x -> xxhash64(x))")
     out = df.withColumn(at, F.when(F.col(text).isNull(), F.array().cast("array<long>")).otherwise(pieces))
     numbered = f"shiftleft(shiftright(xxhash64({{}}), {PLACE_BITS}), {PLACE_BITS}) | ({top}{{}})"
@@ -97,14 +62,14 @@ def with_rolled(df: DataFrame, text: str, name: str) -> DataFrame:
             f"if(size({at}) > 0, array({numbered.format(at, '')}), {at}))"
         ),
     )
-    return out.withColumn(name, F.expr(f"struct(size({at}) as n, if(size({at}) <= {SHORT}, {at}, {_minima(at, ROLLED_WINDOW)}) as kept)")).drop(at)
+    return out.withColumn(name, F.expr(f"struct(size({at}) as n, if(size({at}) <= {SHORT}, {at}, {_minima(at, WINDOW)}) as kept)")).drop(at)
 
 
-def rolled_likeness(a: str, b: str) -> Column:
-    """Jaccard similarity of two rolled fingerprints; a short one beside a long one is thinned by the window."""
+def likeness(a: str, b: str) -> Column:
+    """Jaccard similarity of two fingerprints; a short one beside a long one is thinned by the window."""
 
     def side(own: str, other: str) -> str:
-        return f"if({own}.n <= {SHORT} and {other}.n > {SHORT}, {_minima(f'{own}.kept', ROLLED_WINDOW)}, {own}.kept)"
+        return f"if({own}.n <= {SHORT} and {other}.n > {SHORT}, {_minima(f'{own}.kept', WINDOW)}, {own}.kept)"
 
     hashes = [hashes_of(side(*pair)) for pair in ((a, b), (b, a))]
     joint = f"transform(array(struct({hashes[0]} as x, {hashes[1]} as y)), h -> struct(size(array_intersect(h.x, h.y)) as c, size(h.x) + size(h.y) as s))[0]"
@@ -123,20 +88,16 @@ def written(fingerprint: str) -> Column:
     )
 
 
-def likeness(a: str, b: str) -> Column:
-    common = f"size(array_intersect({hashes_of(a)}, {hashes_of(b)}))"
-    return F.expr(
-        f"if(size({a}) = 0 and size({b}) = 0, 1d, "
-        f"{common} / cast(size({hashes_of(a)}) + size({hashes_of(b)}) - {common} as double))"
-    )
-
-
 def _ranges(docs: DataFrame) -> Column:
-    """The range of a doc_id, in id order; null ids are range -1."""
+    """The range of a row, in the order of rows: by doc_id, or below zero by the text's hash for rows without one."""
     quantiles = F.percentile_approx("doc_id", [i / QUANTILES for i in range(QUANTILES + 1)], 1000).alias("q")
-    row = docs.agg(F.count("doc_id").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high"), quantiles).first()
+    counts = [F.count("*").alias("rows"), F.count("doc_id").alias("n"), F.min("doc_id").alias("low"), F.max("doc_id").alias("high")]
+    row = docs.agg(*counts, quantiles).first()
+    parts = max(1, min(RANGES, (row["rows"] - row["n"]) // PER_RANGE))
+    by_hash = F.floor((F.col("hash").cast("double") / 2.0**64 + 0.5) * parts)
+    without = F.least(F.greatest(by_hash, F.lit(0).cast("long")), F.lit(parts - 1).cast("long")) - parts
     if not row["n"]:
-        return F.lit(-1).cast("long")
+        return without
     bounds = sorted({row["low"], *row["q"], row["high"]})
     each = max(1, min(RANGES, row["n"] // PER_RANGE) // QUANTILES)
     array = F.array(*[F.lit(b).cast("long") for b in bounds])
@@ -144,58 +105,52 @@ def _ranges(docs: DataFrame) -> Column:
     low, high = F.get(array, step), F.coalesce(F.get(array, step + 1), F.lit(bounds[-1] + 1).cast("long"))
     share = (F.col("doc_id").cast("double") - low.cast("double")) / (high.cast("double") - low.cast("double"))
     inside = F.least(F.floor(share * each), F.lit(each - 1).cast("long"))
-    return F.coalesce(step * F.lit(each).cast("long") + inside, F.lit(-1).cast("long"))
+    return F.when(F.col("doc_id").isNull(), without).otherwise(step * F.lit(each).cast("long") + inside)
 
 
 def edited(docs: DataFrame) -> DataFrame:
-    """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next and
-    the last four of the rolled fingerprint: rolled, edited_rolled, rolled_near_edited, rolled_near_next.
+    """Per row: doc_id, n_chars, edited_sha256, fingerprint, edited_fingerprint, near_edited, near_next.
 
     The edited text has its last floor(n_chars / 2) characters replaced by the first as
     many (or all) of the next document's; after the last document comes the first.
     """
     given = docs.select(F.col("doc_id").cast("long").alias("doc_id"), F.coalesce(F.col("text").cast("string"), F.lit("")).alias("text"))
+    given = given.withColumn("hash", F.xxhash64("text"))
     placed = given.withColumn("range", _ranges(given))
-    # one row per range, RANGES at most
-    firsts = placed.groupBy("range").agg(F.min("doc_id").alias("first"))
+    # one row per range, 2 * RANGES at most
+    firsts = placed.groupBy("range").agg(F.min(F.struct("doc_id", "hash")).alias("first"))
     order = Window.orderBy("range")
     wrapped = F.max("range").over(Window.partitionBy())
     firsts = firsts.select(F.col("range").alias("_range"), F.col("first").alias("_first"), F.coalesce(F.lag("range").over(order), wrapped).alias("_before"))
-    both = placed.join(F.broadcast(firsts), (F.col("range") == F.col("_range")) & F.col("doc_id").eqNullSafe(F.col("_first")), "left")
+    is_first = F.col("doc_id").eqNullSafe(F.col("_first.doc_id")) & (F.col("hash") == F.col("_first.hash"))
+    both = placed.join(F.broadcast(firsts), (F.col("range") == F.col("_range")) & is_first, "left")
     # lists of a row's own range and, for the first of a range, the one before, which it closes
     homes = F.expr(
         "if(_range is null, array(named_struct('home', range, 'closes', false)), "
         "array(named_struct('home', range, 'closes', false), named_struct('home', _before, 'closes', true)))"
     )
-    printed = with_rolled(with_fingerprint(both, "text", "own"), "text", "roll").withColumn("n_chars", F.length("text").cast("long"))
-    copied = printed.select("doc_id", "text", "n_chars", "own", "roll", F.explode(homes).alias("h")).select("*", "h.home", "h.closes")
-    along = Window.partitionBy("home").orderBy("closes", F.asc_nulls_first("doc_id"), F.xxhash64("text"))
+    printed = with_fingerprint(both, "text", "own").withColumn("n_chars", F.length("text").cast("long"))
+    copied = printed.select("doc_id", "text", "hash", "n_chars", "own", F.explode(homes).alias("h")).select("*", "h.home", "h.closes")
+    along = Window.partitionBy("home").orderBy("closes", F.asc_nulls_first("doc_id"), "hash")
     following = copied.select(
         "doc_id",
         "text",
         "n_chars",
         "own",
-        "roll",
         "closes",
         F.lead("text").over(along).alias("next_text"),
         F.lead("own").over(along).alias("next_own"),
-        F.lead("roll").over(along).alias("next_roll"),
     ).filter("not closes")
     changed = following.withColumn("half", F.expr("cast(floor(n_chars / 2) as int)")).withColumn(
         "edited", F.expr("concat(substring(text, 1, cast(n_chars as int) - half), substring(next_text, 1, half))")
     )
-    done = with_fingerprint(changed.select("doc_id", "n_chars", "own", "next_own", "roll", "next_roll", "edited"), "edited", "other")
-    done = with_rolled(done, "edited", "other_roll")
+    done = with_fingerprint(changed.select("doc_id", "n_chars", "own", "next_own", "edited"), "edited", "other")
     return done.select(
         "doc_id",
         "n_chars",
         F.sha2(F.col("edited").cast("binary"), 256).alias("edited_sha256"),
-        written("own").alias("fingerprint"),
-        written("other").alias("edited_fingerprint"),
+        written("own.kept").alias("fingerprint"),
+        written("other.kept").alias("edited_fingerprint"),
         likeness("own", "other").alias("near_edited"),
         likeness("own", "next_own").alias("near_next"),
-        written("roll.kept").alias("rolled"),
-        written("other_roll.kept").alias("edited_rolled"),
-        rolled_likeness("roll", "other_roll").alias("rolled_near_edited"),
-        rolled_likeness("roll", "next_roll").alias("rolled_near_next"),
     )

@@ -17,7 +17,8 @@ array. Only (interval, place) pairs are shuffled. A maximal repeated run with en
 words is the union of the shortest ones inside it, taken from both sides, so marking
 those marks every maximal run in full.
 
-Null text has no lines. Rows that are equal in doc_id and text count as one
+Null text has no lines. An empty table gives no rows, and documents keep their other columns, whatever
+their names. Rows that are equal in doc_id and text count as one
 document. A null doc_id orders first. Words lie between ASCII white space; empty
 lines are lines.
 """
@@ -56,12 +57,15 @@ def _runs(words: int) -> Column:
     forward = f"""transform(lines, (x, p) -> aggregate({descent}, named_struct('n', 0, 'w', 0), (s, j) ->
         if(p + s.n + {step} < size(lines) and s.w + levels[j][p + s.n].words < {words},
            named_struct('n', s.n + {step}, 'w', s.w + levels[j][p + s.n].words), s),
-        s -> if(s.w + levels[0][p + s.n].words >= {words}, named_struct('from', p, 'to', p + s.n + 1), null)))"""
+        s -> if(s.w + levels[0][p + s.n].words >= {words}, shiftleft(cast(s.n + 1 as bigint), 32) + p, null)))"""
     backward = f"""transform(lines, (x, p) -> aggregate({descent}, named_struct('n', 0, 'w', 0), (s, j) ->
         if(p - s.n - {step} >= 0 and s.w + levels[j][p - s.n - {step} + 1].words < {words},
            named_struct('n', s.n + {step}, 'w', s.w + levels[j][p - s.n - {step} + 1].words), s),
-        s -> if(s.w + levels[0][p - s.n].words >= {words}, named_struct('from', p - s.n, 'to', p + 1), null)))"""
-    return F.expr(f"array_distinct(filter(concat({forward}, {backward}), r -> r is not null))")
+        s -> if(s.w + levels[0][p - s.n].words >= {words}, shiftleft(cast(s.n + 1 as bigint), 32) + p - s.n, null)))"""
+    # a run is one number here, its length above its start: numbers are compared by hash, structs one with another,
+    # and the hash of a number is its halves' exclusive or, which a start above an end would make alike
+    distinct = f"array_distinct(filter(concat({forward}, {backward}), r -> r is not null))"
+    return F.expr(f"transform({distinct}, r -> named_struct('from', cast(r & 4294967295 as int), 'to', cast((r & 4294967295) + shiftright(r, 32) as int)))")
 
 
 def repeated_runs(docs: DataFrame, words: int = WORDS) -> DataFrame:
@@ -83,42 +87,56 @@ def repeated_runs(docs: DataFrame, words: int = WORDS) -> DataFrame:
     )
 
 
+def _merged(runs: str) -> str:
+    """Maximal runs of lines, in order, from runs that may overlap or touch.
+
+    The furthest end up to each run is found by doubling; a run that starts
+    beyond it begins a new maximal one.
+    """
+    furthest = """aggregate(sequence(0, greatest(0, cast(ceil(log2(size(s))) as int) - 1)), transform(s, r -> r.to), (acc, j) ->
+        transform(acc, (x, i) -> if(i >= cast(shiftleft(1, j) as int), greatest(x, acc[i - cast(shiftleft(1, j) as int)]), x)))"""
+    starts = "filter(transform(s, (r, i) -> if(i = 0 or r.from > m[i - 1], i, null)), i -> i is not null)"
+    whole = "transform(b, (i, k) -> named_struct('from', s[i].from, 'to', m[if(k + 1 < size(b), b[k + 1], size(s)) - 1]))"
+    for name, value in (("b", starts), ("m", furthest), ("s", f"array_sort({runs})")):
+        whole = f"transform(array({value}), {name} -> {whole})[0]"
+    return whole
+
+
 def _marked(docs: DataFrame, words: int) -> DataFrame:
-    """docs with ``_lines``, ``_gone`` (maximal runs of lines that go, in order)."""
-    copies = repeated_runs(docs, words).select(F.col("doc_id").alias("_doc"), F.col("row_hash").alias("_hash"), F.col("runs").alias("_runs"))
-    same = docs["doc_id"].eqNullSafe(copies["_doc"]) & (F.xxhash64(docs["text"].cast("string")) == copies["_hash"])
-    merged = """aggregate(array_sort(_runs), cast(array() as array<struct<from:int,to:int>>), (acc, r) ->
-        if(size(acc) > 0 and r.from <= element_at(acc, -1).to,
-           concat(slice(acc, 1, size(acc) - 1), array(named_struct('from', element_at(acc, -1).from, 'to', greatest(element_at(acc, -1).to, r.to)))),
-           concat(acc, array(r))))"""
-    joined = docs.join(copies, same, "left").drop("_doc", "_hash")
-    return joined.withColumn("_lines", F.coalesce(_lines("cast(text as string)"), F.array().cast("array<string>"))).withColumn(
-        "_gone", F.when(F.col("_runs").isNull(), F.array().cast("array<struct<from:int,to:int>>")).otherwise(F.expr(merged))
+    """``row`` (the document with all its columns), ``lines`` and ``gone`` (maximal runs of lines that go, in order)."""
+    copies = repeated_runs(docs, words).select(F.col("doc_id").alias("own_id"), F.col("row_hash").alias("own_hash"), "runs")
+    rows = docs.select(F.struct("*").alias("row"))  # its columns may have any names
+    same = F.col("row.doc_id").eqNullSafe(F.col("own_id")) & (F.xxhash64(F.col("row.text").cast("string")) == F.col("own_hash"))
+    nothing = F.array().cast("array<struct<from:int,to:int>>")
+    return rows.join(copies, same, "left").select(
+        "row",
+        F.coalesce(_lines("cast(row.text as string)"), F.array().cast("array<string>")).alias("lines"),
+        F.when(F.col("runs").isNull(), nothing).otherwise(F.expr(_merged("runs"))).alias("gone"),
     )
 
 
 #: What stays: the lines before, between and after the runs that go.
-_KEPT = """array_join(flatten(transform(sequence(0, size(_gone)), k -> slice(_lines,
-    if(k = 0, 0, _gone[k - 1].to) + 1,
-    greatest(0, if(k = size(_gone), size(_lines), _gone[k].from) - if(k = 0, 0, _gone[k - 1].to))))), '\\n')"""
+_KEPT = """array_join(flatten(transform(sequence(0, size(gone)), k -> slice(lines,
+    if(k = 0, 0, gone[k - 1].to) + 1,
+    greatest(0, if(k = size(gone), size(lines), gone[k].from) - if(k = 0, 0, gone[k - 1].to))))), '\\n')"""
 
 
 def summary(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """Per row: doc_id, n_lines, n_removed, n_runs (maximal runs removed) and kept_sha256 of the lines that stay."""
     given = docs.select("doc_id", F.col("text").cast("string").alias("text"))
     return _marked(given, words).select(
-        "doc_id",
-        F.size("_lines").cast("long").alias("n_lines"),
-        F.expr("aggregate(_gone, 0L, (s, r) -> s + r.to - r.from)").alias("n_removed"),
-        F.size("_gone").cast("long").alias("n_runs"),
+        F.col("row.doc_id").alias("doc_id"),
+        F.size("lines").cast("long").alias("n_lines"),
+        F.expr("aggregate(gone, 0L, (s, r) -> s + r.to - r.from)").alias("n_removed"),
+        F.size("gone").cast("long").alias("n_runs"),
         F.sha2(F.expr(_KEPT).cast("binary"), 256).alias("kept_sha256"),
     )
 
 
 def without_copies(docs: DataFrame, words: int = WORDS) -> DataFrame:
     """The documents, with all their columns, without the copies of lines. A document with nothing left but copies goes."""
-    columns = docs.columns
     marked = _marked(docs, words)
-    kept = marked.filter("size(_gone) = 0 or aggregate(_gone, 0, (s, r) -> s + r.to - r.from) < size(_lines)")
-    text = F.when(F.size("_gone") == 0, F.col("text")).otherwise(F.expr(_KEPT))
-    return kept.withColumn("text", text).select(*columns)
+    kept = marked.filter("size(gone) = 0 or aggregate(gone, 0, (s, r) -> s + r.to - r.from) < size(lines)")
+    text = F.when(F.size("gone") == 0, F.col("row.text")).otherwise(F.expr(_KEPT))
+    columns = [F.col("row").getField(c).alias(c) if c != "text" else text.alias(c) for c in docs.columns]
+    return kept.select(*columns)
