@@ -7,7 +7,8 @@ its bytes. Each worker keeps the results for pre-tokens it has seen, up to
 ``REMEMBERED`` of them.
 
 A null text encodes to no ids. A repeated row is encoded again. Lone surrogates
-cannot occur: Spark strings are UTF-8.
+cannot occur: Spark strings are UTF-8. Texts of any length are encoded whole. An empty
+table gives no rows, and other columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations

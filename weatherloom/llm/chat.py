@@ -58,7 +58,7 @@ def unescaped_role(role: str) -> str:
 
 
 def tokens_of(text: Column) -> Column:
-    """Tokens of a turn: a quarter of its bytes, rounded up, and five for the marks."""
+    """Tokens of a turn, estimated: a quarter of its bytes, rounded up, and five for the marks. No tokenizer is asked."""
     return F.ceil(F.octet_length(text) / 4) + 5
 
 

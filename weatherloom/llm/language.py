@@ -6,7 +6,8 @@ of its texts: up to ``SAMPLE`` documents, chosen by a hash of the id, and up to
 whole text, in lower case, is then compressed with each dictionary; the smallest wins. When the runner-up is
 within ``margin`` of it, the answer is marked as rejected. A text without a
 letter, or null, is ``und`` with score 0 and rejected. Ties go to the language
-with more learned documents, then to the first name.
+with more learned documents, then to the first name. Repeated rows are judged alike, an
+empty table gives no rows, and other columns, whatever their names, are not looked at.
 
 The score is the share the winner gets when every language is weighted by two to
 the power of minus the bits it needs more than the winner, spread over the

@@ -13,7 +13,8 @@ at most ``SAMPLE`` rows in the order of a hash of the id, and of these as many a
 ``TRAIN_BYTES`` hold together; a text that is larger alone is passed over. Only text
 and label are used. Scores are given for whole texts of any length; empty and
 null texts get the share of good documents in the sample. Without both labels
-to learn from, every score is that share (0.5 if there is none).
+to learn from, every score is that share (0.5 if there is none). Repeated rows score alike, equal
+scores need no order, and an empty table gives no rows.
 """
 
 from __future__ import annotations

@@ -1,4 +1,4 @@
-"""Bytes of strings that stand twice, by bucket-pointer refinement over anchored suffixes.
+"""Bytes of strings that stand twice, by buckets of anchored suffixes and one hash for each string.
 
 Every ``LENGTH``-byte string that starts at two places of the corpus (never across documents) is
 removed wherever it stands, byte by byte, judged on the input.
@@ -8,9 +8,9 @@ removed wherever it stands, byte by byte, judged on the input.
   Of all places only anchors are shuffled: the anchor of a ``LENGTH``-byte string is the place inside it whose
   gram has the smallest name. Equal strings have equal anchors, so a string that stands twice has its anchor in a
   bucket of two suffixes or more; buckets of one are finished and leave.
-* **Refinement.** A suffix that remains brings along the bytes of the strings whose anchor it
-  is. Inside a bucket the names of all these strings follow from the buckets of later offsets (8, 16,
-  32, 64, 128 bytes on, each level reused by the next); strings that share a name stand twice. Those between
+* **Comparison.** No bucket is refined and no order of suffixes is made: a suffix that remains brings along the bytes of the strings whose anchor it
+  is. Inside a bucket each of these strings gets one 64-bit name, built by doubling from the names of its
+  parts (8, 16, 32, 64, 128 bytes); strings that share a name count as equal, bytes are not compared. Those between
   the first and the last found of one anchor overlap, so two numbers an anchor say what is covered.
 * **Repetitions inside a document.** Where the same surroundings come again in one document (periodic
   text) they are covered, and one of them goes on.

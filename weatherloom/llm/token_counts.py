@@ -1,21 +1,18 @@
-"""Token counts of a lower-casing BPE with word ends, by a transducer compiled on demand.
+"""Token counts of a lower-casing BPE with word ends, by a search over vocabulary entries with a cache of token pairs.
 
 The tokenizer file is read as it stands (NFC, white space to one space, lower
 case, pieces by pattern, byte-level BPE whose last symbol of a piece carries the
-end-of-word mark). Its vocabulary becomes a deterministic transducer over the
-symbols of a piece: the state after a symbol names the last token of the prefix,
-of which exactly one fits its predecessor, and the transition carries the number
-of tokens emitted so far less that of the state before. Whether two tokens may
-stand next to each other is worked out by the merges once per pair and kept; the
-transducer of all reachable states is far too large to be built beforehand, so
-only visited transitions are.
-
-A text is cut into chunks at white space, or where a piece certainly ends, and
-each chunk maps the one state at a cut to itself plus a count, so chunks compose
-by addition in a prefix scan. Special strings in a text are one token each, as
+end-of-word mark). At each symbol of a piece exactly one vocabulary entry ends the
+prefix and fits the one before it. Whether two tokens may stand next to each other is worked
+out by the merges once per pair and kept. No table of states and transitions is
+built, and no maps of chunks: pieces do not depend on one another.
+
+A text is cut into chunks at white space, or where a piece certainly ends, whose
+counts are added up in one process. Special strings in a text are one token each, as
 the library counts them by default.
 
-Null and empty texts have no tokens.
+Null and empty texts have no tokens. Repeated rows are counted again, there are no ties, an
+empty table gives no rows, and other columns, whatever their names, are not looked at.
 """
 
 from __future__ import annotations
