@@ -20,6 +20,7 @@ scores need no order, and an empty table gives no rows.
 from __future__ import annotations
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
@@ -34,6 +35,7 @@ WIDTH, SPAN, STRIDE, FILTERS, HIDDEN, SEGMENT = 6, 8, 4, 16, 12, 64
 LAG = 28
 CHANNELS = WIDTH + 1
 EPOCHS, RATE = 8, 0.01
+STEP = 128
 
 Weights = dict[str, np.ndarray]
 
@@ -199,8 +201,10 @@ def scored(docs: DataFrame, weights: Weights) -> DataFrame:
 def accepted(docs: DataFrame, weights: Weights, threshold: float = THRESHOLD) -> DataFrame:
     """The documents, with all their columns, that score the threshold or more."""
 
-    @F.pandas_udf("double")
-    def score(texts):  # noqa: ANN001, ANN202
-        return texts.map(lambda t: probability(t, weights))
+    @F.arrow_udf("double")
+    def score(texts: pa.Array) -> pa.Array:
+        # some texts at a time become Python's; a batch of them whole would take several times its bytes
+        parts = (texts.slice(i, STEP).to_pylist() for i in range(0, len(texts), STEP))
+        return pa.array([probability(t, weights) for part in parts for t in part], pa.float64())
 
     return docs.filter(score(F.col("text").cast("string")) >= threshold)
