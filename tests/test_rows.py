@@ -212,3 +212,41 @@ def test_initial_batches(spark):
     df = spark.range(1, 2502).transform(project.initial_batch_ids, 1000)
     got = {r[0]: r[1] for r in df.groupBy("batch_id").count().collect()}
     assert got == {"initial_batch_0000": 1000, "initial_batch_0001": 1000, "initial_batch_0002": 501}
+
+
+def _keyed(df):
+    return [(r.timestamp, r.id) for r in df.collect()]
+
+
+@pytest.mark.parametrize("keys", [1, 3, 100_000])
+def test_indexed_pages_are_the_plain_ones(spark, keys):
+    times = [None, "2024-01-01", "2024-01-02", "2024-01-02", "2024-01-03", "2024-01-05"]
+    data = [(times[i % 6], i // 2 if i % 7 else None) for i in range(60)] + [("2024-01-02", 5)] * 8
+    df = spark.createDataFrame(data, "timestamp string, id long").withColumn("timestamp", F.col("timestamp").cast("timestamp_ntz"))
+    df = df.repartition(5).withColumn("before", F.lit("kept"))
+    index = latest.page_index(df, keys=keys)
+    assert index.agg(F.sum("rows")).first()[0] == df.count()
+    whole = _keyed(latest.page(df, 0, 1000))
+    for offset in (0, 9, 25, 38, 55, 66, 70):
+        assert _keyed(latest.indexed_page(df, index, offset, 9)) == whole[offset : offset + 9]
+    assert latest.indexed_page(df, index, 500, 7).columns == df.columns
+    empty = latest.page_index(df.limit(0), keys=keys)
+    assert latest.indexed_page(df, empty, 0, 7).count() == 0
+
+
+def test_an_indexed_page_reads_its_range(spark, tmp_path, capsys):
+    rows = spark.range(1000).selectExpr("id", "TIMESTAMP_NTZ '2024-01-01' + id * INTERVAL 1 HOUR AS timestamp", "repeat('x', 9) AS wide")
+    rows.write.parquet(str(tmp_path / "t"))
+    df = spark.read.parquet(str(tmp_path / "t"))
+    page = latest.indexed_page(df, latest.page_index(df, keys=50), 700, 10)
+    assert [r.id for r in page.collect()] == list(range(299, 289, -1))
+    bounds = "LessThanOrEqual(timestamp,2024-01-13T11:00), GreaterThanOrEqual(timestamp,2024-01-11T10:00)"
+    page.explain("formatted")
+    shown = capsys.readouterr().out
+    assert bounds in shown and "rangepartitioning" not in shown
+
+
+def test_an_indexed_page_by_instants(spark):
+    df = spark.range(300).selectExpr("id", "timestamp_micros(1700000000000000 + id) AS timestamp")
+    page = latest.indexed_page(df, latest.page_index(df, keys=20), 111, 5)
+    assert [r.id for r in page.collect()] == [188, 187, 186, 185, 184]

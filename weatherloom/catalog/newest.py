@@ -79,6 +79,17 @@ def page_offset_limit(spark, sf_dir):
     return readings(spark, sf_dir).transform(latest.page, 200, 100)
 
 
+@registered(
+    "page_offset_deep",
+    f"""SELECT {READING} FROM (SELECT *, row_number() OVER (ORDER BY "timestamp" DESC, id DESC) - 1 AS place FROM readings)
+       WHERE place >= (SELECT count(*) // 2 FROM readings) AND place < (SELECT count(*) // 2 FROM readings) + 100""",
+)
+def page_offset_deep(spark, sf_dir):
+    df = readings(spark, sf_dir)
+    index = latest.page_index(df)
+    return latest.indexed_page(df, index, df.count() // 2, 100)
+
+
 KEYSET_MARK = f"""mark AS (SELECT "timestamp" AS t, id AS i FROM readings
     WHERE "timestamp" < TIMESTAMP '{HALFWAY}' ORDER BY "timestamp" DESC, id DESC LIMIT 1)"""
 
