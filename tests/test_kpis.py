@@ -109,3 +109,21 @@ def test_anomalies(spark):
     df = spark.createDataFrame(calm + [("a", 99.0), ("b", 5.0), ("b", 5.0), ("b", None)], "sensor_id string, temperature double")
     got = {r.sensor_id: (r.readings, r.anomalies) for r in sensors.anomaly_rate_per_sensor(df).collect()}
     assert got == {"a": (51, 1), "b": (3, 0)}
+
+
+@pytest.mark.parametrize("kept", ["true", "sensor_id = 'TEMP_001'", "false"])
+def test_tables_from_parts(spark, seed, as_rows, kept):
+    gaps = spark.createDataFrame([(None, None, 40.0, None, None), ("TEMP_001", 30.5, None, 990.0, None), ("TEMP_009", None, None, None, "X")], seed.schema)
+    df = seed.unionByName(gaps).filter(kept).withColumn("pm25", F.col("temperature") * 2).withColumn("timestamp", F.lit("2024-01-01").cast("timestamp_ntz"))
+    held = kpis.parts(df, "2024-01-02")
+    got, want = kpis.wide_of_parts(held).first().asDict(), kpis.wide(df).first().asDict()
+    assert list(got) == list(want)
+    assert got == {k: pytest.approx(v) if isinstance(v, float) else v for k, v in want.items()}
+    got, want = (as_rows(d) for d in (sensors.statistics_of_parts(held), sensors.statistics(df)))
+    assert len(got) == len(want)
+    for one, other in zip(got, want):
+        assert one == tuple(pytest.approx(v) if isinstance(v, float) else v for v in other)
+
+
+def test_parts_read_no_more_than_is_used(spark, sf_dir, plan):
+    assert "var_pop" not in plan(kpis.long_table(readings(spark, sf_dir)))

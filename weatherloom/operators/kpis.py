@@ -3,7 +3,7 @@
 The long table costs one pass over the readings. Readings are reduced to one
 row of mergeable parts (counts, sums, extremes) per sensor and location; the
 grouping sets for the global, per-sensor and per-location rows then run over
-those few rows only.
+those few rows only. The wide row can be had from the same parts.
 """
 
 from __future__ import annotations
@@ -194,17 +194,18 @@ def _quality_parts() -> list[Column]:
     ]
 
 
-def _parts(df: DataFrame, as_of: Column) -> DataFrame:
-    """Mergeable parts of every KPI, one row per sensor and location."""
-    measured = ("temperature", "humidity", "pressure")
+MEASURED = ("temperature", "humidity", "pressure")
+
+
+def parts(df: DataFrame, as_of=None) -> DataFrame:
+    """Mergeable parts of every KPI, one row per sensor and location. Parts that a reader does not use cost it nothing."""
+    held = [*MEASURED, *(["pm25"] if "pm25" in df.columns else [])]
     return df.groupBy("sensor_id", "location").agg(
         F.count(F.lit(1)).alias("readings"),
-        *[F.sum(c).alias(f"sum_{c}") for c in measured],
-        *[F.count(c).alias(f"n_{c}") for c in measured],
-        F.max("temperature").alias("max_temperature"),
-        F.min("temperature").alias("min_temperature"),
+        *[f(c).alias(f"{name}_{c}") for name, f in (("sum", F.sum), ("n", F.count), ("max", F.max), ("min", F.min)) for c in held],
+        F.var_pop("temperature").alias("variance_temperature"),
         *([] if "data_quality_score" not in df.columns else _quality_parts()),
-        *[c.alias(k) for k, c in _since(as_of).items()],
+        *[c.alias(k) for k, c in _since(times.moment(as_of)).items()],
         *[c.alias(k) for k, c in alert_counts().items()],
     )
 
@@ -214,9 +215,13 @@ def long_table(df: DataFrame, as_of=None, generated_at=None) -> DataFrame:
 
     Rows on the quality score are there if the readings carry one.
     """
-    as_of = times.moment(as_of)
-    measured = ("temperature", "humidity", "pressure")
-    scored = "data_quality_score" in df.columns
+    return long_of_parts(parts(df, as_of), generated_at)
+
+
+def long_of_parts(held: DataFrame, generated_at=None) -> DataFrame:
+    """The long table from :func:`parts`."""
+    measured = MEASURED
+    scored = "sum_quality" in held.columns
     summed = (
         ["readings"]
         + (["sum_quality", "n_quality", "high_quality"] if scored else [])
@@ -225,8 +230,7 @@ def long_table(df: DataFrame, as_of=None, generated_at=None) -> DataFrame:
         + list(V.ALERT_KPIS)
     )
     groups = (
-        _parts(df, as_of)
-        .groupingSets([[], ["sensor_id"], ["location"]], "sensor_id", "location")
+        held.groupingSets([[], ["sensor_id"], ["location"]], "sensor_id", "location")
         .agg(
             F.grouping_id().alias("level"),
             *[F.sum(c).alias(c) for c in summed],
@@ -287,6 +291,10 @@ def wide(
         ],
         *[c.alias(k) for k, c in counts.items()],
     )
+    return _wide_columns(row, air_quality, list(counts))
+
+
+def _wide_columns(row: DataFrame, air_quality, counts: list[str]) -> DataFrame:
     if "pm25_avg" in row.columns:
         row = row.withColumn("air_quality_category", air_quality(F.col("pm25_avg")))
     if counts:
@@ -294,6 +302,25 @@ def wide(
     return row.select(*[c for c in V.WIDE_KPI_COLUMNS if c in row.columns])
 
 
+def wide_of_parts(held: DataFrame) -> DataFrame:
+    """The wide row from :func:`parts`; squared deviations are merged around the mean of all readings."""
+    counts = list(alert_counts())
+    mean = held.agg(F.try_divide(F.sum("sum_temperature"), F.sum("n_temperature"))).scalar()
+    n, own = F.col("n_temperature"), F.try_divide("sum_temperature", "n_temperature")
+    squares = F.sum(n * (F.col("variance_temperature") + (own - mean) * (own - mean)))
+    measures = [c for c in ("temperature", "humidity", "pm25", "pressure") if f"n_{c}" in held.columns]
+    values = {"temperature_std": F.sqrt(F.try_divide(squares, F.sum(n) - 1))}
+    for c in measures:
+        values |= {f"{c}_avg": F.try_divide(F.sum(f"sum_{c}"), F.sum(f"n_{c}")), f"{c}_max": F.max(f"max_{c}"), f"{c}_min": F.min(f"min_{c}")}
+    row = held.agg(
+        F.coalesce(F.sum("readings"), F.lit(0)).alias("total_readings"),
+        F.count_distinct("sensor_id").alias("unique_sensors"),
+        *[F.coalesce(v.cast("double"), F.lit(0.0)).alias(k) for k, v in values.items() if k in V.WIDE_KPI_COLUMNS],
+        *[F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in counts],
+    )
+    return _wide_columns(row, ladders.air_quality_four, counts)
+
+
 def wide_notebook(df: DataFrame) -> DataFrame:
     """The wide row in its second variant: five air bands, a lower cold limit."""
     return wide(df, V.LOW_TEMPERATURE_NOTEBOOK, ladders.air_quality_five, count_missing_sensor=True)

@@ -23,6 +23,17 @@ def statistics(df: DataFrame) -> DataFrame:
     )
 
 
+def statistics_of_parts(held: DataFrame) -> DataFrame:
+    """The same statistics from :func:`kpis.parts`."""
+    return held.groupBy("sensor_id").agg(
+        F.sum("readings").alias("readings_count"),
+        F.try_divide(F.sum("sum_temperature"), F.sum("n_temperature")).alias("temp_avg"),
+        F.max("max_temperature").alias("temp_max"),
+        F.min("min_temperature").alias("temp_min"),
+        F.try_divide(F.sum("sum_humidity"), F.sum("n_humidity")).alias("humidity_avg"),
+    )
+
+
 def statistics_ranked(df: DataFrame) -> DataFrame:
     """The same, busiest sensor first."""
     return statistics(df).orderBy(F.desc("readings_count"), "sensor_id")

@@ -19,6 +19,7 @@ from weatherloom import schemas
 from weatherloom.functions import times
 from weatherloom.operators import kpis, latest, sensors
 from weatherloom.plans import cleaning, increments
+from weatherloom.session import cut_lineage
 from weatherloom.sinks import audit, commits, export, lake, storage
 from weatherloom.sinks.lake import Lake
 
@@ -83,12 +84,15 @@ def silver_of(spark: SparkSession, store: Lake) -> DataFrame:
 
 
 def silver_to_gold(spark: SparkSession, store: Lake, as_of=None, at=None) -> None:
-    """Write the wide KPI row, the sensor statistics and the long KPI table."""
-    silver = silver_of(spark, store)
+    """Write the wide KPI row, the sensor statistics and the long KPI table.
+
+    Silver is scanned once, into parts per sensor and location; the three tables come from these.
+    """
+    held = cut_lineage(silver_of(spark, store).transform(kpis.parts, as_of))
     at = times.moment(at)
-    lake.write_snapshot(silver.transform(kpis.wide).transform(kpis.stamped, at), store.gold_table(WIDE))
-    lake.write_snapshot(silver.transform(sensors.statistics), store.gold_table(SENSORS))
-    lake.write_snapshot(silver.transform(kpis.long_table, as_of, at), store.gold_table(LONG))
+    lake.write_snapshot(held.transform(kpis.wide_of_parts).transform(kpis.stamped, at), store.gold_table(WIDE))
+    lake.write_snapshot(held.transform(sensors.statistics_of_parts), store.gold_table(SENSORS))
+    lake.write_snapshot(held.transform(kpis.long_of_parts, at), store.gold_table(LONG))
     row = audit.kpi_row(
         lake.read_snapshot(spark, store.gold_table(WIDE)).drop("timestamp", "generation_time"),
         lake.read_snapshot(spark, store.gold_table(SENSORS)),
