@@ -50,7 +50,7 @@ STAGES = [
     ("byte-level BPE", tokenised),
 ]
 
-#: SQL cannot score a network; tests look at the columns and falling counts of the stages only.
+#: SQL cannot score a network; tests hold each stage against brute force on its own input.
 ORACLE_SQL = None
 
 
