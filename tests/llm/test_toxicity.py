@@ -161,3 +161,86 @@ def test_held_out_rows(spark):
     hit = ((F.col("score") >= T.THRESHOLD).cast("int") == F.col("toxic")).cast("int")
     n, right, by_lang = own.agg(F.count("*"), F.avg(hit), F.avg((F.col("flagged") == F.col("toxic")).cast("int"))).first()
     assert n > 700 and right > 0.96 and by_lang > 0.96
+
+
+MANY = [f"{a}{b}" for a in ("vilo", "grum", "nast", "zork", "plif", "drax") for b in ("mek", "tun", "gor", "hib")]
+
+
+def table(spark, n, seed=3):
+    """Documents of which every third holds one of ``MANY`` words, in languages that differ."""
+    rng = np.random.default_rng(seed)
+    rows = []
+    for i in range(n):
+        words = [f"w{x}" for x in rng.integers(0, 60, rng.integers(4, 12))]
+        if i % 3 == 0:
+            words[int(rng.integers(0, len(words)))] = MANY[int(rng.integers(0, len(MANY)))]
+        rows.append((i, " ".join(words), "ab"[i % 2], int(i % 3 == 0)))
+    return spark.createDataFrame(rows, "doc_id long, text string, lang string, toxic int")
+
+
+def test_all_rows_are_learned_from(spark):
+    docs = table(spark, 4000).repartition(4).cache()
+    weights, cuts = T.learned(docs, docs, sample=8)
+    score, fresh = T.Scorer(weights), table(spark, 300, 11).collect()
+    assert np.mean([(score(r.text) >= 0.5) == bool(r.toxic) for r in fresh]) > 0.95  # 8 rows hold a third of the words at most
+    assert set(cuts) == {None, "a", "b"}  # 20 calibrating rows of a label, more than 8 rows hold
+
+
+def test_long_texts_are_learned_from(spark):
+    docs = table(spark, 400).withColumn("text", F.expr("if(toxic = 1, concat(repeat('w1 w2 ', 300), text), text)"))
+    weights, _ = T.learned(docs, docs, size=1000)  # toxic texts are larger, each alone
+    score = T.Scorer(weights)
+    assert len({score(r.text) for r in docs.limit(20).collect()}) > 1
+
+
+def test_a_row_outside_the_sample_moves_the_network(spark):
+    docs = table(spark, 300)
+    one = docs.withColumn("text", F.when(F.col("doc_id") == 7, F.lit("quite another text")).otherwise(F.col("text")))
+    start = T.fitted(*made(30), 1 / 3)
+    rows = [T.labelled(d, d) for d in (docs, one)]
+    assert all(r.filter("doc_id = 7").count() == 1 for r in rows)
+    moved = [T.trained(r, start, shard=50) for r in (*rows, rows[0].repartition(5))]
+    assert not np.array_equal(moved[0]["places"], moved[1]["places"])
+    for k in start:  # and how the rows lie does not
+        assert np.array_equal(moved[0][k], moved[2][k]), k
+
+
+def test_moves_of_shards_are_averaged(spark):
+    docs = table(spark, 200).withColumn("hash", F.xxhash64("text"))
+    start = T.fitted(*made(30), 1 / 3)
+    turn, rate = F.lit(0), T.LATER_RATE
+    order = F.xxhash64("doc_id", "toxic", "hash", turn)
+    rows = docs.withColumn("order", order).withColumn("shard", F.pmod("order", F.lit(4))).orderBy("order").collect()
+    balance = (0.5 * 200 / 133, 0.5 * 200 / 67)
+    after = [T.continued([(r.text, r.toxic) for r in rows if r.shard == s], start, balance, rate, s) for s in range(4)]
+    moves = np.array([T._table(a).astype(float) - T._table(start) for a in after])
+    n = np.maximum(1, (np.abs(moves).max(axis=2) > 1e-9).sum(axis=0))
+    with pytest.MonkeyPatch.context() as m:
+        m.setattr(T, "ROUNDS", 1)
+        got = T.trained(docs, start, shard=50)
+    assert np.allclose(T._table(got), T._table(start) + moves.sum(axis=0) / n[:, None], atol=1e-5)
+
+
+def test_training_by_pieces_makes_no_difference(weights, monkeypatch):
+    monkeypatch.setattr(T, "DROPPED", 0)
+    rows = list(zip([" ".join(made(12, 8)[0]), *made(40, 9)[0]], [1, *made(40, 9)[1]], strict=True))
+    whole = T.continued(rows, weights, (1, 1), 0.1, 1)
+    monkeypatch.setattr(T, "PIECE", 30)
+    monkeypatch.setattr(T, "KNOWN_WORDS", 5)
+    small = T.continued(rows, weights, (1, 1), 0.1, 1)
+    assert all(np.allclose(whole[k], small[k], atol=1e-4) for k in whole)
+
+
+def test_counts_stand_for_rows(spark, weights):
+    rng = np.random.default_rng(2)
+    scores, toxic, n = rng.integers(0, 40, 200) / 40, rng.integers(0, 2, 200), rng.integers(1, 9, 200)
+    plainly = T.best_threshold(np.repeat(scores, n), np.repeat(toxic, n), (0.7, 0.3))
+    assert T.best_threshold(scores, toxic, (0.7, 0.3), n) == plainly
+    docs = table(spark, 500)
+    found, score = T.counted(docs, weights).collect(), T.Scorer(weights)
+    assert sum(r.n for r in found) == 500
+    for cut in (0.25, 0.5, 0.75):
+        wanted = sum(score(r.text) < cut for r in docs.filter("lang = 'a' and toxic = 1").collect())
+        assert sum(r.n for r in found if r.lang == "a" and r.toxic == 1 and r.score < cut) == wanted
+    cuts = T.language_thresholds(docs, weights, (2 / 3, 1 / 3))
+    assert set(cuts) == {None, "a", "b"}

@@ -7,13 +7,18 @@ hashed places: one for the word, one for its first and one for its last
 widths in ``SPANS`` run over the words of the whole text, each one's rectified
 answer is max-pooled over all places, and a logistic unit makes one probability.
 
-The network is fitted on a bounded sample of whole labelled texts that are not held
-out: per label at most ``SAMPLE`` rows in the order of a hash of the id, and of
-these as many as ``TRAIN_BYTES`` hold together; a text larger alone is passed
-over. A fifth of the sample is kept from fitting for calibration: the threshold that
-makes the fewest errors there, labels weighed by their shares of all labelled rows,
-becomes one half by a shift of the last bias; then a threshold is found for each
-language.
+The network learns from every labelled row that is not held out, whole texts of any
+length. Its weights start from a fit in one process, on at most ``SAMPLE`` rows and
+``TRAIN_BYTES`` a label. Then come ``ROUNDS`` passes over all rows: each deals them
+out anew in shards of some ``SHARD`` rows, a task goes on from the common weights
+through one shard, and the moves of the shards are averaged, each weight over the
+shards that moved it. Only the network, whose size is fixed, comes to the driver.
+
+A fifth of the rows, by a hash of the id, is kept from fitting for calibration. All
+of them are scored and counted by label in ``GRID`` steps of the score: the step that
+makes the fewest errors, labels weighed by their shares of all labelled rows, becomes
+one half by a shift of the last bias; then a threshold is found for each language
+from all of its calibrating rows. Errors at a step are exact counts.
 
 A score depends on the text alone. ``flagged`` adds the decision at the threshold of
 the row's language; null, and a language with too few calibrating rows, take
@@ -29,14 +34,17 @@ names, are not looked at. Texts of any length are read whole, a piece at a time.
 from __future__ import annotations
 
 import zlib
-from collections.abc import Iterator
+from collections.abc import Iterable, Iterator
+from itertools import batched, groupby
 
 import numpy as np
+import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from weatherloom.llm.common import labelled_texts, map_rows, utf8
 from weatherloom.llm.language import held_out
+from weatherloom.session import cut_lineage
 
 SAMPLE = 2500
 TRAIN_BYTES = 12 << 20
@@ -47,8 +55,14 @@ PIECE = 1 << 20
 EPOCHS, BATCH, RATE, DECAY, DROPPED = 10, 16, 0.25, 1e-4, 0.3
 KNOWN_WORDS = 1 << 16
 LEAST_ROWS = 20
+ROUNDS, SHARD, LATER_RATE = 3, 4096, 0.1
+FINE = 1 << 30
+GRID = 1 << 16
+STEP = 128
 
 Weights = dict[str, np.ndarray]
+#: places of the different words of a piece, its words as rows of these, and whether it is the text's last
+Part = tuple[np.ndarray, np.ndarray, bool]
 
 _LOWER = bytes(32 if b < 128 and not chr(b).isalnum() else ord(chr(b).lower()) if b < 128 else b for b in range(256))
 
@@ -144,6 +158,20 @@ class Scorer:
         return 1 / (1 + np.exp(-min(30.0, max(-30.0, logit))))
 
 
+def started(rng: np.random.Generator) -> Weights:
+    return {
+        "places": (rng.standard_normal((BUCKETS, WIDTH)) * 0.1).astype(np.float32),
+        "filters": (rng.standard_normal((WIDTH, FILTERS * sum(SPANS))) / np.sqrt(WIDTH)).astype(np.float32),
+        "bias": np.zeros(POOLED, np.float32),
+        "out": (rng.standard_normal(POOLED) * 0.5).astype(np.float32),
+        "out_bias": np.zeros(1, np.float32),
+    }
+
+
+def _squares(w: Weights) -> Weights:
+    return {k: np.full(v.shape, 1e-2, np.float32) for k, v in w.items()}
+
+
 def fitted(texts: list[str], labels: list[int], share: float, seed: int = 5) -> Weights:
     """Train by Adagrad on batches, both labels with half of the weight; only the words at which a filter answers most get a gradient.
 
@@ -154,14 +182,8 @@ def fitted(texts: list[str], labels: list[int], share: float, seed: int = 5) ->
     if not len(toxic) or toxic.min() == toxic.max():
         return {"share": np.float64(share)}
     rng = np.random.default_rng(seed)
-    w: Weights = {
-        "places": (rng.standard_normal((BUCKETS, WIDTH)) * 0.1).astype(np.float32),
-        "filters": (rng.standard_normal((WIDTH, FILTERS * sum(SPANS))) / np.sqrt(WIDTH)).astype(np.float32),
-        "bias": np.zeros(POOLED, np.float32),
-        "out": (rng.standard_normal(POOLED) * 0.5).astype(np.float32),
-        "out_bias": np.zeros(1, np.float32),
-    }
-    squares = {k: np.full(v.shape, 1e-2, np.float32) for k, v in w.items()}
+    w = started(rng)
+    squares = _squares(w)
     read = [_read(t) for t in texts]
     usable = np.array([i for i, r in enumerate(read) if len(r[0])])
     weight = np.where(toxic == 1, 0.5 / toxic.mean(), 0.5 / (1 - toxic.mean()))
@@ -169,41 +191,79 @@ def fitted(texts: list[str], labels: list[int], share: float, seed: int = 5) ->
         rng.shuffle(usable)
         rate = RATE * (1 - epoch / EPOCHS)
         for batch in np.array_split(usable, max(1, len(usable) // BATCH)):
-            grads = {k: np.zeros_like(v) for k, v in w.items() if k != "places"}
-            touched, moves = [], []
-            for i in batch:
-                places, order = read[i]
-                kept = order[rng.random(len(order)) >= DROPPED]
-                at, move = back((places, kept if len(kept) else order), toxic[i], np.float32(weight[i]), w, grads)
-                touched.append(at)
-                moves.append(move)
-            rows, home = np.unique(np.concatenate(touched), return_inverse=True)
-            step = np.zeros((len(rows), WIDTH), np.float32)
-            np.add.at(step, home, np.concatenate(moves))
-            step = step / len(batch) + DECAY * w["places"][rows]
-            squares["places"][rows] += step * step
-            w["places"][rows] -= rate * step / np.sqrt(squares["places"][rows])
-            for k, g in grads.items():
-                g = g / len(batch) + (DECAY * w[k] if k in ("filters", "out") else 0)
-                squares[k] += g * g
-                w[k] -= rate * 0.2 * g / np.sqrt(squares[k])
+            _learn([(thinned([(*read[i], True)], rng), toxic[i], np.float32(weight[i])) for i in batch], w, squares, rate)
     return w | {"share": np.float64(share)}
 
 
-def _read(text: str) -> tuple[np.ndarray, np.ndarray]:
-    """Places of a text's different words, and the words of the text as rows of these."""
-    words = utf8(text).translate(_LOWER).split()
+def thinned(parts: Iterable[Part], rng: np.random.Generator) -> Iterator[Part]:
+    """The parts of a text without a share of ``DROPPED`` of their words."""
+    for places, order, last in parts:
+        kept = order[rng.random(len(order)) >= DROPPED]
+        yield places, kept if len(kept) else order, last
+
+
+def _learn(batch: list[tuple[Iterable[Part], np.float32, np.float32]], w: Weights, squares: Weights, rate: float) -> None:
+    """One step of Adagrad by a batch of texts with their labels and weights."""
+    grads = {k: np.zeros_like(v) for k, v in w.items() if k != "places"}
+    touched, moves = [], []
+    for parts, label, weight in batch:
+        at, move = back_parts(parts, label, weight, w, grads)
+        touched.append(at)
+        moves.append(move)
+    rows, home = np.unique(np.concatenate(touched), return_inverse=True)
+    step = np.zeros((len(rows), WIDTH), np.float32)
+    np.add.at(step, home, np.concatenate(moves))
+    step = step / len(batch) + DECAY * w["places"][rows]
+    squares["places"][rows] += step * step
+    w["places"][rows] -= rate * step / np.sqrt(squares["places"][rows])
+    for k, g in grads.items():
+        g = g / len(batch) + (DECAY * w[k] if k in ("filters", "out") else 0)
+        squares[k] += g * g
+        w[k] -= rate * 0.2 * g / np.sqrt(squares[k])
+
+
+def _placed(words: list[bytes], known: dict[bytes, tuple[int, int, int]]) -> tuple[np.ndarray, np.ndarray]:
+    """Places of the different words, and the words as rows of these; ``known`` remembers places."""
     different = list(dict.fromkeys(words))
     row = {w: i for i, w in enumerate(different)}
-    places = np.array([places_of(w) for w in different], np.int32).reshape(-1, 3)
+    if len(known) > KNOWN_WORDS:
+        known.clear()
+    for word in different:
+        if word not in known:
+            known[word] = places_of(word)
+    places = np.array([known[w] for w in different], np.int32).reshape(-1, 3)
     return places, np.array([row[w] for w in words], np.int32)
 
 
+def _read(text: str) -> tuple[np.ndarray, np.ndarray]:
+    """Places of a text's different words, and the words of the text as rows of these."""
+    return _placed(utf8(text).translate(_LOWER).split(), {})
+
+
+def winning(parts: Iterable[Part], w: Weights) -> tuple[np.ndarray, np.ndarray]:
+    """Greatest answer of each filter over all parts of a text, and the places of the words from there on (-1 beyond the end)."""
+    best = np.full(POOLED, -np.inf, np.float32)
+    words = np.full((POOLED, max(SPANS), 3), -1, np.int64)
+    for places, order, last in parts:
+        vectors = w["places"][places].mean(axis=1)
+        found, where = answers((vectors @ w["filters"])[order], w["bias"], last)
+        better = found > best
+        best[better] = found[better]
+        at = where[:, None] + np.arange(max(SPANS))
+        inside = better[:, None] & (at < len(order))
+        words[better] = -1
+        words[inside] = places[order[at[inside]]]
+    return best, words
+
+
 def back(read: tuple, label: np.float32, weight: np.float32, w: Weights, grads: Weights) -> tuple[np.ndarray, np.ndarray]:
     """Add one text's gradients; returns those of the word vectors by place."""
-    places, order = read
-    vectors = w["places"][places].mean(axis=1)
-    best, where = answers((vectors @ w["filters"])[order], w["bias"])
+    return back_parts([(*read, True)], label, weight, w, grads)
+
+
+def back_parts(parts: Iterable[Part], label: np.float32, weight: np.float32, w: Weights, grads: Weights) -> tuple[np.ndarray, np.ndarray]:
+    """``back`` of a text that is read a part at a time."""
+    best, words = winning(parts, w)
     top = np.maximum(best, 0)
     logit = np.clip(top @ w["out"] + w["out_bias"][0], -30, 30)
     error = weight * np.float32(1 / (1 + np.exp(-logit)) - label)
@@ -214,81 +274,200 @@ def back(read: tuple, label: np.float32, weight: np.float32, w: Weights, grads:
     touched, moves = [], []
     for span, offset, columns in BLOCKS:
         own = slice(SPANS.index(span) * FILTERS, (SPANS.index(span) + 1) * FILTERS)
-        inside = np.flatnonzero((where[own] + offset < len(order)) & (g[own] != 0))
+        inside = np.flatnonzero((words[own, offset, 0] >= 0) & (g[own] != 0))
         if not len(inside):
             continue
-        rows = order[where[own][inside] + offset]
+        rows = words[own, offset][inside]
         at = np.arange(columns.start, columns.stop)[inside]
-        grads["filters"][:, at] += vectors[rows].T * g[own][inside]
-        touched.append(places[rows].ravel())
+        grads["filters"][:, at] += w["places"][rows].mean(axis=1).T * g[own][inside]
+        touched.append(rows.ravel())
         moves.append(np.repeat(g[own][inside, None] * w["filters"][:, at].T / 3, 3, axis=0))
     if not touched:
         return np.empty(0, np.int64), np.empty((0, WIDTH), np.float32)
     return np.concatenate(touched), np.concatenate(moves)
 
 
-def best_threshold(scores: np.ndarray, toxic: np.ndarray, shares: tuple[float, float]) -> float:
-    """The middle between two scores that makes the fewest errors, labels weighed by their shares; of several the nearest to one half."""
+def continued(rows: Iterable[tuple[str, int]], weights: Weights, balance: tuple[float, float], rate: float, seed: int) -> Weights:
+    """The network after one pass over texts and labels; a batch of texts is held at a time, and a piece of one is read."""
+    w = {k: v.copy() for k, v in weights.items() if k != "share"}
+    squares, rng, known = _squares(w), np.random.default_rng(seed), {}
+
+    def parts(text: str) -> Iterator[Part]:
+        for words, last in pieces(utf8(text)):
+            if words:
+                yield *_placed(words, known), last
+
+    for batch in batched(rows, BATCH):
+        _learn([(thinned(parts(t), rng), np.float32(y), np.float32(balance[y])) for t, y in batch], w, squares, rate)
+    return w
+
+
+_DENSE = ("filters", "bias", "out", "out_bias")
+_MOVES = [f"m{i}" for i in range(WIDTH)]
+
+
+def _table(w: Weights) -> np.ndarray:
+    """All weights as rows of ``WIDTH``: a row for each place, then the others."""
+    rest = np.concatenate([w[k].ravel() for k in _DENSE])
+    return np.concatenate([w["places"], np.pad(rest, (0, -len(rest) % WIDTH)).reshape(-1, WIDTH)])
+
+
+def _untable(table: np.ndarray, like: Weights) -> Weights:
+    out, rest, at = dict(like), table[BUCKETS:].ravel(), 0
+    out["places"] = table[:BUCKETS].astype(np.float32)
+    for k in _DENSE:
+        out[k] = rest[at : at + like[k].size].reshape(like[k].shape).astype(np.float32)
+        at += like[k].size
+    return out
+
+
+def trained(rows: DataFrame, weights: Weights, shard: int = SHARD) -> Weights:
+    """The network after ``ROUNDS`` passes over all of (doc_id, toxic, hash, text), dealt out in shards of some ``shard`` rows.
+
+    A shard's moves are integers of one ``FINE``-th, whose sums do not depend on their order.
+    """
+    usable = rows.filter(F.col("text").rlike(r"[0-9A-Za-z]|[^\x00-\x7F]"))
+    sizes = {r["toxic"]: r["count"] for r in usable.groupBy("toxic").count().collect()}
+    if len(sizes) < 2:
+        return weights
+    if "out" not in weights:  # the first rows had one label only
+        weights = started(np.random.default_rng(5)) | weights
+    total = sum(sizes.values())
+    balance, shards = (0.5 * total / sizes[0], 0.5 * total / sizes[1]), -(-total // shard)
+    for turn in range(ROUNDS):
+        given, rate = weights, LATER_RATE * (1 - turn / ROUNDS)
+
+        def run(batches: Iterator[pa.RecordBatch], given: Weights = given, rate: float = rate) -> Iterator[pa.RecordBatch]:
+            parts = (b.slice(i, STEP).to_pylist() for b in batches for i in range(0, b.num_rows, STEP))
+            before = _table(given)
+            for own, group in groupby((r for part in parts for r in part), key=lambda r: r["shard"]):
+                after = continued(((r["text"], r["toxic"]) for r in group), given, balance, rate, own)
+                moves = np.rint((_table(after).astype(np.float64) - before) * FINE).astype(np.int64)
+                at = np.flatnonzero(moves.any(axis=1))
+                yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *map(pa.array, moves[at].T)], ["at", *_MOVES])
+
+        order = F.xxhash64("doc_id", "toxic", "hash", F.lit(turn))
+        dealt = usable.select(F.pmod(order, F.lit(shards)).cast("int").alias("shard"), order.alias("order"), "doc_id", "hash", "toxic", "text")
+        dealt = dealt.repartitionById(shards, "shard").sortWithinPartitions("shard", "order", "doc_id", "toxic", "hash")
+        moved = dealt.select("shard", "toxic", "text").mapInArrow(run, ", ".join(["at int", *(f"{m} long" for m in _MOVES)]))
+        found = moved.groupBy("at").agg(F.count("*").alias("n"), *(F.sum(m).alias(m) for m in _MOVES)).toArrow()
+        sums = np.stack([found[m].to_numpy() for m in _MOVES], axis=1).astype(np.float64)
+        table = _table(given).astype(np.float64)
+        table[found["at"].to_numpy()] += sums / found["n"].to_numpy()[:, None] / FINE
+        weights = _untable(table, given)
+    return weights
+
+
+def best_threshold(scores: np.ndarray, toxic: np.ndarray, shares: tuple[float, float], counts: np.ndarray | None = None) -> float:
+    """The middle between two scores that makes the fewest errors, labels weighed by their shares; of several the nearest to one half.
+
+    ``counts`` says how many rows have a score and label; one each without it.
+    """
+    counts = np.ones(len(scores), np.int64) if counts is None else counts
     values = np.unique(scores)
     cuts = np.concatenate([(values[1:] + values[:-1]) / 2, [THRESHOLD]])
-    high = np.sort(scores[toxic == 1])
-    low = np.sort(scores[toxic == 0])
-    missed = shares[1] * np.searchsorted(high, cuts) / len(high) + shares[0] * (1 - np.searchsorted(low, cuts) / len(low))
+
+    def below(label: int) -> np.ndarray:
+        own = np.flatnonzero(toxic == label)
+        own = own[np.argsort(scores[own], kind="stable")]
+        sums = np.concatenate([[0], np.cumsum(counts[own])])
+        return sums[np.searchsorted(scores[own], cuts)] / sums[-1]
+
+    missed = shares[1] * below(1) + shares[0] * (1 - below(0))
     fewest = cuts[missed <= missed.min() + 1e-12]
     return float(fewest[np.abs(fewest - THRESHOLD).argmin()])
 
 
-def _enough(toxic: np.ndarray) -> bool:
-    return min((toxic == 0).sum(), (toxic == 1).sum()) >= LEAST_ROWS
+def _enough(toxic: np.ndarray, counts: np.ndarray | None = None) -> bool:
+    counts = np.ones(len(toxic), np.int64) if counts is None else counts
+    return min(counts[toxic == 0].sum(), counts[toxic == 1].sum()) >= LEAST_ROWS
 
 
-def shifted(weights: Weights, scores: np.ndarray, toxic: np.ndarray, shares: tuple[float, float]) -> Weights:
+def shifted(
+    weights: Weights, scores: np.ndarray, toxic: np.ndarray, shares: tuple[float, float], counts: np.ndarray | None = None
+) -> Weights:
     """The network with its last bias moved so that the best threshold over the calibrating rows lies at one half."""
-    if "out" not in weights or not _enough(toxic):
+    if "out" not in weights or not _enough(toxic, counts):
         return weights
-    cut = min(0.99, max(0.01, best_threshold(scores, toxic, shares)))
+    cut = min(0.99, max(0.01, best_threshold(scores, toxic, shares, counts)))
     return weights | {"out_bias": weights["out_bias"] - np.float32(np.log(cut / (1 - cut)))}
 
 
-def calibrated(scores: np.ndarray, toxic: np.ndarray, langs: list[str | None], shares: tuple[float, float]) -> dict[str | None, float]:
+def calibrated(
+    scores: np.ndarray, toxic: np.ndarray, langs: list[str | None], shares: tuple[float, float], counts: np.ndarray | None = None
+) -> dict[str | None, float]:
     """A threshold for each language with ``LEAST_ROWS`` of both labels, and ``THRESHOLD`` for the rest under None."""
     out: dict[str | None, float] = {None: THRESHOLD}
+    counts = np.ones(len(scores), np.int64) if counts is None else counts
     for lang in sorted({x for x in langs if x is not None}):
         own = np.array([x == lang for x in langs], bool)
-        if _enough(toxic[own]):
-            out[lang] = best_threshold(scores[own], toxic[own], shares)
+        if _enough(toxic[own], counts[own]):
+            out[lang] = best_threshold(scores[own], toxic[own], shares, counts[own])
     return out
 
 
-def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, size: int = TRAIN_BYTES) -> tuple[Weights, dict[str | None, float]]:
-    """The network, and thresholds by language, from a bounded sample of the labelled rows that are not held out."""
-    rows, sizes = labelled_texts(docs, labels, "toxic", held_out(), sample, size, ("lang",))
-    total = sum(sizes.values())
-    shares = (sizes.get(0, 0) / total, sizes.get(1, 0) / total) if total else (1.0, 0.0)
-    apart = [zlib.crc32(f"calibrate {r['doc_id']}".encode()) % 5 == 0 for r in rows]
-    own = [r for r, a in zip(rows, apart, strict=True) if not a]
-    weights = fitted([r["text"] for r in own], [r["toxic"] for r in own], shares[1])
-    other = [r for r, a in zip(rows, apart, strict=True) if a]
-    toxic = np.array([r["toxic"] for r in other], int)
+def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
+    """Every different text labelled 0 or 1 that is not held out: doc_id, text, lang, hash, toxic, and whether it is ``apart`` for calibration."""
+    marked = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter(~held_out() & F.col("toxic").isin(0, 1))
+    texts = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
+    texts = texts.filter("text is not null").withColumn("hash", F.xxhash64("text", "lang"))
+    rows = texts.join(marked.distinct(), "doc_id").dropDuplicates(["doc_id", "toxic", "hash"])
+    apart = F.crc32(F.concat(F.lit("calibrate "), F.col("doc_id").cast("string"))) % 5 == 0
+    return cut_lineage(rows.withColumn("apart", apart))
+
+
+def counted(rows: DataFrame, weights: Weights) -> DataFrame:
+    """How many rows of each lang and label score in each step of one ``GRID``-th: lang, toxic, score (the step's middle), n."""
+    step = F.least(F.floor(F.col("score") * GRID), F.lit(GRID - 1))
+    by_step = scored(rows, weights, ("toxic",)).groupBy("lang", "toxic", step.alias("step")).agg(F.count("*").alias("n"))
+    return by_step.select("lang", "toxic", ((F.col("step") + 0.5) / GRID).alias("score"), "n")
+
 
-    def scores(w: Weights) -> np.ndarray:
-        score = Scorer(w)
-        return np.array([score(r["text"]) for r in other], float)
+def language_thresholds(rows: DataFrame, weights: Weights, shares: tuple[float, float]) -> dict[str | None, float]:
+    """``calibrated`` over all rows, each language in a task; a language has at most two counts a step."""
 
-    weights = shifted(weights, scores(weights), toxic, shares)
-    return weights, calibrated(scores(weights), toxic, [r["lang"] for r in other], shares)
+    def own(counts: pa.Table) -> pa.Table:
+        scores, toxic, n = (counts[c].to_numpy() for c in ("score", "toxic", "n"))
+        lang = counts["lang"][0].as_py()
+        cut = calibrated(scores, toxic, [lang] * len(scores), shares, n).get(lang)
+        return pa.table({"lang": [lang], "threshold": pa.array([cut], pa.float64())})
 
+    by_lang = counted(rows.filter("lang is not null"), weights).groupBy("lang").applyInArrow(own, "lang string, threshold double")
+    found = by_lang.filter("threshold is not null").orderBy("lang").collect()
+    return {None: THRESHOLD} | {r["lang"]: r["threshold"] for r in found}
 
-def scored(docs: DataFrame, weights: Weights) -> DataFrame:
-    """doc_id, lang and score of every whole text."""
+
+def learned(docs: DataFrame, labels: DataFrame, sample: int = SAMPLE, size: int = TRAIN_BYTES) -> tuple[Weights, dict[str | None, float]]:
+    """The network, and thresholds by language, from all labelled rows that are not held out.
+
+    ``sample`` and ``size`` bound the rows and bytes a label that the weights start from.
+    """
+    every = labelled(docs, labels)
+    rows, sizes = labelled_texts(every, labels, "toxic", held_out(), sample, size, ("lang",))
+    total = sum(sizes.values())
+    shares = (sizes.get(0, 0) / total, sizes.get(1, 0) / total) if total else (1.0, 0.0)
+    own = [r for r in rows if zlib.crc32(f"calibrate {r['doc_id']}".encode()) % 5]
+    weights = fitted([r["text"] for r in own], [r["toxic"] for r in own], shares[1])
+    weights = trained(every.filter("not apart"), weights)
+    if "out" not in weights:
+        return weights, {None: THRESHOLD}
+    other = every.filter("apart")
+    counts = counted(other, weights).groupBy("toxic", "score").agg(F.sum("n").alias("n")).toArrow()
+    scores, toxic, n = (counts[c].to_numpy() for c in ("score", "toxic", "n"))
+    weights = shifted(weights, scores, toxic, shares, n)
+    return weights, language_thresholds(other, weights, shares)
+
+
+def scored(docs: DataFrame, weights: Weights, also: tuple[str, ...] = ()) -> DataFrame:
+    """doc_id, lang and score of every whole text, and the columns in ``also``."""
     score = Scorer(weights)  # each Python worker has its own copy
 
     def rows(columns: dict[str, list]) -> dict[str, list]:
         return columns | {"score": [score(t) for t in columns["text"]]}
 
-    picked = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"))
-    kind = picked.schema["doc_id"].dataType.simpleString()
-    return map_rows(picked, f"doc_id {kind}, lang string, score double", rows, ["doc_id", "lang", "text"])
+    picked = docs.select("doc_id", F.col("lang").cast("string").alias("lang"), F.col("text").cast("string").alias("text"), *also)
+    kinds = [f"{c} {picked.schema[c].dataType.simpleString()}" for c in ("doc_id", *also)]
+    return map_rows(picked, ", ".join([*kinds, "lang string", "score double"]), rows, ["doc_id", "lang", "text", *also])
 
 
 def flagged(scores: DataFrame, thresholds: dict[str | None, float]) -> DataFrame:
