@@ -208,11 +208,10 @@ def test_a_row_outside_the_sample_moves_the_network(spark):
 def test_moves_of_shards_are_averaged(spark):
     docs = table(spark, 200).withColumn("hash", F.xxhash64("text"))
     start = T.fitted(*made(30), 1 / 3)
-    turn, rate = F.lit(0), T.LATER_RATE
-    order = F.xxhash64("doc_id", "toxic", "hash", turn)
+    rate, order = T.LATER_RATE, F.xxhash64("doc_id", "toxic", "hash")
     rows = docs.withColumn("order", order).withColumn("shard", F.pmod("order", F.lit(4))).orderBy("order").collect()
     balance = (0.5 * 200 / 133, 0.5 * 200 / 67)
-    after = [T.continued([(r.text, r.toxic) for r in rows if r.shard == s], start, balance, rate, s) for s in range(4)]
+    after = [T.continued([(r.text, r.toxic) for r in rows if r.shard == s], start, balance, rate, [0, s]) for s in range(4)]
     moves = np.array([T._table(a).astype(float) - T._table(start) for a in after])
     n = np.maximum(1, (np.abs(moves).max(axis=2) > 1e-9).sum(axis=0))
     with pytest.MonkeyPatch.context() as m:

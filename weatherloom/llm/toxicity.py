@@ -9,9 +9,9 @@ answer is max-pooled over all places, and a logistic unit makes one probability.
 
 The network learns from every labelled row that is not held out, whole texts of any
 length. Its weights start from a fit in one process, on at most ``SAMPLE`` rows and
-``TRAIN_BYTES`` a label. Then come ``ROUNDS`` passes over all rows: each deals them
-out anew in shards of some ``SHARD`` rows, a task goes on from the common weights
-through one shard, and the moves of the shards are averaged, each weight over the
+``TRAIN_BYTES`` a label. Then come ``ROUNDS`` passes over all rows, which are dealt
+out in shards of some ``SHARD`` rows: a task goes on from the common weights
+through a shard, and the moves of the shards are averaged, each weight over the
 shards that moved it. Only the network, whose size is fixed, comes to the driver.
 
 A fifth of the rows, by a hash of the id, is kept from fitting for calibration. All
@@ -99,6 +99,9 @@ def _blocks() -> list[tuple[int, int, slice]]:
 
 BLOCKS = _blocks()
 POOLED = len(SPANS) * FILTERS
+#: filter and offset of each column in ``filters``
+FILTER_OF = np.concatenate([np.arange(FILTERS) + SPANS.index(span) * FILTERS for span, _, _ in BLOCKS])
+OFFSET_OF = np.repeat([offset for _, offset, _ in BLOCKS], FILTERS)
 
 
 def answers(projected: np.ndarray, bias: np.ndarray, last: bool = True) -> tuple[np.ndarray, np.ndarray]:
@@ -245,7 +248,8 @@ def winning(parts: Iterable[Part], w: Weights) -> tuple[np.ndarray, np.ndarray]:
     best = np.full(POOLED, -np.inf, np.float32)
     words = np.full((POOLED, max(SPANS), 3), -1, np.int64)
     for places, order, last in parts:
-        vectors = w["places"][places].mean(axis=1)
+        first, middle, end = w["places"][places.T]
+        vectors = (first + middle + end) / 3
         found, where = answers((vectors @ w["filters"])[order], w["bias"], last)
         better = found > best
         best[better] = found[better]
@@ -271,23 +275,14 @@ def back_parts(parts: Iterable[Part], label: np.float32, weight: np.float32, w:
     grads["out_bias"] += error
     g = error * w["out"] * (best > 0)
     grads["bias"] += g
-    touched, moves = [], []
-    for span, offset, columns in BLOCKS:
-        own = slice(SPANS.index(span) * FILTERS, (SPANS.index(span) + 1) * FILTERS)
-        inside = np.flatnonzero((words[own, offset, 0] >= 0) & (g[own] != 0))
-        if not len(inside):
-            continue
-        rows = words[own, offset][inside]
-        at = np.arange(columns.start, columns.stop)[inside]
-        grads["filters"][:, at] += w["places"][rows].mean(axis=1).T * g[own][inside]
-        touched.append(rows.ravel())
-        moves.append(np.repeat(g[own][inside, None] * w["filters"][:, at].T / 3, 3, axis=0))
-    if not touched:
-        return np.empty(0, np.int64), np.empty((0, WIDTH), np.float32)
-    return np.concatenate(touched), np.concatenate(moves)
+    rows = words[FILTER_OF, OFFSET_OF]
+    at = np.flatnonzero((rows[:, 0] >= 0) & (g[FILTER_OF] != 0))
+    rows, own = rows[at], g[FILTER_OF[at]]
+    grads["filters"][:, at] += w["places"][rows].mean(axis=1).T * own
+    return rows.ravel(), np.repeat(own[:, None] * w["filters"][:, at].T / 3, 3, axis=0)
 
 
-def continued(rows: Iterable[tuple[str, int]], weights: Weights, balance: tuple[float, float], rate: float, seed: int) -> Weights:
+def continued(rows: Iterable[tuple[str, int]], weights: Weights, balance: tuple[float, float], rate: float, seed: int | list[int]) -> Weights:
     """The network after one pass over texts and labels; a batch of texts is held at a time, and a piece of one is read."""
     w = {k: v.copy() for k, v in weights.items() if k != "share"}
     squares, rng, known = _squares(w), np.random.default_rng(seed), {}
@@ -334,22 +329,25 @@ def trained(rows: DataFrame, weights: Weights, shard: int = SHARD) -> Weights:
         weights = started(np.random.default_rng(5)) | weights
     total = sum(sizes.values())
     balance, shards = (0.5 * total / sizes[0], 0.5 * total / sizes[1]), -(-total // shard)
+    order = F.xxhash64("doc_id", "toxic", "hash")
+    dealt = usable.select(F.pmod(order, F.lit(shards)).cast("int").alias("shard"), order.alias("order"), "doc_id", "hash", "toxic", "text")
+    dealt = dealt.repartitionById(shards, "shard").sortWithinPartitions("shard", "order", "doc_id", "toxic", "hash")
+    dealt = cut_lineage(dealt.select("shard", "toxic", "text"))
     for turn in range(ROUNDS):
         given, rate = weights, LATER_RATE * (1 - turn / ROUNDS)
 
-        def run(batches: Iterator[pa.RecordBatch], given: Weights = given, rate: float = rate) -> Iterator[pa.RecordBatch]:
+        def run(
+            batches: Iterator[pa.RecordBatch], given: Weights = given, rate: float = rate, turn: int = turn
+        ) -> Iterator[pa.RecordBatch]:
             parts = (b.slice(i, STEP).to_pylist() for b in batches for i in range(0, b.num_rows, STEP))
             before = _table(given)
             for own, group in groupby((r for part in parts for r in part), key=lambda r: r["shard"]):
-                after = continued(((r["text"], r["toxic"]) for r in group), given, balance, rate, own)
+                after = continued(((r["text"], r["toxic"]) for r in group), given, balance, rate, [turn, own])
                 moves = np.rint((_table(after).astype(np.float64) - before) * FINE).astype(np.int64)
                 at = np.flatnonzero(moves.any(axis=1))
                 yield pa.RecordBatch.from_arrays([pa.array(at.astype(np.int32)), *map(pa.array, moves[at].T)], ["at", *_MOVES])
 
-        order = F.xxhash64("doc_id", "toxic", "hash", F.lit(turn))
-        dealt = usable.select(F.pmod(order, F.lit(shards)).cast("int").alias("shard"), order.alias("order"), "doc_id", "hash", "toxic", "text")
-        dealt = dealt.repartitionById(shards, "shard").sortWithinPartitions("shard", "order", "doc_id", "toxic", "hash")
-        moved = dealt.select("shard", "toxic", "text").mapInArrow(run, ", ".join(["at int", *(f"{m} long" for m in _MOVES)]))
+        moved = dealt.mapInArrow(run, ", ".join(["at int", *(f"{m} long" for m in _MOVES)]))
         found = moved.groupBy("at").agg(F.count("*").alias("n"), *(F.sum(m).alias(m) for m in _MOVES)).toArrow()
         sums = np.stack([found[m].to_numpy() for m in _MOVES], axis=1).astype(np.float64)
         table = _table(given).astype(np.float64)
@@ -410,8 +408,9 @@ def labelled(docs: DataFrame, labels: DataFrame) -> DataFrame:
     """Every different text labelled 0 or 1 that is not held out: doc_id, text, lang, hash, toxic, and whether it is ``apart`` for calibration."""
     marked = labels.select("doc_id", F.col("toxic").cast("int").alias("toxic")).filter(~held_out() & F.col("toxic").isin(0, 1))
     texts = docs.select("doc_id", F.col("text").cast("string").alias("text"), F.col("lang").cast("string").alias("lang"))
-    texts = texts.filter("text is not null").withColumn("hash", F.xxhash64("text", "lang"))
-    rows = texts.join(marked.distinct(), "doc_id").dropDuplicates(["doc_id", "toxic", "hash"])
+    texts = texts.filter("text is not null").filter(~held_out()).withColumn("hash", F.xxhash64("text", "lang"))
+    # labels grow with the texts, so they are not broadcast; copies of a row then lie together already
+    rows = texts.join(marked.distinct().hint("merge"), "doc_id").dropDuplicates(["doc_id", "toxic", "hash"])
     apart = F.crc32(F.concat(F.lit("calibrate "), F.col("doc_id").cast("string"))) % 5 == 0
     return cut_lineage(rows.withColumn("apart", apart))
 
